@@ -36,7 +36,7 @@ class Stage:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.registry_path = f"{self.root}/_registry"
+        self.registry_path = f"{self.root}/registry"
 
     def registry(self) -> DataFrame:
         """Current state of every staged output."""
