@@ -1 +1,51 @@
+"""Vector distances and nearest neighbours over the embeddings."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from weftline.operators.vectors import cosine_distance, inner_product, l2_distance, nearest
+from weftline.queries.registry import query, r
+
+
+def probe(size: int, shift: int) -> list[float]:
+    """A fixed query vector: a short repeating ramp."""
+    return [((i + shift) % 7 - 3) / 10 for i in range(size)]
+
+
+def probe_sql(shift: int) -> str:
+    return f"list_transform(range(len(embedding)), lambda i: ((i + {shift}) % 7 - 3) / 10)"
+
+
+DISTANCES = """
+SELECT vec_id, round(sqrt(list_sum(list_transform(list_zip(e, q), lambda p: (p[1] - p[2]) * (p[1] - p[2])))), 5) AS l2,
+ round(1 - list_inner_product(e, q) / sqrt(list_inner_product(e, e) * list_inner_product(q, q)), 5) AS cosine,
+ round(list_inner_product(e, q), 5) AS ip FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, CAST(%s AS DOUBLE[]) AS q FROM embeddings)""" % probe_sql(0)
+
+
+def width(t) -> int:
+    return t.embeddings.select(F.size("embedding").alias("w")).first().w
+
+
+@query("vector_distances", DISTANCES)
+def _(t):
+    q = F.lit(probe(width(t), 0)).cast("array<double>")
+    e = F.col("embedding")
+    return t.embeddings.select("vec_id", r(l2_distance(e, q), 5).alias("l2"), r(cosine_distance(e, q), 5).alias("cosine"), r(inner_product(e, q), 5).alias("ip"))
+
+
+@query("vector_nearest", " UNION ALL ".join(f"""
+SELECT * FROM (SELECT {i}::BIGINT AS query_id, vec_id AS id, (row_number() OVER (ORDER BY d, vec_id))::INTEGER AS position, round(d, 5) AS distance FROM (
+ SELECT vec_id, sqrt(list_sum(list_transform(list_zip(e, q), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS d
+ FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, CAST({probe_sql(i)} AS DOUBLE[]) AS q FROM embeddings))) WHERE position <= 10""" for i in range(3)))
+def _(t):
+    w = width(t)
+    return nearest(t.embeddings, "embedding", {i: probe(w, i) for i in range(3)}, 10, "vec_id").withColumn("distance", r("distance", 5))
+
+
+@query("vector_nearest_cosine", f"""
+SELECT * FROM (SELECT 0::BIGINT AS query_id, vec_id AS id, (row_number() OVER (ORDER BY d, vec_id))::INTEGER AS position, round(d, 5) AS distance FROM (
+ SELECT vec_id, 1 - list_inner_product(e, q) / sqrt(list_inner_product(e, e) * list_inner_product(q, q)) AS d
+ FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, CAST({probe_sql(2)} AS DOUBLE[]) AS q FROM embeddings))) WHERE position <= 20""")
+def _(t):
+    return nearest(t.embeddings, "embedding", {0: probe(width(t), 2)}, 20, "vec_id", "cosine").withColumn("distance", r("distance", 5))
