@@ -37,7 +37,7 @@ LANGUAGE_FIELDS = ["name", "description"]
 
 LEVELS_PER_PASS = 5
 # Arrays directly inside arrays at the top of a document; deeper ones stay JSON text.
-NESTED_ARRAYS = 6
+NESTED_ARRAYS = 3
 
 
 @dataclass(frozen=True)
@@ -67,26 +67,23 @@ def parse(c: Column) -> Column:
     return F.try_parse_json(F.when(F.trim(c) != "", c))
 
 
-def _kind(v: Column) -> Column:
-    """First word of the value's type: OBJECT, ARRAY, VOID or a primitive."""
-    return F.regexp_extract(F.schema_of_variant(v), r"^(\w+)", 1)
-
-
-def _is_object(v: Column) -> Column:
-    return _kind(v) == "OBJECT"
-
-
 def _entries(v: Column) -> Column:
+    """Keys and values of an object, null for anything else."""
     return F.map_entries(v.try_cast("map<string,variant>"))
 
 
 def _items(v: Column) -> Column:
+    """Items of an array, null for anything else."""
     return v.try_cast("array<variant>")
 
 
-def _objects_only(v: Column) -> Column:
-    """For an array: true if every item is an object, so also for an empty array."""
-    return ~F.exists(_items(v), lambda x: F.coalesce(~_is_object(x), F.lit(True)))
+def _is_object(v: Column) -> Column:
+    return v.try_cast("map<string,variant>").isNotNull()
+
+
+def _objects_only(items: Column) -> Column:
+    """For the items of an array: true if every one is an object, so also for none."""
+    return ~F.exists(items, lambda x: ~_is_object(x))
 
 
 def split_records(df: DataFrame, json_column: str, out: str = "_doc") -> DataFrame:
@@ -95,52 +92,52 @@ def split_records(df: DataFrame, json_column: str, out: str = "_doc") -> DataFra
     An empty top-level array gives no row; text that is no document gives one null row.
     """
     rows = df.withColumn(out, parse(F.col(quote(json_column)).cast("string")))
+    for _ in range(NESTED_ARRAYS):
+        rows = rows.withColumn(out, F.explode(F.coalesce(_items(F.col(out)), F.array(F.col(out)))))
+    return rows
 
-    def is_array(v: Column) -> Column:
-        return F.coalesce(_kind(v) == "ARRAY", F.lit(False))
-
-    def unnest(v: Column) -> Column:
-        return F.when(is_array(v), _items(v)).otherwise(F.array(v))
 
-    doc = F.col(out)
-    records = _items(doc)
-    for _ in range(NESTED_ARRAYS):
-        records = F.flatten(F.transform(records, unnest))
-    return rows.withColumn(out, F.explode(F.when(is_array(doc), records).otherwise(F.array(doc))))
+def _node(path: Column, inner: Column, item: Column, v: Column, kind: Column) -> Column:
+    return F.struct(path.alias("path"), inner.alias("inner"), item.alias("item"), v.alias("v"), kind.alias("kind"))
 
 
 def _expand(state: DataFrame, options: Options) -> DataFrame:
     """One level down: an object becomes its entries, an array of objects also its first items.
 
-    `state` rows are (path, inner, item, v, done).
+    `state` rows are (path, inner, item, v, kind); a row with a kind is finished and
+    no longer carries its value.
     """
-    v, path, inner, item = F.col("v"), F.col("path"), F.col("inner"), F.col("item")
-    kind = _kind(v)
+    state = state.withColumns({"entries": _entries(F.col("v")), "items": _items(F.col("v"))})
+    v, path, inner, item, entries, items = (F.col(c) for c in ("v", "path", "inner", "item", "entries", "items"))
+    nothing, unknown = F.lit(None).cast("variant"), F.lit(None).cast("string")
     in_item = item.isNotNull()
-    depth = F.size(path) + F.size(inner)
+    limit = F.lit(False) if options.max_depth is None else F.size(path) + F.size(inner) >= options.max_depth
 
-    def node(p, i, n, value, done):
-        return F.struct(p.alias("path"), i.alias("inner"), n.alias("item"), value.alias("v"), done.alias("done"))
+    def leaf(kind: Column | str) -> Column:
+        return F.array(_node(path, inner, item, nothing, F.lit(kind) if isinstance(kind, str) else kind))
 
-    def row(p, i, n, value):
-        return node(p, i, n, value, F.lit(False))
-
-    children = F.transform(_entries(v), lambda e: row(
+    children = F.transform(entries, lambda e: _node(
         F.when(in_item, path).otherwise(F.array_append(path, e["key"])),
-        F.when(in_item, F.array_append(inner, e["key"])).otherwise(inner), item, e["value"]))
-    firsts = F.transform(F.slice(_items(v), 1, INDEXED_ITEMS),
-                         lambda x, i: row(path, inner, i.cast("int"), x))
-    # The leaf itself: the first word of its kind is all that is still needed of the value.
-    keep = F.array(node(path, inner, item, v, F.lit(True)))
-    limit = F.lit(False) if options.max_depth is None else depth >= options.max_depth
-    step = (F.when(F.col("done"), keep)
-            .when((kind == "OBJECT") & ~limit, F.when(F.size(_entries(v)) > 0, children).otherwise(keep))
-            .when((kind == "ARRAY") & ~in_item, F.when(F.size(_items(v)) == 0, keep)
-                  .when(_objects_only(v) & ~limit, F.concat(keep, firsts)).otherwise(keep))
-            .otherwise(keep))
+        F.when(in_item, F.array_append(inner, e["key"])).otherwise(inner), item, e["value"], unknown))
+    firsts = F.transform(F.slice(items, 1, INDEXED_ITEMS), lambda x, i: _node(path, inner, i.cast("int"), x, unknown))
+    objects = F.concat(leaf("objects"), firsts)
+    # A null document has no field at all, not even `value`.
+    at_root = (F.size(path) == 0) & ~in_item
+    value = F.when(at_root & F.is_variant_null(v), F.array().cast(_node_type())).otherwise(leaf("value"))
+    step = (F.when(F.col("kind").isNotNull(), leaf(F.col("kind")))
+            .when(F.array_size(entries) == 0, leaf("empty"))
+            .when(entries.isNotNull(), F.when(limit, leaf("deep")).otherwise(children))
+            .when(F.array_size(items) == 0, leaf("objects"))
+            .when(items.isNotNull(), F.when(~_objects_only(items), leaf("array"))
+                  .when(in_item | limit, leaf("objects")).otherwise(objects))
+            .otherwise(value))
     return state.select(F.explode(step).alias("s")).select("s.*")
 
 
+def _node_type() -> str:
+    return "array<struct<path:array<string>,inner:array<string>,item:int,v:variant,kind:string>>"
+
+
 def discover(documents: DataFrame, doc: str = "_doc", options: Options = Options()) -> list[Leaf]:
     """Every distinct leaf of the documents, sorted by path.
 
@@ -152,18 +149,10 @@ def discover(documents: DataFrame, doc: str = "_doc", options: Options = Options
     while True:
         state = documents.filter(F.col(doc).isNotNull()).select(
             empty.alias("path"), empty.alias("inner"), F.lit(None).cast("int").alias("item"),
-            F.col(doc).alias("v"), F.lit(False).alias("done"))
+            F.col(doc).alias("v"), F.lit(None).cast("string").alias("kind"))
         for _ in range(levels):
             state = _expand(state, options)
-        v = F.col("v")
-        kind = (F.when(_kind(v) == "OBJECT", F.when(F.size(_entries(v)) == 0, F.lit("empty"))
-                       .when(F.col("done"), F.lit("deep")).otherwise(F.lit("open")))
-                .when(_kind(v) == "ARRAY", F.when(_objects_only(v), F.lit("objects")).otherwise(F.lit("array")))
-                .otherwise(F.lit("value")))
-        # A null document has no field at all, not even `value`.
-        at_root = (F.size("path") == 0) & F.col("item").isNull()
-        state = state.filter(~(at_root & (_kind(v) == "VOID")))
-        found = state.select("path", "inner", "item", kind.alias("kind")).distinct().collect()
+        found = state.select("path", "inner", "item", F.coalesce("kind", F.lit("open")).alias("kind")).distinct().collect()
         if any(r.kind == "open" for r in found):
             levels += LEVELS_PER_PASS
             continue
@@ -208,8 +197,8 @@ def _leaf_columns(leaves: list[Leaf], options: Options, doc: str) -> dict[str, l
         text = F.try_variant_get(variant, where, "string")
         # Only a path that some document uses for an object needs a per-row check.
         if place in has_keys_below or "empty" in seen:
-            keep = _is_object(value) & (F.size(_entries(value)) > 0) if "deep" in seen else F.lit(False)
-            text = F.when(F.coalesce(~_is_object(value) | keep, F.lit(True)), text)
+            keep = F.array_size(_entries(value)) > 0 if "deep" in seen else F.lit(False)
+            text = F.when(~_is_object(value) | keep, text)
         arrays = seen & {"array", "objects"}
         name = _field_name(path, options) if path else "value"
         if item is not None:
@@ -221,8 +210,9 @@ def _leaf_columns(leaves: list[Leaf], options: Options, doc: str) -> dict[str, l
         if not arrays:
             out[name].append(text)
             continue
-        is_array = _kind(value) == "ARRAY"
-        of_objects = is_array & _objects_only(value)
+        is_array = _items(value).isNotNull()
+        # Where no document has any other array here, the items need no look.
+        of_objects = is_array if arrays == {"objects"} else _objects_only(_items(value))
         counts = options.array_handling == "count"
         if options.array_handling == "first_item":
             first = F.try_variant_get(variant, f"{where}[0]", "string")
@@ -232,12 +222,14 @@ def _leaf_columns(leaves: list[Leaf], options: Options, doc: str) -> dict[str, l
         elif seen != {"array"}:
             out[name].append(F.when(of_objects, _spaced_array(value)).when(~is_array, text))
         if counts or "objects" in arrays:
-            out[f"{name}_count"].append(F.when(is_array if counts else of_objects, F.size(_items(value))).cast("string"))
+            size = F.array_size(_items(value))
+            only_some = not counts and arrays != {"objects"}
+            out[f"{name}_count"].append((F.when(of_objects, size) if only_some else size).cast("string"))
     return out
 
 
 def _array_text(value: Column, text: Column) -> Column:
-    return F.when(_kind(value) == "ARRAY", _spaced_array(value)).otherwise(text)
+    return F.coalesce(_spaced_array(value), text)
 
 
 def project(documents: DataFrame, leaves: list[Leaf], keep: list[str], options: Options = Options(), doc: str = "_doc") -> DataFrame:
