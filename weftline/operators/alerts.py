@@ -4,8 +4,8 @@ A range vector (`rate(x[5m])` each minute) is built in two steps: rows are first
 added up per minute and label, and only these sums are copied into the windows
 they belong to. The copies grow with minutes, not with events.
 
-Windows carry their end as `at`: a window holds the rows with
-`at - range <= ts < at`.
+Windows carry their end as `window_end`: a window holds the rows with
+`window_end - range <= ts < window_end`.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def sliding(events: DataFrame, labels: list[str], measures: dict[str, Column], w
                .groupBy(*labels, "_m").agg(*[F.sum(k).alias(k) for k in measures]))
     ends = F.sequence(F.col("_m") + step, F.col("_m") + window, F.lit(step).cast("bigint"))
     return (minutes.withColumn("_at", F.explode(ends)).groupBy(*labels, "_at")
-            .agg(*[F.sum(k).alias(k) for k in measures]).withColumn("at", _time(F.col("_at"))).drop("_at"))
+            .agg(*[F.sum(k).alias(k) for k in measures]).withColumn("window_end", _time(F.col("_at"))).drop("_at"))
 
 
 def rate(events: DataFrame, labels: list[str], window: int = 300, step: int = 60, time: str = "ts") -> DataFrame:
@@ -76,7 +76,7 @@ def counter_increase(samples: DataFrame, labels: list[str], value: str, window:
     minutes = minutes.withColumn("_grown", F.col("_grown") + grown(F.col("_first"), F.lag("_last").over(across)))
     ends = F.sequence(F.col("_m") + step, F.col("_m") + window, F.lit(step).cast("bigint"))
     return (minutes.withColumn("_at", F.explode(ends)).groupBy(*labels, "_at").agg(F.sum("_grown").alias("increase"))
-            .withColumn("at", _time(F.col("_at"))).drop("_at"))
+            .withColumn("window_end", _time(F.col("_at"))).drop("_at"))
 
 
 def failure_ratio(events: DataFrame, labels: list[str], failed: Column, window: int = 300, step: int = 60, time: str = "ts") -> DataFrame:
@@ -116,12 +116,12 @@ def histogram_quantile(histogram: DataFrame, labels: list[str], q: float, bound:
 
 
 def sliding_histogram(events: DataFrame, labels: list[str], value: Column, bounds: list[float], window: int = 600, step: int = 60, time: str = "ts") -> DataFrame:
-    """Cumulative bucket counts per window, long form (`at`, `le`, `n`)."""
+    """Cumulative bucket counts per window, long form (`window_end`, `le`, `n`)."""
     measures = {f"b{i}": F.when(value <= F.lit(b), 1).otherwise(0) for i, b in enumerate(bounds)}
     sums = sliding(events, labels, {**measures, "b_all": F.lit(1)}, window, step, time)
     rows = [F.struct(F.lit(float(b)).alias("le"), F.col(f"b{i}").alias("n")) for i, b in enumerate(bounds)]
     rows.append(F.struct(F.lit(None).cast("double").alias("le"), F.col("b_all").alias("n")))
-    return sums.select(*labels, "at", F.explode(F.array(*rows)).alias("h")).select(*labels, "at", "h.le", "h.n")
+    return sums.select(*labels, "window_end", F.explode(F.array(*rows)).alias("h")).select(*labels, "window_end", "h.le", "h.n")
 
 
 def _by_labels(labels: list[str]) -> Window:
@@ -131,16 +131,16 @@ def _by_labels(labels: list[str]) -> Window:
 
 def offset_value(df: DataFrame, labels: list[str], value: str, seconds: int) -> Column:
     """The series' value exactly `seconds` earlier, null where there is none."""
-    w = _by_labels(labels).orderBy(_seconds("at")).rangeBetween(-seconds, -seconds)
+    w = _by_labels(labels).orderBy(_seconds("window_end")).rangeBetween(-seconds, -seconds)
     return F.max(F.col(quote(value))).over(w)
 
 
 def rate_drop(events: DataFrame, labels: list[str], window: int = 300, base: int = 1800, offset: int = 3600, step: int = 60, time: str = "ts") -> DataFrame:
     """Rate now over the rate of a longer window some time ago."""
-    now = rate(events, labels, window, step, time).select(*labels, "at", F.col("rate").alias("rate_now"))
+    now = rate(events, labels, window, step, time).select(*labels, "window_end", F.col("rate").alias("rate_now"))
     then = rate(events, labels, base, step, time).select(
-        *labels, (F.col("at") + F.make_dt_interval(secs=F.lit(offset))).alias("at"), F.col("rate").alias("rate_before"))
-    return now.join(then, [*labels, "at"]).withColumn("ratio", F.col("rate_now") / F.col("rate_before"))
+        *labels, (F.col("window_end") + F.make_dt_interval(secs=F.lit(offset))).alias("window_end"), F.col("rate").alias("rate_before"))
+    return now.join(then, [*labels, "window_end"]).withColumn("ratio", F.col("rate_now") / F.col("rate_before"))
 
 
 def held(df: DataFrame, labels: list[str], condition: Column, hold: int, step: int = 60) -> DataFrame:
@@ -148,10 +148,10 @@ def held(df: DataFrame, labels: list[str], condition: Column, hold: int, step: i
 
     A missing window ends a breach like a false one.
     """
-    w = _by_labels(labels).orderBy("at")
+    w = _by_labels(labels).orderBy("window_end")
     previous, was = F.lag(F.col("_s")).over(w), F.lag(F.col("_true")).over(w)
     starts = F.col("_true") & (F.coalesce(~was, F.lit(True)) | (F.col("_s") - previous != step))
-    marked = (df.withColumn("_true", F.coalesce(condition, F.lit(False))).withColumn("_s", _seconds("at"))
+    marked = (df.withColumn("_true", F.coalesce(condition, F.lit(False))).withColumn("_s", _seconds("window_end"))
               .withColumn("_start", F.when(starts, F.col("_s"))))
     since = F.max("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))
     return (marked.withColumn("_since", since).filter(F.col("_true") & (F.col("_s") - F.col("_since") >= hold))
@@ -186,7 +186,7 @@ def quiet_windows(events: DataFrame, window: int = 600, step: int = 600, time: s
     else:
         covered = busy.select(F.explode(F.sequence(F.col("_m") + step, F.col("_m") + window, F.lit(step).cast("bigint"))).alias("_at"))
         quiet = spine.select((F.col("_m") + step).alias("_at")).join(covered, "_at", "left_anti")
-    return quiet.select(_time(F.col("_at")).alias("at"))
+    return quiet.select(_time(F.col("_at")).alias("window_end"))
 
 
 def utilisation(df: DataFrame, used: str, free: str) -> DataFrame:

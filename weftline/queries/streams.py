@@ -1 +1,91 @@
+"""Streaming runs over the event table, compared with the same question asked in batch.
 
+An append-mode window is written once the watermark has passed its end, so the last
+windows are left out on both sides.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from weftline.operators.quality import Rule
+from weftline.queries.alerting import windows_sql
+from weftline.queries.registry import n, query, r
+from weftline.session import scratch_path
+from weftline.sinks.tables import read_table
+from weftline.streaming import events as S
+from weftline.streaming.tables import check_stream, total_scores, upsert_stream
+
+CLOSED_SQL = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"
+
+
+def stream(t):
+    return S.with_event_time(S.read_stream(t.spark, t.folder, t.events.schema, "events.parquet"))
+
+
+def closed(t, path):
+    """Windows that ended a day before the last event."""
+    last = t.events.agg(F.max("ts") - F.expr("INTERVAL 1 DAY")).scalar()
+    return t.spark.read.parquet(path).withColumn("window_end", F.col("window_end").cast("timestamp_ntz")).filter(F.col("window_end") <= last)
+
+
+@query("stream_rate", f"SELECT * FROM ({windows_sql('count(*) AS n, round(count(*) / 300.0, 6)::DOUBLE AS rate')}) WHERE {CLOSED_SQL}")
+def _(t):
+    path = S.run_to_table(S.rate(stream(t), ["event_type"]), "stream-rate")
+    return closed(t, path).select("event_type", n("n").alias("n"), r("rate", 6).alias("rate"), "window_end")
+
+
+@query("stream_failure_ratio", f"""SELECT * FROM ({windows_sql("count(*) FILTER (event_type = 'error') AS failed, count(*) AS total, round(count(*) FILTER (event_type = 'error') / count(*), 6) AS ratio", '', 3600, 600)})
+WHERE ratio > 0.25 AND {CLOSED_SQL}""")
+def _(t):
+    ratios = S.failure_ratio(stream(t), [], F.col("event_type") == "error", 3600, 600)
+    path = S.run_to_table(ratios.filter("ratio > 0.25"), "stream-ratio")
+    return closed(t, path).select(n("failed").alias("failed"), n("total").alias("total"), r("ratio", 6).alias("ratio"), "window_end")
+
+
+@query("stream_sustained_breach", f"""SELECT event_type, window_end, since FROM (
+ SELECT *, min(window_end) OVER (PARTITION BY event_type, island) AS since FROM (
+  SELECT *, sum(CASE WHEN window_end - INTERVAL 10 MINUTE = before THEN 0 ELSE 1 END) OVER (PARTITION BY event_type ORDER BY window_end) AS island FROM (
+   SELECT *, lag(window_end) OVER (PARTITION BY event_type ORDER BY window_end) AS before FROM ({windows_sql('count(*) AS n', 'event_type', 3600, 600)}) WHERE n >= 5)))
+ WHERE window_end - since >= INTERVAL 20 MINUTE AND {CLOSED_SQL}""")
+def _(t):
+    """Window counts are one stream; a second one follows each series with state."""
+    windows = S.run_to_table(S.windowed(stream(t), ["event_type"], {"n": F.lit(1)}, "1 hour", "10 minutes"), "stream-windows")
+    counts = S.read_stream(t.spark, windows, "event_type string, window_end timestamp, n bigint")
+    fired = S.run_to_table(S.held(counts, "event_type", F.col("n") >= 5, 1200, 600), "stream-held")
+    return closed(t, fired).select("event_type", "window_end", F.col("since").cast("timestamp_ntz").alias("since"))
+
+
+@query("stream_paired_durations", "SELECT event_id, round(value, 2) AS duration FROM events")
+def _(t):
+    start = F.timestamp_micros(F.unix_micros("ts") - F.round(F.col("value") * 1000000).cast("bigint"))
+    raw = S.read_stream(t.spark, t.folder, t.events.schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    starts = raw.select("event_id", start.alias("started")).withWatermark("started", "1 hour")
+    ends = S.read_stream(t.spark, t.folder, t.events.schema, "events.parquet").select("event_id", F.col("ts").cast("timestamp").alias("ended")).withWatermark("ended", "1 hour")
+    path = S.run_to_table(S.paired(starts, ends, "event_id", "started", "ended"), "stream-paired")
+    return t.spark.read.parquet(path).select("event_id", r("duration", 2).alias("duration"))
+
+
+@query("stream_quality", """SELECT rule_name, rule_type, round(s, 6) AS score FROM (
+ SELECT 'user' AS rule_name, 'not_null' AS rule_type, count(user_id) / count(*) AS s FROM events
+ UNION ALL SELECT 'value', 'range', count(*) FILTER (value BETWEEN 1 AND 20) / count(value) FROM events
+ UNION ALL SELECT 'kind', 'pattern', count(*) FILTER (regexp_matches(event_type, '^(?:[ce])')) / count(*) FROM events
+ UNION ALL SELECT 'cells', 'completeness', CASE WHEN count(*) > 0 THEN 1.0 END FROM events)""")
+def _(t):
+    path = scratch_path(t.spark, "stream-quality")
+    rules = [Rule("user", "not_null", "user_id"), Rule("value", "range", "value", {"min_value": 1, "max_value": 20}),
+             Rule("kind", "pattern", "event_type", {"pattern": "[ce]"}), Rule("cells", "completeness")]
+    check_stream(S.read_stream(t.spark, t.folder, t.events.schema, "events.parquet"), rules, path, datetime(2024, 1, 31))
+    return total_scores(t.spark.read.parquet(path)).select("rule_name", "rule_type", r("score", 6).alias("score"))
+
+
+@query("stream_upsert", """SELECT user_id, event_id, event_type, value FROM (
+ SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
+def _(t):
+    """Latest event of every user."""
+    path = scratch_path(t.spark, "stream-upsert")
+    upsert_stream(S.read_stream(t.spark, t.folder, t.events.schema, "events.parquet"), path, ["user_id"],
+                  order=[F.col("ts").desc(), F.col("event_id").desc()])
+    return read_table(t.spark, path).select("user_id", "event_id", "event_type", "value")

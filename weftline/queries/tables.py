@@ -281,14 +281,14 @@ def _(t):
     return t.supplier.unionByName(none).agg(n(F.count(F.lit(1))).alias("n")).withColumn("missing", F.lit(none.count()).cast("bigint"))
 
 
-@query("read_whole_texts", "SELECT count(DISTINCT url) AS files, sum(length(html))::BIGINT AS chars FROM pages")
+@query("read_whole_texts", "SELECT count(*) AS n, sum(length(html))::BIGINT AS chars FROM pages")
 def _(t):
-    """Whole files as (content, filename): the pages, one file per address."""
+    """Whole files as (content, filename), some pages per file; every page ends with a mark."""
     path = scratch_path(t.spark, "texts")
-    t.pages.select("url", "html").write.partitionBy("url").option("lineSep", "\n").text(path)
-    back = read_files(t.spark, f"{path}/*", "text")
-    return back.agg(n(F.count_distinct(F.regexp_extract("filename", "(url=[^/]*)", 1))).alias("files"),
-                    n(F.sum(F.length("content") - 1)).alias("chars"))
+    t.pages.select(F.concat("html", F.lit("\u0001")).alias("value")).write.option("maxRecordsPerFile", 50).text(path)
+    back = read_files(t.spark, path, "text")
+    marks = F.length("content") - F.length(F.translate("content", "\u0001", ""))
+    return back.agg(n(F.sum(marks)).alias("n"), n(F.sum(F.length("content") - 2 * marks)).alias("chars"))
 
 
 @query("normalized_values", """
