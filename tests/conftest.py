@@ -12,7 +12,7 @@ from weftline.session import STATE_STORE, build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session("weftline-tests", "local[4]", {
         "spark.sql.shuffle.partitions": "4",
-        "spark.ui.enabled": "false",
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,

@@ -76,7 +76,7 @@ def main():
     folder = args.pop(0) if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     load_all()
     spark = build_session("compare", "local[8]", {
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE})
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(folder), 0

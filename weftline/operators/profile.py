@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from weftline.functions.columns import DATE_TYPES, is_numeric, present, quote
-from weftline.operators.quantiles import grouped_quantiles
+from weftline.operators.quantiles import column_quantiles
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -112,9 +112,7 @@ def profile(df: DataFrame, include: list[str] | None = None, exclude: list[str]
                 df.agg(F.percentile_approx(F.col(quote(n)).cast("double"), list(QUARTILES.values())).alias("q"))
                 .select(F.lit(n).alias("column"), *[F.col("q")[i].alias(k) for i, k in enumerate(QUARTILES)]) for n in numbers])
         else:
-            long = df.select(F.explode(F.array(*[
-                F.struct(F.lit(n).alias("column"), F.col(quote(n)).cast("double").alias("v")) for n in numbers])).alias("s")).select("s.*")
-            quart = grouped_quantiles(long, ["column"], "v", QUARTILES)
+            quart = column_quantiles(df, numbers, QUARTILES)
     else:
         quart = df.sparkSession.createDataFrame([], "column string, q25 double, q50 double, q75 double")
     out = out.join(quart, "column", "left")
