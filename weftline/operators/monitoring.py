@@ -83,34 +83,29 @@ def current_streak(events: DataFrame, key: str = "dag_id", time: str = "end_time
     return joined.select(key, streak.cast("bigint").alias("failure_streak"))
 
 
-def running_streak(events: DataFrame, key: str = "dag_id", time: str = "end_time", tie: str = "run_id", chunk: str = "day") -> DataFrame:
+def running_streak(events: DataFrame, key: str = "dag_id", time: str = "end_time", tie: str = "run_id", chunk: str = "hour") -> DataFrame:
     """The streak after every event: +1 on a failure, 0 on a success.
 
-    A pipeline's rows are cut into time chunks. Each chunk is scanned by itself; one
-    summary row per chunk carries the streak over to the next. No task sees more of
-    one pipeline than a chunk, and the result equals one scan over everything.
+    A pipeline's rows are cut into time chunks and shuffled once by (pipeline, chunk).
+    Each chunk is scanned by itself; one summary row per chunk carries the streak over
+    to the next. No task sees more of one pipeline than a chunk, and the result equals
+    one scan over everything.
     """
+    by_row = [time, tie]
     e = events.withColumn("_chunk", F.date_trunc(chunk, F.col(time)))
-    inside = Window.partitionBy(key, "_chunk").orderBy(time, tie).rowsBetween(Window.unboundedPreceding, 0)
-    ok, bad = F.when(_is("success"), 1).otherwise(0), F.when(_is("failed"), 1).otherwise(0)
-    e = e.withColumn("_resets", F.sum(ok).over(inside))
-    segment = Window.partitionBy(key, "_chunk", "_resets").orderBy(time, tie).rowsBetween(Window.unboundedPreceding, 0)
-    e = e.withColumn("_local", F.sum(bad).over(segment))
+    inside = Window.partitionBy(key, "_chunk").orderBy(*by_row).rowsBetween(Window.unboundedPreceding, 0)
+    e = e.withColumn("_resets", F.sum(F.when(_is("success"), 1).otherwise(0)).over(inside))
+    segment = Window.partitionBy(key, "_chunk", "_resets").orderBy(*by_row).rowsBetween(Window.unboundedPreceding, 0)
+    e = e.withColumn("_local", F.sum(F.when(_is("failed"), 1).otherwise(0)).over(segment))
 
-    # Per chunk: does it hold a success, and how many failures follow the last one (or there are at all).
-    moment = F.struct(F.col(time), F.col(tie))
-    chunks = (events.withColumn("_chunk", F.date_trunc(chunk, F.col(time))).groupBy(key, "_chunk")
-              .agg(F.max(F.when(_is("success"), moment)).alias("_last"), F.count_if(_is("failed")).alias("_all")))
-    tails = (events.withColumn("_chunk", F.date_trunc(chunk, F.col(time))).filter(_is("failed"))
-             .select(key, "_chunk", moment.alias("_at")).join(chunks, [key, "_chunk"])
-             .filter(F.col("_last").isNull() | (F.col("_at") > F.col("_last")))
-             .groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_tail")))
-    c = chunks.join(tails, [key, "_chunk"], "left").withColumn("_tail", F.coalesce("_tail", F.lit(0)))
+    # What a chunk hands on: its last local streak, on top of earlier ones if it holds no success.
+    chunks = e.groupBy(key, "_chunk").agg(F.max("_resets").alias("_resets"), F.max_by("_local", F.struct(*by_row)).alias("_tail"))
     by_time = Window.partitionBy(key).orderBy("_chunk")
-    c = c.withColumn("_group", F.sum(F.when(F.col("_last").isNotNull(), 1).otherwise(0)).over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
-    out = F.sum("_tail").over(Window.partitionBy(key, "_group").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0))
-    c = c.withColumn("_out", out).withColumn("_carry", F.coalesce(F.lag("_out").over(by_time), F.lit(0)))
-    joined = e.join(c.select(key, "_chunk", "_carry"), [key, "_chunk"])
+    chunks = chunks.withColumn("_group", F.sum(F.when(F.col("_resets") > 0, 1).otherwise(0)).over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
+    handed_on = F.sum("_tail").over(Window.partitionBy(key, "_group").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0))
+    carry = (chunks.withColumn("_out", handed_on).withColumn("_carry", F.coalesce(F.lag("_out").over(by_time), F.lit(0)))
+             .select(key, "_chunk", "_carry"))
+    joined = e.join(carry, [key, "_chunk"])
     streak = F.col("_local") + F.when(F.col("_resets") == 0, F.col("_carry")).otherwise(0)
     return joined.withColumn("failure_streak", streak.cast("bigint")).drop("_chunk", "_resets", "_local", "_carry")
 

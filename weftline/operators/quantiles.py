@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftline.functions.columns import quote
+from weftline.session import freeze
 
 Bracket = tuple[Column, Column]
 
@@ -78,7 +79,9 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
         return column_quantiles(df, [value], probs, accuracy).select(*names)
     v = F.col(quote(value)).cast("double")
     rows = df.select(*[F.col(quote(k)) for k in keys], F.when(~F.isnan(v), v).alias("_v")).filter("_v is not null")
-    ends = rows.groupBy(*keys).agg(*_stats(F.col("_v"), levels, accuracy)).select(*keys, *_brackets(levels, accuracy))
+    # Written out, the brackets have a known size: where they are small Spark broadcasts
+    # them by itself, and the rows are not shuffled for the join, however skewed they are.
+    ends = freeze(rows.groupBy(*keys).agg(*_stats(F.col("_v"), levels, accuracy)).select(*keys, *_brackets(levels, accuracy)), "brackets")
     same = reduce(lambda a, b: a & b, [F.col(f"l.{quote(k)}").eqNullSafe(F.col(f"r.{quote(k)}")) for k in keys])
     bounds = [c for i in range(len(levels)) for c in (f"_lo{i}", f"_hi{i}")]
     joined = rows.alias("l").join(ends.alias("r"), same).select("l.*", *[f"r.{b}" for b in bounds])

@@ -20,6 +20,9 @@ from weftline.session import scratch_path
 from weftline.sinks.shape import align_to, conform, evolve, with_schema
 
 
+MODES = ("overwrite", "append", "upsert", "update", "insert_only")
+
+
 @dataclass
 class WriteResult:
     target: str
@@ -122,42 +125,67 @@ def write_table(df: DataFrame, path: str, mode: str = "append", keys: list[str]
                 table_schema: dict[str, str] | None = None, auto_create: bool = True, align: bool = False) -> WriteResult:
     """Write and return the number of rows written, counted while writing.
 
-    An empty input writes nothing and leaves the target as it is.
+    An empty input leaves the target as it is. The input is computed once: rows go to
+    a new folder, are counted on the way, and only then take the target's place.
     """
     spark = df.sparkSession
-    if mode in ("upsert", "update", "insert_only") and not keys:
+    if mode in MODES[2:] and not keys:
         raise ValueError(f"{mode} needs keys")
     if table_schema:
         df = with_schema(df, table_schema)
-    if df.isEmpty():
-        return WriteResult(path, mode, 0, columns=df.columns)
     exists = table_exists(spark, path)
     if not exists and not auto_create:
         raise FileNotFoundError(f"{path} does not exist and auto_create is off")
+    if mode not in MODES:
+        raise ValueError(f"unknown write mode: {mode}")
     if align and exists and mode != "overwrite":
         df = align_to(df, read_table(spark, path).columns)
     counted = Observation()
     df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
 
-    if mode == "append":
-        if exists:
-            df = _fit_for_append(df, read_table(spark, path).schema)
-        _writer(df, partition_by, sort_by).mode("append").parquet(path)
-    elif mode == "overwrite":
-        _replace(df, path, partition_by, sort_by)
-    elif mode == "upsert":
-        _upsert(df, path, exists, keys, order, partition_by, sort_by)
-    elif mode == "insert_only":
-        new = rows_to_insert(read_table(spark, path), df, keys, order) if exists else latest_per_key(df, keys, order)
-        _writer(new, partition_by, sort_by).mode("append").parquet(path)
-    elif mode == "update":
-        if exists:
-            _replace(merge_update(read_table(spark, path), df, keys, order), path, partition_by, sort_by)
-        else:
-            return WriteResult(path, mode, 0, columns=df.columns)
+    def rows() -> int:
+        return int(counted.get["rows"])
+
+    layout = (partition_by, sort_by)
+    if mode == "append" and exists:
+        _writer(_fit_for_append(df, read_table(spark, path).schema), *layout).mode("append").parquet(path)
+    elif mode == "insert_only" and exists:
+        _writer(rows_to_insert(read_table(spark, path), df, keys, order), *layout).mode("append").parquet(path)
+    elif mode == "overwrite" or (not exists and mode != "update"):
+        fresh = _stage(df if mode in ("overwrite", "append") else latest_per_key(df, keys, order), *layout)
+        _swap_unless_empty(spark, fresh, path, rows())
+    elif exists:
+        # The input is used twice below, so it is computed once and read back.
+        incoming_path = _stage(latest_per_key(df, keys, order), None, None)
+        if rows():
+            incoming = spark.read.schema(df.schema).parquet(incoming_path)
+            if mode == "update":
+                swap_in(spark, _stage(merge_update(read_table(spark, path), incoming, keys), *layout), path)
+            else:
+                _upsert(incoming, path, keys, *layout)
+        _delete(spark, incoming_path)
     else:
-        raise ValueError(f"unknown write mode: {mode}")
-    return WriteResult(path, mode, int(counted.get["rows"]), created=not exists, columns=df.columns)
+        return WriteResult(path, mode, 0, columns=df.columns)
+    return WriteResult(path, mode, rows(), created=not exists and rows() > 0, columns=df.columns)
+
+
+def _stage(df: DataFrame, partition_by, sort_by) -> str:
+    """Write to a new folder of the shared area."""
+    fresh = scratch_path(df.sparkSession, "staged")
+    _writer(df, partition_by, sort_by).parquet(fresh)
+    return fresh
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _swap_unless_empty(spark: SparkSession, fresh: str, path: str, rows: int) -> None:
+    if rows:
+        swap_in(spark, fresh, path)
+    else:
+        _delete(spark, fresh)
 
 
 def _fit_for_append(df: DataFrame, target: T.StructType) -> DataFrame:
@@ -169,32 +197,20 @@ def _fit_for_append(df: DataFrame, target: T.StructType) -> DataFrame:
     return fitted
 
 
-def _replace(df: DataFrame, path: str, partition_by, sort_by) -> None:
-    fresh = scratch_path(df.sparkSession, "rewrite")
-    _writer(df, partition_by, sort_by).parquet(fresh)
-    swap_in(df.sparkSession, fresh, path)
-
-
-def _upsert(df: DataFrame, path: str, exists: bool, keys, order, partition_by, sort_by) -> None:
-    spark = df.sparkSession
-    if not exists:
-        _replace(latest_per_key(df, keys, order), path, partition_by, sort_by)
-        return
-    # The input is merged twice below, so it is computed once and read back.
-    incoming_path = scratch_path(spark, "incoming")
-    latest_per_key(df, keys, order).write.parquet(incoming_path)
-    incoming = spark.read.parquet(incoming_path)
+def _upsert(incoming: DataFrame, path: str, keys, partition_by, sort_by) -> None:
+    """`incoming` has one row per key and is read from files."""
+    spark = incoming.sparkSession
+    target = read_table(spark, path)
     if not partition_by or not set(partition_by) <= set(keys):
-        _replace(merge_upsert(read_table(spark, path), incoming, keys), path, partition_by, sort_by)
+        swap_in(spark, _stage(merge_upsert(target, incoming, keys), partition_by, sort_by), path)
         return
     # Rows with equal keys share a partition, so only partitions of the input change.
     touched = incoming.select(*partition_by).distinct()
-    target = read_table(spark, path)
     affected = target.alias("l").join(touched.alias("r"), _same_keys(partition_by), "left_semi")
-    fresh = scratch_path(spark, "partitions")
-    merge_upsert(affected, incoming, keys).write.partitionBy(*partition_by).parquet(fresh)
+    fresh = _stage(merge_upsert(affected, incoming, keys), partition_by, None)
     merged = spark.read.schema(_stored_schema(spark, fresh, target)).parquet(fresh)
     (_writer(merged, partition_by, sort_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path))
+    _delete(spark, fresh)
 
 
 def _stored_schema(spark, fresh: str, target: DataFrame) -> T.StructType:
@@ -209,7 +225,7 @@ def evolve_table(spark: SparkSession, path: str, wanted: T.StructType, partition
     table = read_table(spark, path)
     _, schema = evolve(spark.createDataFrame([], wanted), table.schema)
     if [(f.name, f.dataType) for f in schema.fields] != [(f.name, f.dataType) for f in table.schema.fields]:
-        _replace(conform(table, schema), path, partition_by, None)
+        swap_in(spark, _stage(conform(table, schema), partition_by, None), path)
     return schema
 
 
