@@ -143,3 +143,18 @@ def test_field_coverage(spark):
     df = spark.createDataFrame([(1, None), (2, "x"), (3, None)], "a int, b string")
     rows = {r.field: (r.filled, r.coverage) for r in field_coverage(df, ["a", "b"]).collect()}
     assert rows == {"a": (3, 100.0), "b": (1, 33.33)}
+
+
+def test_both_ways_of_discovery_agree(spark, monkeypatch):
+    from weftline.operators import jsonflat
+
+    texts = ['{"a":{"b":1,"c d":2.5}}', '{"a":"x","n":null}', '{"a":{}}', '{"p":[1,2],"q":[[1]],"e":[]}', '{"l":[{"x":1},{"y":[1]}]}',
+             '{"m":[1,{"x":1}],"k: DECIMAL(1,2)":{"z":1.25},"A":1,"t<":{"u":[null]}}', "7", "null", '{"":{"w":true}}', '{"x`y":{"v":"s"}}']
+    docs = split_records(spark.createDataFrame([(t,) for t in texts], "event string"), "event")
+    for options in (Options(), Options(max_depth=1)):
+        by_shape = discover(docs, options=options)
+        monkeypatch.setattr(jsonflat, "MAX_SHAPES", 1)
+        assert discover(docs, options=options) == by_shape
+        monkeypatch.undo()
+    paths = {x.path for x in by_shape}
+    assert {("",), ("x`y",), ("t<",), ("k: DECIMAL(1,2)",)} <= paths

@@ -6,7 +6,6 @@ from pyspark.sql import Column, functions as F, types as T
 
 # --- fixed values ---
 NUMERIC_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-INTEGER_TEXT = r"^\s*[+-]?\d{1,18}\s*$"
 # --- end of fixed values ---
 
 NUMERIC_TYPES = (
@@ -39,6 +38,11 @@ def to_number(c: Column) -> Column:
     return F.when(c.rlike(NUMERIC_TEXT), F.trim(c).try_cast("double"))
 
 
+def looks_whole(c: Column) -> Column:
+    """For numeric text: no fraction, no exponent, and short enough for a bigint."""
+    return ~c.contains(".") & ~c.contains("e") & ~c.contains("E") & (F.length(c) <= 18)
+
+
 def starts_matching(c: Column, pattern: str) -> Column:
     """True where the text matches the pattern from its first character on."""
     return c.cast("string").rlike(f"^(?:{pattern})")

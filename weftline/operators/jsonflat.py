@@ -1,8 +1,8 @@
 """JSON text in a column -> typed columns, for documents whose shape varies by row.
 
-Two steps. `discover` finds every leaf path in one distributed pass: parsed
-documents are exploded level by level inside one stage and only the distinct
-(path, kind) pairs are shuffled, so names, never data, reach the driver. `project`
+Two steps. `discover` finds every leaf path in a distributed pass: only distinct
+shapes and distinct (path, kind) pairs are shuffled, so names, never data, reach the
+driver. `project`
 then reads each path straight out of the parsed variant in one projection. A known
 field list skips the first step.
 
@@ -14,12 +14,13 @@ without keys: it gives no column but can hide a value of another row).
 from __future__ import annotations
 
 import json
+import re
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from weftline.functions.columns import INTEGER_TEXT, quote, to_number
+from weftline.functions.columns import looks_whole, quote, to_number
 from weftline.functions.names import clean_identifier, dedupe_names
 
 # --- fixed values ---
@@ -36,6 +37,9 @@ LANGUAGE_FIELDS = ["name", "description"]
 # --- end of fixed values ---
 
 LEVELS_PER_PASS = 5
+# Distinct document shapes the driver will look at; a shape is a short text.
+MAX_SHAPES = 1000
+DECIMAL_SHAPE = r": DECIMAL\(\d+,\s*\d+\)"
 # Arrays directly inside arrays at the top of a document; deeper ones stay JSON text.
 NESTED_ARRAYS = 3
 
@@ -138,26 +142,107 @@ def _node_type() -> str:
     return "array<struct<path:array<string>,inner:array<string>,item:int,v:variant,kind:string>>"
 
 
+def _shape(v: Column) -> Column:
+    """Type of a document as text, without the precision of its numbers."""
+    return F.regexp_replace(F.schema_of_variant(v), DECIMAL_SHAPE, ": DOUBLE")
+
+
 def discover(documents: DataFrame, doc: str = "_doc", options: Options = Options()) -> list[Leaf]:
     """Every distinct leaf of the documents, sorted by path.
 
-    Documents deeper than one pass are taken further in another pass; that is the
-    only reason for more than one job.
+    Most tables hold few distinct shapes, so one pass collects those. A shape says
+    everything but what arrays hold; a second pass looks at just the array paths that
+    are unclear. Where there are too many shapes to list, or one cannot be read, the
+    documents are exploded level by level instead.
+    """
+    found = documents.filter(F.col(doc).isNotNull())
+    leaves = _listed_leaves(found, F.col(doc), options)
+    if leaves is None:
+        leaves = _explode_leaves(found, doc, options)
+    return sorted(leaves, key=lambda x: (x.path, -1 if x.item is None else x.item, x.inner, x.kind))
+
+
+def _listed_leaves(documents: DataFrame, doc: Column, options: Options) -> set[Leaf] | None:
+    shapes = [r.shape for r in documents.select(_shape(doc).alias("shape")).distinct().limit(MAX_SHAPES + 1).collect()]
+    read = [_shape_leaves(s, options) for s in shapes]
+    if len(shapes) > MAX_SHAPES or None in read:
+        return None
+    leaves = {leaf for some in read for leaf in some}
+    unclear = sorted({x.path for x in leaves if x.kind == "unclear"})
+    leaves = {x for x in leaves if x.kind != "unclear"}
+    if not unclear:
+        return leaves
+    looks = []
+    for i, path in enumerate(unclear):
+        items = _items(F.try_variant_get(doc, _json_path(path), "variant"))
+        firsts = F.transform(F.slice(items, 1, INDEXED_ITEMS), lambda x: _shape(x))
+        looks.append(F.when(items.isNotNull(), F.struct(F.lit(i).alias("i"), _objects_only(items).alias("objects"), firsts.alias("firsts"))))
+    arrays = (documents.select(F.explode(F.array_compact(F.array(*looks))).alias("a")).select("a.*")
+              .distinct().limit(MAX_SHAPES + 1).collect())
+    if len(arrays) > MAX_SHAPES:
+        return None
+    for row in arrays:
+        path = unclear[row.i]
+        leaves.add(Leaf(path, "objects" if row.objects else "array"))
+        if not row.objects or (options.max_depth is not None and len(path) >= options.max_depth):
+            continue
+        for item, shape in enumerate(row.firsts):
+            inner = _shape_leaves(shape, options, len(path))
+            if inner is None:
+                return None
+            leaves.update(Leaf(path, "objects" if x.kind == "unclear" else x.kind, item, x.path) for x in inner)
+    return leaves
+
+
+def _shape_leaves(shape: str, options: Options, depth: int = 0) -> list[Leaf] | None:
+    """Leaves of a shape such as `OBJECT<a: BIGINT, b: OBJECT<c: STRING>>`; None if it cannot be read.
+
+    Kind `unclear` is an array that may be empty or hold objects only.
+    """
+    quoted = re.findall(r"`((?:[^`]|``)*)`", shape)
+    if any(mark in name for name in quoted for mark in ("<", ">", ": ")):
+        return None
+    try:
+        kind = T.DataType.fromDDL(shape.replace("OBJECT<", "STRUCT<"))
+    except Exception:  # noqa: BLE001 - a name the parser does not take
+        return None
+    out: list[Leaf] = []
+
+    def walk(dtype: T.DataType, path: tuple[str, ...]) -> None:
+        if isinstance(dtype, T.StructType):
+            if not dtype.fields:
+                out.append(Leaf(path, "empty"))
+            elif options.max_depth is not None and depth + len(path) >= options.max_depth:
+                out.append(Leaf(path, "deep"))
+            else:
+                for f in dtype.fields:
+                    walk(f.dataType, (*path, f.name))
+        elif isinstance(dtype, T.ArrayType):
+            clear = not isinstance(dtype.elementType, (T.StructType, T.NullType))
+            out.append(Leaf(path, "array" if clear else "unclear"))
+        elif path or depth or not isinstance(dtype, T.NullType):
+            out.append(Leaf(path, "value"))
+
+    walk(kind, ())
+    return out
+
+
+def _explode_leaves(documents: DataFrame, doc: str, options: Options) -> set[Leaf]:
+    """Leaves by exploding the documents level by level inside one stage.
+
+    Documents deeper than one pass are taken further in another pass.
     """
     empty = F.array().cast("array<string>")
     levels = LEVELS_PER_PASS
     while True:
-        state = documents.filter(F.col(doc).isNotNull()).select(
-            empty.alias("path"), empty.alias("inner"), F.lit(None).cast("int").alias("item"),
-            F.col(doc).alias("v"), F.lit(None).cast("string").alias("kind"))
+        state = documents.select(empty.alias("path"), empty.alias("inner"), F.lit(None).cast("int").alias("item"),
+                                 F.col(doc).alias("v"), F.lit(None).cast("string").alias("kind"))
         for _ in range(levels):
             state = _expand(state, options)
         found = state.select("path", "inner", "item", F.coalesce("kind", F.lit("open")).alias("kind")).distinct().collect()
-        if any(r.kind == "open" for r in found):
-            levels += LEVELS_PER_PASS
-            continue
-        leaves = {Leaf(tuple(r.path), r.kind, r.item, tuple(r.inner)) for r in found}
-        return sorted(leaves, key=lambda x: (x.path, -1 if x.item is None else x.item, x.inner, x.kind))
+        if not any(r.kind == "open" for r in found):
+            return {Leaf(tuple(r.path), r.kind, r.item, tuple(r.inner)) for r in found}
+        levels += LEVELS_PER_PASS
 
 
 def _json_path(keys: tuple[str, ...], item: int | None = None, inner: tuple[str, ...] = ()) -> str:
@@ -246,8 +331,8 @@ def project(documents: DataFrame, leaves: list[Leaf], keep: list[str], options:
 def infer_types(df: DataFrame, columns: list[str]) -> DataFrame:
     """Numbers, booleans and times out of text columns; a column changes as a whole or not at all.
 
-    One aggregate looks at all columns. The set of boolean spellings is bounded by
-    the words it may hold.
+    One aggregate looks at all columns. Only columns of boolean words are looked at
+    again, for their spellings, whose set is bounded by the words.
     """
     if not columns:
         return df
@@ -259,13 +344,15 @@ def infer_types(df: DataFrame, columns: list[str]) -> DataFrame:
         probes += [
             F.count(c).alias(f"n{i}"),
             F.count(to_number(c)).alias(f"num{i}"),
-            F.count_if(c.rlike(INTEGER_TEXT)).alias(f"int{i}"),
+            F.count_if(to_number(c).isNotNull() & looks_whole(c)).alias(f"int{i}"),
             F.count_if(is_word).alias(f"word{i}"),
-            F.size(F.collect_set(F.when(is_word, c))).alias(f"spell{i}"),
         ]
         if TIME_MARK in name.lower():
             probes.append(F.count(c.try_cast("timestamp")).alias(f"time{i}"))
     seen = df.agg(*probes).first()
+    wordy = [i for i in range(len(columns)) if 0 < seen[f"n{i}"] == seen[f"word{i}"] and seen[f"num{i}"] / seen[f"n{i}"] <= NUMERIC_SHARE]
+    spellings = [F.size(F.collect_set(F.col(quote(columns[i])))).alias(f"spell{i}") for i in wordy]
+    spelled = df.agg(*spellings).first().asDict() if wordy else {}
     changes = {}
     for i, name in enumerate(columns):
         c, total = F.col(quote(name)), seen[f"n{i}"]
@@ -275,7 +362,7 @@ def infer_types(df: DataFrame, columns: list[str]) -> DataFrame:
             if seen[f"num{i}"] == total:
                 whole = seen[f"int{i}"] == total
                 changes[name] = F.trim(c).cast("bigint") if whole else to_number(c)
-        elif seen[f"word{i}"] == total and seen[f"spell{i}"] <= MAX_BOOLEAN_SPELLINGS:
+        elif i in wordy and spelled[f"spell{i}"] <= MAX_BOOLEAN_SPELLINGS:
             changes[name] = F.when(F.lower(c).isin(*TRUE_WORDS), True).when(c.isNotNull(), False)
         elif TIME_MARK in name.lower() and seen[f"time{i}"] / total > TIME_SHARE and seen[f"time{i}"] == total:
             changes[name] = c.cast("timestamp")
