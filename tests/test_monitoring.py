@@ -48,6 +48,12 @@ def test_streaks_equal_a_plain_scan(spark):
     assert as_dict(M.current_streak(runs), "dag_id", "failure_streak") == streak
 
 
+def test_streak_rows_without_a_key_are_kept(spark):
+    runs = run_rows(spark, [("a", 1, 0, "failed"), (None, 2, 0, "failed"), (None, 3, 1, "success")])
+    assert as_dict(M.running_streak(runs), "run_id", "failure_streak") == {1: 1, 2: None, 3: None}
+    assert as_dict(M.current_streak(runs), "dag_id", "failure_streak") == {"a": 1, None: 0}
+
+
 def test_zero_rows_and_health(spark):
     runs = run_rows(spark, [("a", 1, 0, "running"), ("b", 2, 0, "success")] + [("b", 3 + i, 50, "failed") for i in range(5)])
     zeros = {(r.dag_id, r.state): r.runs for r in M.counts_with_zeros(runs).collect()}

@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftline.functions.columns import quote
+from weftline.session import freeze
 
 # --- fixed values ---
 DAG_DURATION_BOUNDS = [30, 60, 300, 600, 1800, 3600, 7200, 14400, 28800]
@@ -70,17 +71,18 @@ def consecutive_failures(runs: DataFrame, latest: int = LATEST_RUNS) -> DataFram
 def current_streak(events: DataFrame, key: str = "dag_id", time: str = "end_time", tie: str = "run_id") -> DataFrame:
     """Failures since the last success of each pipeline; other states do not count.
 
-    Two aggregates and a join on one row per pipeline instead of a window over all
-    rows of a pipeline.
+    Two passes and a join on one row per pipeline instead of a window over all rows of
+    a pipeline. The rows per pipeline are written out once, so Spark knows their size.
     """
     moment = F.struct(F.col(time), F.col(tie))
-    last = events.filter(_is("success")).groupBy(key).agg(F.max(moment).alias("_last"))
-    all_keys = events.groupBy(key).agg(F.count_if(_is("failed")).alias("_failed"))
-    since = (events.filter(_is("failed")).select(key, moment.alias("_at")).join(last, key)
-             .filter(F.col("_at") > F.col("_last")).groupBy(key).agg(F.count(F.lit(1)).alias("_since")))
-    joined = all_keys.join(last.select(key, F.lit(True).alias("_ok")), key, "left").join(since, key, "left")
-    streak = F.when(F.col("_ok"), F.coalesce("_since", F.lit(0))).otherwise(F.col("_failed"))
-    return joined.select(key, streak.cast("bigint").alias("failure_streak"))
+    stats = freeze(events.groupBy(key).agg(F.max(F.when(_is("success"), moment)).alias("_last"),
+                                           F.count_if(_is("failed")).alias("_failed")), "streaks")
+    same = F.col(f"e.{quote(key)}").eqNullSafe(F.col(f"s.{quote(key)}"))
+    since = (events.filter(_is("failed")).select(key, moment.alias("_at")).alias("e").join(stats.alias("s"), same)
+             .filter("e._at > s._last").groupBy(F.col(f"e.{quote(key)}").alias(key)).agg(F.count(F.lit(1)).alias("_since")))
+    joined = stats.alias("s").join(since.alias("e"), same, "left")
+    streak = F.when(F.col("_last").isNull(), F.col("_failed")).otherwise(F.coalesce("_since", F.lit(0)))
+    return joined.select(F.col(f"s.{quote(key)}").alias(key), streak.cast("bigint").alias("failure_streak"))
 
 
 def running_streak(events: DataFrame, key: str = "dag_id", time: str = "end_time", tie: str = "run_id", chunk: str = "hour") -> DataFrame:
@@ -89,10 +91,13 @@ def running_streak(events: DataFrame, key: str = "dag_id", time: str = "end_time
     A pipeline's rows are cut into time chunks and shuffled once by (pipeline, chunk).
     Each chunk is scanned by itself; one summary row per chunk carries the streak over
     to the next. No task sees more of one pipeline than a chunk, and the result equals
-    one scan over everything.
+    one scan over everything. Rows without a pipeline or a time have no streak.
     """
     by_row = [time, tie]
-    e = events.withColumn("_chunk", F.date_trunc(chunk, F.col(time)))
+    placed = F.col(quote(key)).isNotNull() & F.col(quote(time)).isNotNull()
+    apart = events.filter(~placed).withColumn("failure_streak", F.lit(None).cast("bigint"))
+    # The same filters on both sides of the join below let Spark reuse one shuffle.
+    e = events.filter(placed).withColumn("_chunk", F.date_trunc(chunk, F.col(time))).filter("_chunk IS NOT NULL")
     inside = Window.partitionBy(key, "_chunk").orderBy(*by_row).rowsBetween(Window.unboundedPreceding, 0)
     e = e.withColumn("_resets", F.sum(F.when(_is("success"), 1).otherwise(0)).over(inside))
     segment = Window.partitionBy(key, "_chunk", "_resets").orderBy(*by_row).rowsBetween(Window.unboundedPreceding, 0)
@@ -107,7 +112,8 @@ def running_streak(events: DataFrame, key: str = "dag_id", time: str = "end_time
              .select(key, "_chunk", "_carry"))
     joined = e.join(carry, [key, "_chunk"])
     streak = F.col("_local") + F.when(F.col("_resets") == 0, F.col("_carry")).otherwise(0)
-    return joined.withColumn("failure_streak", streak.cast("bigint")).drop("_chunk", "_resets", "_local", "_carry")
+    done = joined.withColumn("failure_streak", streak.cast("bigint")).drop("_chunk", "_resets", "_local", "_carry")
+    return done.unionByName(apart)
 
 
 def task_runs_by_state(runs: DataFrame) -> DataFrame:

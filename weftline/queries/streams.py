@@ -18,7 +18,7 @@ from weftline.sinks.tables import read_table
 from weftline.streaming import events as S
 from weftline.streaming.tables import check_stream, total_scores, upsert_stream
 
-CLOSED_SQL = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"
+CLOSED_SQL = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"
 
 
 def stream(t):
@@ -26,8 +26,8 @@ def stream(t):
 
 
 def closed(t, path):
-    """Windows that ended a day before the last event."""
-    last = t.events.agg(F.max("ts") - F.expr("INTERVAL 1 DAY")).scalar()
+    """Windows that ended two hours before the last event."""
+    last = t.events.agg(F.max("ts") - F.expr("INTERVAL 2 HOUR")).scalar()
     return t.spark.read.parquet(path).withColumn("window_end", F.col("window_end").cast("timestamp_ntz")).filter(F.col("window_end") <= last)
 
 
