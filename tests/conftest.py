@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from weftline.session import STATE_STORE, build_session  # noqa: E402
+from weftline.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,8 +14,7 @@ def spark(tmp_path_factory):
         "spark.sql.shuffle.partitions": "4",
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g",
-        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
-        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

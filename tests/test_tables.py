@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from weftline.operators.staging import LINEAGE, Stage, stage_name
 from weftline.plans.runner import Runner, first_non_empty
-from weftline.plans.spec import SinkSpec, SourceSpec, SpecError, load_plan, order_tasks, parse_plan, save_plan, validate_plan
+from weftline.plans.spec import SinkSpec, SourceSpec, SpecError, load_plan, load_plans, order_tasks, parse_plan, save_plan, validate_plan
 from weftline.sinks import outbound
 from weftline.sinks.registry import write_many, write_sink
 from weftline.sinks.shape import align_to, evolve, serialize_for_sink, spark_type, widened, with_schema
@@ -347,6 +347,13 @@ def test_all_task_keys_are_read(tmp_path):
     assert json.loads((tmp_path / "plan.json").read_text())["plan"]["dag_id"] == "d"
 
 
+def test_several_plans_in_one_file():
+    one = "dag_id: %s\ntasks:\n  - {task_id: a, operator_type: dummy}\n"
+    assert [p.dag_id for p in load_plans(one % "x" + "---\n" + one % "y")] == ["x", "y"]
+    with pytest.raises(SpecError):
+        load_plan(one % "x" + "---\n" + one % "y")
+
+
 def test_order():
     plan = parse_plan({"dag_id": "d", "tasks": [task("c", source_task_ids=["b"]), task("b", depends_on=["a"]), task("a")]})
     assert [t.task_id for t in order_tasks(plan)] == ["a", "b", "c"]
@@ -368,6 +375,21 @@ def test_run_with_staging_and_functions(spark, tmp_path):
     assert done.frames["grouped"].count() == 4 and set(done.status.values()) == {"success"}
 
 
+def test_staged_outputs_can_be_dropped(spark, tmp_path):
+    plan = load_plan({"dag_id": "d", "description": "x", "tasks": [
+        task("src", "extract", source={"name": "s", "type": "file", "file_path": "given"}),
+        task("out", "load", depends_on=["src"], sink={"name": "a", "type": "file", "file_path": str(tmp_path / "a")})]})
+    stage = Stage(spark, str(tmp_path / "stage"))
+    done = Runner(spark, stage=stage, drop_staged=True).run(plan, RUN, {"src": spark.range(4)})
+    assert done.writes["out"]["a"].rows == 4 and done.staged == ["src"] and stage.registry().count() == 0
+
+
+def test_code_inside_a_spec_is_refused(spark):
+    plan = load_plan({"dag_id": "d", "description": "x", "tasks": [task("t", "transform", python_transform="def f(data):\n    return data")]})
+    with pytest.raises(ValueError, match="register"):
+        Runner(spark).run(plan, RUN)
+
+
 def test_load_falls_back_to_its_source(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "own"))
     plan = load_plan({"dag_id": "d", "description": "x", "tasks": [

@@ -70,14 +70,13 @@ def compare(spark, con, name, fn, sql, folder):
 
 def main():
     from weftline.queries import ORACLES, QUERIES, load_all
-    from weftline.session import STATE_STORE, build_session
+    from weftline.session import build_session
 
     args = sys.argv[1:]
     folder = args.pop(0) if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     load_all()
     spark = build_session("compare", "local[8]", {
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
-        "spark.sql.streaming.stateStore.providerClass": STATE_STORE})
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(folder), 0
     for name, fn in QUERIES.items():

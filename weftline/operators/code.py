@@ -22,6 +22,8 @@ def resolve(target: str | Callable, entry_points: tuple[str, ...] = FILE_ENTRY_P
     """A callable as it is, `package.module.function`, or the entry point of a `.py` file."""
     if callable(target):
         return target
+    if "\n" in target or target.lstrip().startswith("def "):
+        raise ValueError("code inside a spec is not run; register the function by name or give module.function")
     if target.endswith(".py"):
         path = Path(target)
         spec = importlib.util.spec_from_file_location(path.stem, path)

@@ -31,6 +31,7 @@ class RunResult:
     writes: dict[str, dict] = field(default_factory=dict)
     quality: dict[str, DataFrame] = field(default_factory=dict)
     status: dict[str, str] = field(default_factory=dict)
+    staged: list[str] = field(default_factory=list)
 
 
 @dataclass
@@ -38,6 +39,7 @@ class Runner:
     """`connections` maps a connection id to its settings (path, url, fetch, send, ...).
 
     `functions` maps names used in specs to callables `(inputs, context) -> DataFrame`.
+    With `drop_staged`, staged outputs are deleted after the last load of a run.
     """
 
     spark: SparkSession
@@ -45,6 +47,7 @@ class Runner:
     functions: dict[str, object] = field(default_factory=dict)
     stage: Stage | None = None
     fail_on_quality: bool = False
+    drop_staged: bool = False
 
     def run(self, plan: PlanSpec, run_date: datetime, sources: dict[str, DataFrame] | None = None) -> RunResult:
         """`sources` supplies tables for extract tasks by task id, in place of their connection."""
@@ -66,6 +69,9 @@ class Runner:
                 if task.trigger_rule == "all_success":
                     raise
                 log.warning("task %s failed: %s", task.task_id, problem)
+        if self.stage is not None and self.drop_staged:
+            for task_id in result.staged:
+                self.stage.drop(plan.dag_id, task_id, run_date)
         return result
 
     def _run_task(self, plan, task: TaskSpec, context, sources, result: RunResult) -> None:
@@ -94,6 +100,7 @@ class Runner:
         sinks = [s for s in [task.sink, *(task.sinks or [])] if s]
         if self.stage is not None and task.auto_sink and task.auto_sink_type != "none" and kind != "load":
             self.stage.put(df, plan.dag_id, task.task_id, context["execution_date"], task.auto_sink_type)
+            result.staged.append(task.task_id)
             df = self.stage.get(plan.dag_id, task.task_id, context["execution_date"])
         result.frames[task.task_id] = df
         df.createOrReplaceTempView(task.task_id)

@@ -77,13 +77,13 @@ def _(t):
 COPIES = "(SELECT *, epoch_ms(a * 1000) AS window_end FROM (SELECT *, unnest(range((floor(epoch(ts) / 3600)::BIGINT + 1) * 3600, (floor(epoch(ts) / 3600)::BIGINT * 3600) + 21601, 3600)) AS a FROM events))"
 
 
-@query("duration_spread_breaches", f"""SELECT window_end, round(a.quantile / b.quantile, 4) AS spread FROM ({quantile_sql(histogram_sql(COPIES, "window_end"), "window_end", 0.95, 12)}) a
+@query("duration_spread_breaches", f"""SELECT window_end, round(a.quantile / b.quantile, 6) AS spread FROM ({quantile_sql(histogram_sql(COPIES, "window_end"), "window_end", 0.95, 12)}) a
  JOIN ({quantile_sql(histogram_sql(COPIES, "window_end"), "window_end", 0.5, 12)}) b USING (window_end) WHERE a.quantile / b.quantile > 5""")
 def _(t):
     h = A.sliding_histogram(t.events, [], F.col("value"), TASK_DURATION_BOUNDS, 21600, 3600)
     high, mid = A.histogram_quantile(h, ["window_end"], 0.95), A.histogram_quantile(h, ["window_end"], 0.5).withColumnRenamed("quantile", "mid")
     spread = high.join(mid, "window_end").withColumn("spread", F.col("quantile") / F.col("mid"))
-    return A.breaches(spread, "spread", above=5).select("window_end", r("spread").alias("spread"))
+    return A.breaches(spread, "spread", above=5).select("window_end", r("spread", 6).alias("spread"))
 
 
 @query("rate_drop", f"""SELECT a.event_type, a.window_end, round((a.n / 3600.0) / (b.n / 7200.0), 6)::DOUBLE AS ratio

@@ -18,9 +18,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Each map task keeps only its own top k rows per group before a shuffle.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # Streaming state lives outside the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Temporary folders of local sessions without a configured one, by application.
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def build_session(app: str = "weftline", master: str | None = None, conf: dict | None = None) -> SparkSession:
@@ -44,15 +47,15 @@ def shared_dir(spark: SparkSession) -> str:
     A cluster names it in `spark.checkpoint.dir`. Where that is unset the session
     is a local one (tests), and a temporary folder is created once.
     """
-    conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="weftline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="weftline-")
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
