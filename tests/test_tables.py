@@ -169,6 +169,35 @@ def test_outbound_files(spark, tmp_path):
     assert sum(len(p.read_text().splitlines()) for p in tmp_path.glob("*.json")) == 10
 
 
+def test_database_upserts(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def connect():
+        class Recorder:
+            def cursor(self):
+                return self
+
+            def executemany(self, statement, batch):
+                import uuid
+                with open(f"{folder}/{uuid.uuid4().hex}.json", "w") as f:
+                    json.dump([statement, batch], f)
+
+            def commit(self):
+                pass
+
+            close = commit
+
+        return Recorder()
+
+    df = spark.createDataFrame([(1, "a", 1.5), (1, "a", 1.5), (2, "null", float("nan"))], "k int, v string, n double")
+    sink = SinkSpec("s", "postgresql", "pg", "upsert", "public", "t", upsert_keys=["k"], batch_size=1)
+    assert write_sink(df, sink, {"pg": {"url": "jdbc:x", "connect": connect}}).rows == 3
+    sent = [json.loads(p.read_text()) for p in tmp_path.glob("*.json")]
+    assert {s for s, _ in sent} == {'INSERT INTO public.t ("k", "v", "n") VALUES (%s, %s, %s) ON CONFLICT ("k") DO UPDATE SET "v" = EXCLUDED."v", "n" = EXCLUDED."n"'}
+    assert sorted(tuple(r) for _, b in sent for r in b) == [(1, "a", 1.5), (2, None, None)]
+    assert outbound.upsert_statement("t", ["k"], ["k"]).endswith("DO NOTHING")
+
+
 def test_database_options():
     options = outbound.jdbc_write_options("postgresql", "jdbc:x", "t", "s")
     assert options["dbtable"] == "s.t" and options["batchsize"] == "1000" and options["truncate"] == "true"
@@ -211,7 +240,13 @@ def test_wildcards_cross_folders(spark, tmp_path):
         path.write_text('{"f": "%s"}' % path.stem)
     got = files.read_wildcard(spark, f"{tmp_path}/{{year}}*.json", run=RUN, schema="f string")
     assert sorted(r.f for r in got.collect()) == ["a", "b"]
+    assert sorted(r.f for r in files.read_wildcard(spark, f"file:{tmp_path}/2024*.json").collect()) == ["a", "b"]
     assert files.read_wildcard(spark, f"{tmp_path}/none*.json", schema="f string").count() == 0
+    odd = tmp_path / "a b+c%d" / "x.json"
+    odd.parent.mkdir()
+    odd.write_text('{"f": "odd"}')
+    for schema in (None, "f string"):
+        assert [r.f for r in files.read_wildcard(spark, f"{tmp_path}/a b+*.json", schema=schema).collect()] == ["odd"]
 
 
 @pytest.mark.parametrize("document,expected", [

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weftline.functions.columns import looks_whole, quote, to_number
 from weftline.functions.names import clean_identifier, dedupe_names
+from weftline.session import freeze
 
 # --- fixed values ---
 INDEXED_ITEMS = 3
@@ -388,7 +389,9 @@ def flatten_json(df: DataFrame, json_column: str, options: Options = Options(),
         flat = drop_empty_columns(flat, made)
         made = flat.columns[len(keep):]
     if options.type_inference and options.null_handling != "empty_string":
-        flat = infer_types(flat, made)
+        # The text columns are written out once: looking at their values and casting them
+        # then read columns instead of parsing every document again.
+        flat = infer_types(freeze(flat, "json-columns"), made)
     return flat
 
 

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pyspark.sql import DataFrame, functions as F
 
 from weftline.sinks.shape import serialize_for_sink
+from weftline.sinks.tables import latest_per_key
 from weftline.sources.jdbc import DRIVERS
 
 # --- fixed values ---
@@ -37,13 +38,46 @@ def merge_tree_options(order_by: list[str], columns: list[str], partition_by: st
 
 
 def write_jdbc(df: DataFrame, kind: str, url: str, table: str, mode: str, properties: dict | None = None, **kw) -> None:
-    """Overwrite truncates and refills. A merge of keys belongs to the database, so it is refused here."""
+    """Overwrite truncates and refills. Upserts go through `upsert_database`."""
     if mode not in ("overwrite", "append"):
-        raise ValueError(f"mode {mode} over JDBC: write a staging table and merge it in the database")
+        raise ValueError(f"mode {mode} over JDBC: give the connection a 'connect' function for upserts")
     (serialize_for_sink(df).write.format("jdbc").mode(mode)
      .options(**jdbc_write_options(kind, url, table, **kw), **(properties or {})).save())
 
 
+def upsert_statement(table: str, columns: list[str], keys: list[str], mark: str = "%s") -> str:
+    """INSERT that replaces all other columns of a row with the same keys."""
+    def listed(names):
+        return ", ".join('"' + c.replace('"', '""') + '"' for c in names)
+
+    others = [c for c in columns if c not in keys]
+    action = "UPDATE SET " + ", ".join(f"{listed([c])} = EXCLUDED.{listed([c])}" for c in others) if others else "NOTHING"
+    return (f"INSERT INTO {table} ({listed(columns)}) VALUES ({', '.join([mark] * len(columns))}) "
+            f"ON CONFLICT ({listed(keys)}) DO {action}")
+
+
+def upsert_database(df: DataFrame, connect: Callable[[], object], table: str, keys: list[str],
+                    batch_size: int = DATABASE_BATCH["postgresql"], mark: str = "%s") -> None:
+    """Upsert in batches, one connection per task, one transaction per batch.
+
+    `connect()` gives a DB-API connection. Equal keys are reduced to one row first, so
+    a repeated task or batch gives the same table.
+    """
+    rows = serialize_for_sink(latest_per_key(df, keys))
+    statement = upsert_statement(table, rows.columns, keys, mark)
+
+    def write_partition(partition):
+        connection = None
+        for batch in batches((tuple(r) for r in partition), batch_size):
+            connection = connection or connect()
+            connection.cursor().executemany(statement, batch)
+            connection.commit()
+        if connection is not None:
+            connection.close()
+
+    rows.foreachPartition(write_partition)
+
+
 def batches(rows: Iterable, size: int) -> Iterator[list]:
     batch = []
     for row in rows:

@@ -114,6 +114,9 @@ def usable_sort(df: DataFrame, wanted: list[str] | None) -> list[str]:
 def _writer(df: DataFrame, partition_by: list[str] | None, sort_by: list[str] | None):
     partition_by = [c for c in partition_by or [] if c in df.columns]
     sort_by = usable_sort(df, sort_by)
+    if partition_by:
+        # Few files per partition value; Spark splits a large value over several tasks.
+        df = df.hint("rebalance", *[F.col(quote(c)) for c in partition_by])
     if partition_by or sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write

@@ -5,7 +5,7 @@ from __future__ import annotations
 import fnmatch
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # --- fixed values ---
 FORMATS_BY_SUFFIX = {".json": "json", ".jsonl": "jsonl", ".csv": "csv", ".parquet": "parquet", ".txt": "text"}
@@ -61,26 +61,25 @@ def read_files(spark: SparkSession, path: str, file_format: str | None = None, s
             F.col("value").alias("content"), F.col("_metadata.file_path").alias("filename"))
     if kind == "binary":
         return reader.format("binaryFile").load(path).select(F.col("content"), F.col("path").alias("filename"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    if kind == "json":
-        return reader.json(path, multiLine=True)
-    if kind == "jsonl":
-        return reader.json(path)
-    if kind == "csv":
-        return reader.csv(path, header=True, inferSchema=schema is None)
-    if kind in ("parquet", "orc"):
-        return reader.format(kind).load(path)
-    raise ValueError(f"unknown file format: {kind}")
+    return _reader(spark, kind, schema).options(**(options or {})).load(path)
+
+
+def _reader(spark: SparkSession, kind: str, schema: str | T.StructType | None):
+    options = {"json": {"multiLine": "true"}, "csv": {"header": "true", "inferSchema": str(schema is None).lower()}}.get(kind, {})
+    formats = {"json": "json", "jsonl": "json", "csv": "csv", "parquet": "parquet", "orc": "orc"}
+    if kind not in formats:
+        raise ValueError(f"unknown file format: {kind}")
+    reader = spark.read.format(formats[kind]).options(**options)
+    return reader if schema is None else reader.schema(schema)
 
 
 def read_wildcard(spark: SparkSession, pattern: str, file_format: str | None = None,
                   schema: str | T.StructType | None = None, run: datetime | None = None) -> DataFrame:
     """Every file below the fixed start of the pattern whose whole path matches it.
 
-    Unlike a path glob, `*` here also crosses folder borders, so the folder is
-    listed recursively and the file path itself is filtered, before any file is opened
-    for its rows.
+    Unlike a path glob, `*` here also crosses folder borders. With a schema, Spark lists
+    the folder in parallel and drops files by their path before any is opened. Without
+    one, the matching files are listed first, so that no other file shapes the result.
     """
     if run is not None:
         pattern = expand_path(pattern, run)
@@ -88,21 +87,35 @@ def read_wildcard(spark: SparkSession, pattern: str, file_format: str | None = N
     if not marks:
         return read_files(spark, pattern, file_format, schema)
     root = pattern[: min(marks)].rsplit("/", 1)[0]
-    kind = file_format or guess_format(pattern)
+    kind = (file_format or guess_format(pattern)).lower()
     if not path_exists(spark, root):
         return empty(spark, schema)
+    if schema is None:
+        matched = _matching_files(spark, root, pattern)
+        return _reader(spark, kind, schema).load(matched) if matched else empty(spark, schema)
+    suffix = pattern[max(pattern.rfind(m) for m in "*?]") + 1:]
+    found = _reader(spark, kind, schema).options(recursiveFileLookup="true", pathGlobFilter=f"*{suffix}").load(root)
+    return found.filter(_plain_path(F.col("_metadata.file_path")).rlike("^(?:" + fnmatch.translate(_path_only(pattern)) + ")"))
+
+
+def _path_only(path: str) -> str:
+    """Without scheme and host."""
+    if "://" in path:
+        return "/" + path.split("://", 1)[1].partition("/")[2]
+    return path.removeprefix("file:")
+
+
+def _plain_path(uri: Column) -> Column:
+    """File address without scheme and host, percent signs decoded."""
+    path = F.regexp_replace(uri, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+
+
+def _matching_files(spark: SparkSession, root: str, pattern: str) -> list[str]:
     fs, p = _file_system(spark, root)
-    listing, matched = fs.listFiles(p, True), []
+    listing, matched, wanted = fs.listFiles(p, True), [], _path_only(pattern)
     while listing.hasNext():
-        found = listing.next().getPath().toUri().getPath()
-        if fnmatch.fnmatch(found, pattern.removeprefix("file:")):
-            matched.append(found)
-    if not matched:
-        return empty(spark, schema)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    readers = {"json": lambda: reader.json(matched, multiLine=True), "jsonl": lambda: reader.json(matched),
-               "csv": lambda: reader.csv(matched, header=True, inferSchema=schema is None),
-               "parquet": lambda: reader.parquet(*matched)}
-    if kind not in readers:
-        raise ValueError(f"unknown file format: {kind}")
-    return readers[kind]()
+        found = listing.next().getPath()
+        if fnmatch.fnmatch(found.toUri().getPath(), wanted):
+            matched.append(found.toString())
+    return matched
