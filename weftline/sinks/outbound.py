@@ -57,7 +57,7 @@ def upsert_statement(table: str, columns: list[str], keys: list[str], mark: str
 
 
 def upsert_database(df: DataFrame, connect: Callable[[], object], table: str, keys: list[str],
-                    batch_size: int = DATABASE_BATCH["postgresql"], mark: str = "%s") -> None:
+                    batch_size: int = DATABASE_BATCH["postgresql"], mark: str = "%s") -> int:
     """Upsert in batches, one connection per task, one transaction per batch.
 
     `connect()` gives a DB-API connection. Equal keys are reduced to one row first, so
@@ -66,16 +66,33 @@ def upsert_database(df: DataFrame, connect: Callable[[], object], table: str, ke
     rows = serialize_for_sink(latest_per_key(df, keys))
     statement = upsert_statement(table, rows.columns, keys, mark)
 
-    def write_partition(partition):
-        connection = None
-        for batch in batches((tuple(r) for r in partition), batch_size):
+    def write_partition(partition) -> int:
+        connection, sent = None, 0
+        for batch in batches((tuple(r.values()) for r in partition), batch_size):
             connection = connection or connect()
             connection.cursor().executemany(statement, batch)
             connection.commit()
+            sent += len(batch)
         if connection is not None:
             connection.close()
+        return sent
 
-    rows.foreachPartition(write_partition)
+    return _per_partition(rows, write_partition)
+
+
+def _per_partition(df: DataFrame, work: Callable[[Iterator[dict]], int]) -> int:
+    """Run `work` on the rows of every partition; the sum of the counts it returns.
+
+    A query over Arrow batches rather than an RDD action, so metrics observed on the
+    input are reported.
+    """
+    def run(arrow_batches):
+        import pyarrow as pa
+
+        count = work(row for batch in arrow_batches for row in batch.to_pylist())
+        yield pa.RecordBatch.from_pydict({"rows": pa.array([count], pa.int64())})
+
+    return df.mapInArrow(run, "rows bigint").agg(F.sum("rows").alias("rows")).first().rows or 0
 
 
 def batches(rows: Iterable, size: int) -> Iterator[list]:
@@ -89,15 +106,18 @@ def batches(rows: Iterable, size: int) -> Iterator[list]:
         yield batch
 
 
-def write_rest(df: DataFrame, send: Callable[[list[dict]], None], batch_size: int = REST_BATCH) -> None:
+def write_rest(df: DataFrame, send: Callable[[list[dict]], None], batch_size: int = REST_BATCH) -> int:
     """Send rows in batches, at least once: a repeated task sends its batches again."""
     records = serialize_for_sink(df).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
 
-    def send_partition(rows):
-        for batch in batches((json.loads(r.record) for r in rows), batch_size):
+    def send_partition(rows) -> int:
+        sent = 0
+        for batch in batches((json.loads(r["record"]) for r in rows), batch_size):
             send(batch)
+            sent += len(batch)
+        return sent
 
-    records.foreachPartition(send_partition)
+    return _per_partition(records, send_partition)
 
 
 def write_remote_files(df: DataFrame, put: Callable[[str, bytes], None], path: str, file_format: str = "json") -> None:

@@ -23,11 +23,10 @@ def _folder(sink: SinkSpec, connection: dict) -> str:
 def _tables(df: DataFrame, sink: SinkSpec, connection: dict) -> WriteResult:
     """Tables and collections kept as Parquet folders; a JDBC url sends them to a database."""
     if sink.write_mode == "upsert" and "connect" in connection:
-        counted, seen = _counted(df)
         name = ".".join(p for p in (sink.schema_name, sink.table_name) if p)
-        outbound.upsert_database(counted, connection["connect"], name, sink.upsert_keys,
-                                 sink.batch_size or outbound.DATABASE_BATCH.get(sink.type, 1000))
-        return WriteResult(name, "upsert", int(seen.get["rows"]), columns=df.columns)
+        sent = outbound.upsert_database(df, connection["connect"], name, sink.upsert_keys,
+                                        sink.batch_size or outbound.DATABASE_BATCH.get(sink.type, 1000))
+        return WriteResult(name, "upsert", sent, columns=df.columns)
     if "url" in connection:
         counted, seen = _counted(df)
         created = sink.custom_config.get("create_options")
@@ -68,9 +67,8 @@ def _sftp(df: DataFrame, sink: SinkSpec, connection: dict) -> WriteResult:
 
 
 def _rest(df: DataFrame, sink: SinkSpec, connection: dict) -> WriteResult:
-    counted, seen = _counted(df)
-    outbound.write_rest(counted, connection["send"], sink.batch_size or outbound.REST_BATCH)
-    return WriteResult(sink.name, "append", int(seen.get["rows"]), columns=df.columns)
+    sent = outbound.write_rest(df, connection["send"], sink.batch_size or outbound.REST_BATCH)
+    return WriteResult(sink.name, "append", sent, columns=df.columns)
 
 
 WRITERS = {"postgresql": _tables, "clickhouse": _tables, "pgvector": _tables, "mongodb": _tables,
