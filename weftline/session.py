@@ -24,6 +24,8 @@ RUNTIME_CONF = {
 
 # Temporary folders of local sessions without a configured one, by application.
 _LOCAL_DIRS: dict[str, str] = {}
+# Folders that `freeze` has written and `release` has not deleted yet, oldest first.
+_FROZEN: list[str] = []
 
 
 def build_session(app: str = "weftline", master: str | None = None, conf: dict | None = None) -> SparkSession:
@@ -66,5 +68,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def freeze(df, label: str = "frozen"):
     """Cut lineage: write to the shared folder and read the files back."""
     path = scratch_path(df.sparkSession, label)
+    _FROZEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def frozen() -> tuple[str, ...]:
+    """Folders written by `freeze` and not released."""
+    return tuple(_FROZEN)
+
+
+def release(spark: SparkSession, paths) -> None:
+    """Delete folders of `freeze` that no later read needs."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _FROZEN.remove(path)
