@@ -3,7 +3,7 @@
 1. Words are counted over the whole corpus in 2**16 slots of their hashes; a word's rarity is the rank of its
    slot. This order has a fixed size, and any order makes the join exact.
 2. Distinct lines become sets of words, ordered by rarity. Two sets of Jaccard similarity t share one of the first
-   n - ceil(t n) + 1 words of each (prefix filter). Pairs must also pass the length filter, the positional
+   n - ceil(t n) + 1 words of each, and of the smaller n - ceil(2 t n / (1 + t)) + 1 suffice (prefix filter). Pairs must also pass the length filter, the positional
    filter (what can still be common from here on) and a bitmap filter (parity bits of both sets, whose
    differences never outnumber the words not in common).
 3. Pairs that pass are verified on the words themselves.
@@ -18,13 +18,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weftline.session import freeze
 
 SLOTS = 1 << 16
-BROADCAST_IDS = 1_000_000  # ids of similar lines that may be broadcast; more are joined by a shuffle
+BROADCAST_IDS = 1_000_000  # ids of similar or repeated lines that may be broadcast; more are joined by a shuffle
 LAST = "9" * 37  # place of lines in rows without an id
 
 
+def _split(line: Column) -> Column:
+    """Lower-case words; other white space than blanks is rare, so the costlier split is only made where there is any."""
+    other = F.lit(False)
+    for c in "\t\v\f\r":
+        other = other | F.contains(line, F.lit(c))
+    return F.when(other, F.split(F.lower(line), "[\\x20\\x09-\\x0D]+")).otherwise(F.split(F.lower(line), " "))
+
+
 def tokens(line: Column) -> Column:
     """Distinct lower-case words."""
-    return F.array_distinct(F.array_remove(F.split(F.lower(line), "[\\x20\\x09-\\x0D]+"), ""))
+    return F.array_distinct(F.array_remove(_split(line), ""))
 
 
 def _ranks(docs: DataFrame, text_col: str) -> Column:
@@ -39,18 +47,23 @@ def _ranks(docs: DataFrame, text_col: str) -> Column:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line that has words: doc_id, sig (of the whole text), line_no, line, place, id, id2."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("sig"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
+    """One row per line: doc_id, sig (of the whole text), line_no, line, place, and id, id2 of lines that have words."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("sig"), F.posexplode_outer(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
     place = F.coalesce(F.col("doc_id").cast("decimal(38,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no").cast("decimal(10,0)"), F.lit(LAST).cast("decimal(38,0)"))
-    rows = rows.where(F.length(F.trim(F.translate("line", "\t\v\f\r", "    "))) > 0)
-    return rows.select("doc_id", "sig", "line_no", "line", place.cast("decimal(38,0)").alias("place"), F.xxhash64("line").alias("id"), F.hash("line").alias("id2"))
+    worded = F.col("line").rlike("[^\\x20\\x09-\\x0D]")
+    return rows.select("doc_id", "sig", "line_no", "line", place.cast("decimal(38,0)").alias("place"), F.when(worded, F.xxhash64("line")).alias("id"), F.when(worded, F.hash("line")).alias("id2"))
+
 
+def _small(frame: DataFrame, rows: int) -> DataFrame:
+    """The frame, to be broadcast if it has so few rows."""
+    return F.broadcast(frame) if rows <= BROADCAST_IDS else frame
 
-def _candidates(docs: DataFrame, lines: DataFrame, text_col: str, percent: int) -> DataFrame:
-    """Pairs of ids of distinct lines that pass all filters."""
-    ranks = _ranks(docs, text_col)
+
+def _candidates(lines: DataFrame, repeated: DataFrame, ranks: Column, percent: int) -> DataFrame:
+    """Pairs of ids of distinct lines that pass all filters; of a repeated line only the first one counts."""
     low = F.lit((1 << 48) - 1)
-    sets = lines.select("line").distinct().select(F.xxhash64("line").alias("id"), F.transform(tokens(F.col("line")), lambda w: F.xxhash64(w)).alias("hashes"))
+    known = lines.where("id is not null").select("id", "id2", "place", "line").join(repeated, ["id", "id2"], "left").where("first is null or place = first")
+    sets = known.select("id", F.array_distinct(F.transform(F.array_remove(_split(F.col("line")), ""), lambda w: F.xxhash64(w))).alias("hashes"))
     # A word's 64-bit hash with its slot replaced by the slot's rank: sorting orders by rarity and loses nothing.
     ordered = sets.select("id", F.sort_array(F.transform("hashes", lambda h: F.shiftleft(F.get(ranks, F.shiftrightunsigned(h, 48).cast("int")), 48).bitwiseOR(h.bitwiseAND(low)))).alias("words"))
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
@@ -59,12 +72,14 @@ def _candidates(docs: DataFrame, lines: DataFrame, text_col: str, percent: int)
     prefix = F.slice("words", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
     rows = sized.select("id", "n", "even", "odd", F.posexplode(prefix).alias("at", "word"))
     a, b = rows.alias("a"), rows.alias("b")
+    # a is the smaller set; of it the shorter prefix that suffices towards sets of its size or more.
+    order = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.id") < F.col("b.id")))
+    short = (100 + percent) * F.col("a.at") <= (100 - percent) * F.col("a.n")
     both = F.col("a.n") + F.col("b.n")
     apart = F.bit_count(F.col("a.even").bitwiseXOR(F.col("b.even"))) + F.bit_count(F.col("a.odd").bitwiseXOR(F.col("b.odd")))
     rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
-    near = (100 * F.col("a.n") >= percent * F.col("b.n")) & (100 * F.col("b.n") >= percent * F.col("a.n")) & ((100 + percent) * rest >= percent * both) & ((100 + percent) * (both - apart) >= 2 * percent * both)
-    found = a.join(b, (F.col("a.word") == F.col("b.word")) & (F.col("a.id") < F.col("b.id")) & near)
-    return found.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    near = short & order & (100 * F.col("a.n") >= percent * F.col("b.n")) & ((100 + percent) * (both - apart) >= 2 * percent * both) & ((100 + percent) * rest >= percent * both)
+    return a.join(b, (F.col("a.word") == F.col("b.word")) & near).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
@@ -76,10 +91,13 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     empty table gives no rows.
     """
     lines = _lines(docs, id_col, text_col)
-    pairs = freeze(_candidates(docs, lines, text_col, percent), "line-pairs")
+    index = freeze(lines.drop("line"), "lines")
+    first = freeze(index.where("id is not null").groupBy("id", "id2").agg(F.min("place").alias("first"), F.count("*").alias("n")), "first-lines")
+    repeated = first.where("n > 1").select("id", "id2", "first")
+    pairs = freeze(_candidates(lines, _small(repeated, repeated.count()), _ranks(docs, text_col), percent), "line-pairs")
+
     ids = freeze(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "line-ids")
-    few = ids.count() <= BROADCAST_IDS
-    near = lines.join(F.broadcast(ids) if few else ids, "id", "left_semi").groupBy("id", "line").agg(F.min("place").alias("place"))
+    near = lines.select("id", "line", "place").join(_small(ids, ids.count()), "id", "left_semi").groupBy("id", "line").agg(F.min("place").alias("place"))
     near = freeze(near.select("id", "place", "line"), "near-lines")
     one = near.select(F.col("id").alias("a"), F.col("place").alias("place_a"), F.col("line").alias("line_a"))
     two = near.select(F.col("id").alias("b"), F.col("place").alias("place_b"), F.col("line").alias("line_b"))
@@ -89,16 +107,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     later = same.select(F.when(F.col("place_a") > F.col("place_b"), F.col("line_a")).otherwise(F.col("line_b")).alias("line"))
     later = later.select(F.xxhash64("line").alias("id"), F.hash("line").alias("id2"), F.lit(True).alias("similar")).distinct()
 
-    first = lines.groupBy("id", "id2").agg(F.min("place").alias("first")).join(later, ["id", "id2"], "left")
-    gone = lines.select("doc_id", "sig", "line_no", "place", "id", "id2").join(first, ["id", "id2"]).where("similar or place > first")
+    stands = first.join(later, ["id", "id2"], "left").where("similar or n > 1").select("id", "id2", "first", "similar")
+    gone = index.where("id is not null").join(stands, ["id", "id2"]).where("similar or place > first")
     gone = gone.groupBy("doc_id", "sig").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
-    worded = F.size(F.filter(F.split(F.col(text_col), "\n"), lambda x: F.length(F.trim(F.translate(x, "\t\v\f\r", "    "))) > 0))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("sig"), F.coalesce(F.size(F.split(F.col(text_col), "\n")), F.lit(0)).alias("n_lines"), F.coalesce(worded, F.lit(0)).alias("worded")).distinct()
-    match = base["doc_id"].eqNullSafe(gone["doc_id"]) & (base["sig"] == gone["sig"])
+    base = index.groupBy("doc_id", "sig").agg((F.coalesce(F.max("line_no"), F.lit(-1)) + 1).alias("n_lines"), F.count_distinct(F.when(F.col("id").isNotNull(), F.col("line_no"))).alias("worded"))
     n = F.coalesce(F.size("removed"), F.lit(0))
-    return base.join(gone, match, "left").select(
-        base["doc_id"], base["sig"], F.greatest("n_lines", F.lit(0)).alias("n_lines"), F.greatest(n, F.lit(0)).alias("n_removed"),
-        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"), ((F.greatest(n, F.lit(0)) > 0) & (n == F.col("worded"))).alias("all_removed"))
+    found = base.alias("base").join(gone.alias("gone"), F.col("base.doc_id").eqNullSafe(F.col("gone.doc_id")) & (F.col("base.sig") == F.col("gone.sig")), "left")
+    return found.select(
+        "base.doc_id", "base.sig", "n_lines", n.alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"), ((n > 0) & (n == F.col("worded"))).alias("all_removed"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:

@@ -27,7 +27,7 @@ from weftline.llm import blocks as B, text as T
 from weftline.llm.components import components
 from weftline.session import freeze
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 512
 COLUMNS = 4096
 SETS = "doc_id long, n_shingles long, d1 long, d2 long, prefix binary, grams binary"
 
