@@ -19,7 +19,7 @@ from weftline.session import freeze
 
 SLOTS = 1 << 16
 BROADCAST_IDS = 1_000_000  # ids of similar or repeated lines that may be broadcast; more are joined by a shuffle
-LAST = "9" * 37  # place of lines in rows without an id
+NO_ID = (1 << 63) - 1  # doc of lines in rows without an id
 
 
 def _split(line: Column) -> Column:
@@ -37,7 +37,7 @@ def tokens(line: Column) -> Column:
 
 def _ranks(docs: DataFrame, text_col: str) -> Column:
     """Rank of each slot by the number of words in it, as a constant array of SLOTS numbers."""
-    word = F.explode(F.split(F.lower(F.col(text_col)), "[\\x20\\x09-\\x0D]+"))
+    word = F.explode_outer(F.split(F.lower(F.col(text_col)), "[\\x20\\x09-\\x0D]+"))
     counts = docs.select(word.alias("word")).where("word <> ''").groupBy(F.shiftrightunsigned(F.xxhash64("word"), 48).alias("slot")).agg(F.count("*").alias("n"))
     count = {r.slot: r.n for r in counts.collect()}  # SLOTS rows at most
     rank = [0] * SLOTS
@@ -47,11 +47,20 @@ def _ranks(docs: DataFrame, text_col: str) -> Column:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line: doc_id, sig (of the whole text), line_no, line, place, and id, id2 of lines that have words."""
+    """One row per line: doc_id, sig (of the whole text), line_no, line, and id of lines that have words.
+
+    doc (the id, or the largest number without one) and spot (line number and 32 bits of the line's hash) order lines by place.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("sig"), F.posexplode_outer(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
-    place = F.coalesce(F.col("doc_id").cast("decimal(38,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no").cast("decimal(10,0)"), F.lit(LAST).cast("decimal(38,0)"))
+    spot = F.call_function("shiftleft", F.col("line_no").cast("long"), F.lit(32)).bitwiseOR(F.hash("line").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     worded = F.col("line").rlike("[^\\x20\\x09-\\x0D]")
-    return rows.select("doc_id", "sig", "line_no", "line", place.cast("decimal(38,0)").alias("place"), F.when(worded, F.xxhash64("line")).alias("id"), F.when(worded, F.hash("line")).alias("id2"))
+    return rows.select("doc_id", "sig", "line_no", "line", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), spot.alias("spot"), F.when(worded, F.xxhash64("line")).alias("id"))
+
+
+def _earlier(doc: str, spot: str, other_doc: str, other_spot: str) -> Column:
+    """The first place is earlier: a smaller doc, or a smaller line number of the same one."""
+    number = lambda c: F.shiftright(F.col(c), 32)
+    return (F.col(doc) < F.col(other_doc)) | ((F.col(doc) == F.col(other_doc)) & (F.col(doc) != NO_ID) & (number(spot) < number(other_spot)))
 
 
 def _small(frame: DataFrame, rows: int) -> DataFrame:
@@ -59,27 +68,41 @@ def _small(frame: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(frame) if rows <= BROADCAST_IDS else frame
 
 
-def _candidates(lines: DataFrame, repeated: DataFrame, ranks: Column, percent: int) -> DataFrame:
-    """Pairs of ids of distinct lines that pass all filters; of a repeated line only the first one counts."""
+def _candidates(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
+    """Pairs (doc, spot, late_doc, late_spot) of distinct lines that pass all filters."""
     low = F.lit((1 << 48) - 1)
-    known = lines.where("id is not null").select("id", "id2", "place", "line").join(repeated, ["id", "id2"], "left").where("first is null or place = first")
-    sets = known.select("id", F.array_distinct(F.transform(F.array_remove(_split(F.col("line")), ""), lambda w: F.xxhash64(w))).alias("hashes"))
+    sets = distinct.select("doc", "spot", F.array_distinct(F.transform(F.array_remove(_split(F.col("line")), ""), lambda w: F.xxhash64(w))).alias("hashes"))
     # A word's 64-bit hash with its slot replaced by the slot's rank: sorting orders by rarity and loses nothing.
-    ordered = sets.select("id", F.sort_array(F.transform("hashes", lambda h: F.shiftleft(F.get(ranks, F.shiftrightunsigned(h, 48).cast("int")), 48).bitwiseOR(h.bitwiseAND(low)))).alias("words"))
+    ordered = sets.select("doc", "spot", F.sort_array(F.transform("hashes", lambda h: F.shiftleft(F.get(ranks, F.shiftrightunsigned(h, 48).cast("int")), 48).bitwiseOR(h.bitwiseAND(low)))).alias("words"))
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
     half = lambda which: F.aggregate("words", F.lit(0).cast("long"), lambda s, w: s.bitwiseXOR(F.when(w.bitwiseAND(F.lit(64)) == which, bit(w)).otherwise(F.lit(0).cast("long"))))
-    sized = ordered.select("id", "words", F.size("words").alias("n"), half(0).alias("even"), half(64).alias("odd"))
+    sized = ordered.select("doc", "spot", "words", F.size("words").alias("n"), half(0).alias("even"), half(64).alias("odd"))
     prefix = F.slice("words", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
-    rows = sized.select("id", "n", "even", "odd", F.posexplode(prefix).alias("at", "word"))
+    rows = sized.select("doc", "spot", "n", "even", "odd", F.posexplode_outer(prefix).alias("at", "word"))
     a, b = rows.alias("a"), rows.alias("b")
-    # a is the smaller set; of it the shorter prefix that suffices towards sets of its size or more.
-    order = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.id") < F.col("b.id")))
-    short = (100 + percent) * F.col("a.at") <= (100 - percent) * F.col("a.n")
+    # a is the smaller set; of it the shorter prefix that suffices towards sets of its size or more. Every
+    # condition names both sides, so that both read one shuffle.
+    smaller = F.least("a.n", "b.n")
+    order = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & ((F.col("a.doc") < F.col("b.doc")) | ((F.col("a.doc") == F.col("b.doc")) & (F.col("a.spot") < F.col("b.spot")))))
+    short = (100 + percent) * F.col("a.at") <= (100 - percent) * smaller
     both = F.col("a.n") + F.col("b.n")
     apart = F.bit_count(F.col("a.even").bitwiseXOR(F.col("b.even"))) + F.bit_count(F.col("a.odd").bitwiseXOR(F.col("b.odd")))
     rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
     near = short & order & (100 * F.col("a.n") >= percent * F.col("b.n")) & ((100 + percent) * (both - apart) >= 2 * percent * both) & ((100 + percent) * rest >= percent * both)
-    return a.join(b, (F.col("a.word") == F.col("b.word")) & near).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    found = a.join(b, (F.col("a.word") == F.col("b.word")) & near).select(F.col("a.doc").alias("d1"), F.col("a.spot").alias("s1"), F.col("b.doc").alias("d2"), F.col("b.spot").alias("s2")).distinct()
+    one, two = F.struct(F.col("d1").alias("doc"), F.col("s1").alias("spot")), F.struct(F.col("d2").alias("doc"), F.col("s2").alias("spot"))
+    first = _earlier("d1", "s1", "d2", "s2")
+    found = found.where(first | _earlier("d2", "s2", "d1", "s1")).select(F.when(first, one).otherwise(two).alias("x"), F.when(first, two).otherwise(one).alias("y"))
+    return found.select("x.doc", "x.spot", F.col("y.doc").alias("late_doc"), F.col("y.spot").alias("late_spot"))
+
+
+def _verified(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """The later lines (doc, spot) of pairs whose sets of words are similar."""
+    late = near.select(F.col("doc").alias("late_doc"), F.col("spot").alias("late_spot"), F.col("words").alias("late_words"))
+    sided = pairs.join(late, ["late_doc", "late_spot"]).join(near, ["doc", "spot"])
+    common = F.size(F.array_intersect("words", "late_words"))
+    similar = sided.where((100 + percent) * common >= percent * (F.size("words") + F.size("late_words")))
+    return similar.select(F.col("late_doc").alias("doc"), F.col("late_spot").alias("spot")).distinct()
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
@@ -88,31 +111,37 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Lines are what stands between newlines; a line without words is never removed. A null text has no
     lines. all_removed: every line with words goes. Lines at the same place of rows of equal id are not earlier than one
     another; rows without an id come last and are not earlier than one another. Other columns are not read. An
-    empty table gives no rows.
+    empty table gives no rows. Ids are whole numbers.
     """
     lines = _lines(docs, id_col, text_col)
     index = freeze(lines.drop("line"), "lines")
-    first = freeze(index.where("id is not null").groupBy("id", "id2").agg(F.min("place").alias("first"), F.count("*").alias("n")), "first-lines")
-    repeated = first.where("n > 1").select("id", "id2", "first")
-    pairs = freeze(_candidates(lines, _small(repeated, repeated.count()), _ranks(docs, text_col), percent), "line-pairs")
-
-    ids = freeze(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "line-ids")
-    near = lines.select("id", "line", "place").join(_small(ids, ids.count()), "id", "left_semi").groupBy("id", "line").agg(F.min("place").alias("place"))
-    near = freeze(near.select("id", "place", "line"), "near-lines")
-    one = near.select(F.col("id").alias("a"), F.col("place").alias("place_a"), F.col("line").alias("line_a"))
-    two = near.select(F.col("id").alias("b"), F.col("place").alias("place_b"), F.col("line").alias("line_b"))
-    sided = pairs.join(one, "a").join(two, "b").where("place_a <> place_b")
-    sided = sided.withColumn("words_a", tokens(F.col("line_a"))).withColumn("words_b", tokens(F.col("line_b"))).withColumn("common", F.size(F.array_intersect("words_a", "words_b")))
-    same = sided.where(100 * F.col("common") >= percent * (F.size("words_a") + F.size("words_b") - F.col("common")))
-    later = same.select(F.when(F.col("place_a") > F.col("place_b"), F.col("line_a")).otherwise(F.col("line_b")).alias("line"))
-    later = later.select(F.xxhash64("line").alias("id"), F.hash("line").alias("id2"), F.lit(True).alias("similar")).distinct()
-
-    stands = first.join(later, ["id", "id2"], "left").where("similar or n > 1").select("id", "id2", "first", "similar")
-    gone = index.where("id is not null").join(stands, ["id", "id2"]).where("similar or place > first")
-    gone = gone.groupBy("doc_id", "sig").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
+    # Equal lines: 64 bits of the hash, and the 32 others in the place of the first one.
+    worded = index.where("id is not null").withColumn("more", F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF)))
+    firsts = worded.groupBy("id", "more").agg(F.min("doc").alias("doc"), F.count("*").alias("n"))
+    repeated = freeze(worded.join(firsts.where("n > 1").drop("n"), ["id", "more", "doc"]).groupBy("id", "more").agg(F.min("doc").alias("first_doc"), F.min("spot").alias("first_spot")), "repeated-lines")
+    more = F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF)).alias("more")
+    marked = lines.where("id is not null").select("id", more, "doc", "spot", "line").join(_small(repeated, repeated.count()), ["id", "more"], "left")
+    distinct = marked.where("first_doc is null or (doc = first_doc and spot = first_spot)").select("doc", "spot", "line")
+    pairs = freeze(_candidates(distinct, _ranks(docs, text_col), percent), "line-pairs")
+
+    named = freeze(pairs.select("doc", "spot").unionByName(pairs.select(F.col("late_doc").alias("doc"), F.col("late_spot").alias("spot"))).distinct(), "line-names")
+    near = lines.select("doc", "spot", "line").join(_small(named, named.count()), ["doc", "spot"], "left_semi").select("doc", "spot", tokens(F.col("line")).alias("words"))
+    near = freeze(near, "near-lines").dropDuplicates(["doc", "spot"])
+    # Most lines are settled by their earliest candidate; only the others need the rest of theirs.
+    star = pairs.groupBy("late_doc", "late_spot").agg(F.min(F.struct("doc", "spot")).alias("x")).select("x.doc", "x.spot", "late_doc", "late_spot")
+    settled = freeze(_verified(star, near, percent), "settled-lines")
+    open_pairs = pairs.join(settled.select(F.col("doc").alias("late_doc"), F.col("spot").alias("late_spot")), ["late_doc", "late_spot"], "left_anti")
+    similar = freeze(settled.unionByName(_verified(open_pairs, near, percent)).distinct(), "similar-lines")
+
+    # A removed first line takes its copies with it; copies of any line go.
+    firsts = repeated.select(F.col("first_doc").alias("doc"), F.col("first_spot").alias("spot"), "id", "more")
+    taken = firsts.join(similar, ["doc", "spot"], "left_semi").select("id", "more", F.lit(True).alias("taken"))
+    copies = worded.join(repeated.join(taken, ["id", "more"], "left"), ["id", "more"]).where(F.col("taken") | _earlier("first_doc", "first_spot", "doc", "spot"))
+    alone = index.where("id is not null").join(similar, ["doc", "spot"], "left_semi")
+    gone = copies.select("doc_id", "sig", "line_no").unionByName(alone.select("doc_id", "sig", "line_no")).groupBy("doc_id", "sig").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
     base = index.groupBy("doc_id", "sig").agg((F.coalesce(F.max("line_no"), F.lit(-1)) + 1).alias("n_lines"), F.count_distinct(F.when(F.col("id").isNotNull(), F.col("line_no"))).alias("worded"))
     n = F.coalesce(F.size("removed"), F.lit(0))
-    found = base.alias("base").join(gone.alias("gone"), F.col("base.doc_id").eqNullSafe(F.col("gone.doc_id")) & (F.col("base.sig") == F.col("gone.sig")), "left")
+    found = base.alias("base").join(gone.alias("gone"), F.col("base.doc_id").eqNullSafe(F.col("gone.doc_id")) & F.col("base.sig").eqNullSafe(F.col("gone.sig")), "left")
     return found.select(
         "base.doc_id", "base.sig", "n_lines", n.alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"), ((n > 0) & (n == F.col("worded"))).alias("all_removed"))
 
