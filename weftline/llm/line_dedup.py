@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weftline.session import freeze
 
 SLOTS = 1 << 16
+LONG = 64  # words of a set from which on the bitmap has 128 bits
 BROADCAST_IDS = 1_000_000  # ids of similar or repeated lines that may be broadcast; more are joined by a shuffle
 NO_ID = (1 << 63) - 1  # doc of lines in rows without an id
 
@@ -36,13 +37,13 @@ def tokens(line: Column) -> Column:
 
 
 def _ranks(docs: DataFrame, text_col: str) -> Column:
-    """Rank of each slot by the number of words in it, as a constant array of SLOTS numbers."""
+    """Rank of each slot by the number of words in it, in the upper 16 bits, as a constant array of SLOTS numbers."""
     word = F.explode_outer(F.split(F.lower(F.col(text_col)), "[\\x20\\x09-\\x0D]+"))
-    counts = docs.select(word.alias("word")).where("word <> ''").groupBy(F.shiftrightunsigned(F.xxhash64("word"), 48).alias("slot")).agg(F.count("*").alias("n"))
+    counts = docs.select(word.alias("word")).where("word <> ''").groupBy(F.hash("word").bitwiseAND(F.lit(SLOTS - 1)).alias("slot")).agg(F.count("*").alias("n"))
     count = {r.slot: r.n for r in counts.collect()}  # SLOTS rows at most
     rank = [0] * SLOTS
     for place, slot in enumerate(sorted(range(SLOTS), key=lambda s: (count.get(s, 0), s))):
-        rank[slot] = place - SLOTS // 2
+        rank[slot] = (place - SLOTS // 2) << 48
     return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<long>")
 
 
@@ -53,6 +54,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("sig"), F.posexplode_outer(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
     spot = F.call_function("shiftleft", F.col("line_no").cast("long"), F.lit(32)).bitwiseOR(F.hash("line").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+    spot = F.coalesce(spot, F.lit(-1).cast("long"))
     worded = F.col("line").rlike("[^\\x20\\x09-\\x0D]")
     return rows.select("doc_id", "sig", "line_no", "line", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), spot.alias("spot"), F.when(worded, F.xxhash64("line")).alias("id"))
 
@@ -70,15 +72,21 @@ def _small(frame: DataFrame, rows: int) -> DataFrame:
 
 def _candidates(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
     """Pairs (doc, spot, late_doc, late_spot) of distinct lines that pass all filters."""
-    low = F.lit((1 << 48) - 1)
-    sets = distinct.select("doc", "spot", F.array_distinct(F.transform(F.array_remove(_split(F.col("line")), ""), lambda w: F.xxhash64(w))).alias("hashes"))
-    # A word's 64-bit hash with its slot replaced by the slot's rank: sorting orders by rarity and loses nothing.
-    ordered = sets.select("doc", "spot", F.sort_array(F.transform("hashes", lambda h: F.shiftleft(F.get(ranks, F.shiftrightunsigned(h, 48).cast("int")), 48).bitwiseOR(h.bitwiseAND(low)))).alias("words"))
+    # A word's key: its slot's rank above 48 bits of another hash. Sorting the keys orders words by rarity.
+    key = lambda w: F.get(ranks, F.hash(w).bitwiseAND(F.lit(SLOTS - 1))).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 48) - 1)))
+    keys = F.sort_array(F.array_distinct(F.transform(F.array_remove(_split(F.col("line")), ""), key)))
+    sized = distinct.select("doc", "spot", keys.alias("words")).select("doc", "spot", "words", F.size("words").alias("n"))
+    # Parity bitmaps: 128 bits for long sets, and 64 bits, which are the two halves of 128 put together, for others.
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
-    half = lambda which: F.aggregate("words", F.lit(0).cast("long"), lambda s, w: s.bitwiseXOR(F.when(w.bitwiseAND(F.lit(64)) == which, bit(w)).otherwise(F.lit(0).cast("long"))))
-    sized = ordered.select("doc", "spot", "words", F.size("words").alias("n"), half(0).alias("even"), half(64).alias("odd"))
+    none = F.lit(0).cast("long")
+    parity = lambda flag: F.aggregate("words", none, lambda s, w: s.bitwiseXOR(flag(w)))
+    half = lambda which: parity(lambda w: F.when(w.bitwiseAND(F.lit(64)) == which, bit(w)).otherwise(none))
+    even, odd = F.when(F.col("n") > LONG, half(0)).otherwise(parity(bit)), F.when(F.col("n") > LONG, half(64)).otherwise(none)
     prefix = F.slice("words", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
-    rows = sized.select("doc", "spot", "n", "even", "odd", F.posexplode_outer(prefix).alias("at", "word"))
+    # No column can be null: else the optimizer tests that before the join, by computing all of the above once more.
+    sure = lambda c, kind="long": F.coalesce(c, F.lit(0).cast(kind))
+    rows = sized.select("doc", "spot", sure(F.col("n"), "int").alias("n"), sure(even).alias("even"), sure(odd).alias("odd"), F.posexplode_outer(prefix).alias("at", "word"))
+    rows = rows.select("doc", "spot", "n", "even", "odd", sure(F.col("at"), "int").alias("at"), sure(F.col("word")).alias("word"))
     a, b = rows.alias("a"), rows.alias("b")
     # a is the smaller set; of it the shorter prefix that suffices towards sets of its size or more. Every
     # condition names both sides, so that both read one shuffle.
@@ -86,7 +94,8 @@ def _candidates(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
     order = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & ((F.col("a.doc") < F.col("b.doc")) | ((F.col("a.doc") == F.col("b.doc")) & (F.col("a.spot") < F.col("b.spot")))))
     short = (100 + percent) * F.col("a.at") <= (100 - percent) * smaller
     both = F.col("a.n") + F.col("b.n")
-    apart = F.bit_count(F.col("a.even").bitwiseXOR(F.col("b.even"))) + F.bit_count(F.col("a.odd").bitwiseXOR(F.col("b.odd")))
+    evens, odds = F.col("a.even").bitwiseXOR(F.col("b.even")), F.col("a.odd").bitwiseXOR(F.col("b.odd"))
+    apart = F.when(smaller > LONG, F.bit_count(evens) + F.bit_count(odds)).otherwise(F.bit_count(evens.bitwiseXOR(odds)))
     rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
     near = short & order & (100 * F.col("a.n") >= percent * F.col("b.n")) & ((100 + percent) * (both - apart) >= 2 * percent * both) & ((100 + percent) * rest >= percent * both)
     found = a.join(b, (F.col("a.word") == F.col("b.word")) & near).select(F.col("a.doc").alias("d1"), F.col("a.spot").alias("s1"), F.col("b.doc").alias("d2"), F.col("b.spot").alias("s2")).distinct()
