@@ -6,7 +6,8 @@
    n - ceil(t n) + 1 words of each, and of the smaller n - ceil(2 t n / (1 + t)) + 1 suffice (prefix filter). Pairs must also pass the length filter, the positional
    filter (what can still be common from here on) and a bitmap filter (parity bits of both sets, whose
    differences never outnumber the words not in common).
-3. Pairs that pass are verified on the words themselves.
+3. Pairs that pass are verified on the words themselves. Where many lines share a prefix word, each is first
+   verified against the earliest of them; a line settled so meets no more candidates as the later one.
 4. A line goes if an equal or similar line stands earlier, by doc_id and then by line number. This is judged on
    the input, not on what is left.
 """
@@ -19,6 +20,7 @@ from weftline.session import freeze
 
 SLOTS = 1 << 16
 LONG = 64  # words of a set from which on the bitmap has 128 bits
+CROWD = 32  # lines that share a word of their prefixes before they are tried against the earliest one first
 BROADCAST_IDS = 1_000_000  # ids of similar or repeated lines that may be broadcast; more are joined by a shuffle
 NO_ID = (1 << 63) - 1  # doc of lines in rows without an id
 
@@ -70,8 +72,8 @@ def _small(frame: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(frame) if rows <= BROADCAST_IDS else frame
 
 
-def _candidates(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
-    """Pairs (doc, spot, late_doc, late_spot) of distinct lines that pass all filters."""
+def _prefixes(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
+    """One row per word of a distinct line's prefix: doc, spot, n, even, odd, at, word."""
     # A word's key: its slot's rank above 48 bits of another hash. Sorting the keys orders words by rarity.
     key = lambda w: F.get(ranks, F.hash(w).bitwiseAND(F.lit(SLOTS - 1))).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 48) - 1)))
     keys = F.sort_array(F.array_distinct(F.transform(F.array_remove(_split(F.col("line")), ""), key)))
@@ -86,7 +88,23 @@ def _candidates(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
     # No column can be null: else the optimizer tests that before the join, by computing all of the above once more.
     sure = lambda c, kind="long": F.coalesce(c, F.lit(0).cast(kind))
     rows = sized.select("doc", "spot", sure(F.col("n"), "int").alias("n"), sure(even).alias("even"), sure(odd).alias("odd"), F.posexplode_outer(prefix).alias("at", "word"))
-    rows = rows.select("doc", "spot", "n", "even", "odd", sure(F.col("at"), "int").alias("at"), sure(F.col("word")).alias("word"))
+    return rows.select("doc", "spot", "n", "even", "odd", sure(F.col("at"), "int").alias("at"), sure(F.col("word")).alias("word"))
+
+
+def _stars(prefixes: DataFrame) -> DataFrame:
+    """Pairs of each line with the earliest one of every crowded word: CROWD lines or more have it in their prefix."""
+    crowded = freeze(prefixes.groupBy("word").agg(F.count("*").alias("lines")).where(F.col("lines") >= CROWD).select("word"), "crowded-words")
+    rows = prefixes.select("word", "doc", "spot").join(_small(crowded, crowded.count()), "word")
+    first_doc = rows.groupBy("word").agg(F.min("doc").alias("doc"))
+    first = rows.join(first_doc, ["word", "doc"]).groupBy("word").agg(F.min("doc").alias("doc"), F.min("spot").alias("spot"))
+    late = rows.select("word", F.col("doc").alias("late_doc"), F.col("spot").alias("late_spot"))
+    return late.join(first, "word").where(_earlier("doc", "spot", "late_doc", "late_spot")).select("doc", "spot", "late_doc", "late_spot").distinct()
+
+
+def _candidates(prefixes: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """Pairs (doc, spot, late_doc, late_spot) of lines that pass all filters and whose later one is not settled yet."""
+    known = _small(settled.withColumn("known", F.lit(True)), settled.count())
+    rows = prefixes.join(known, ["doc", "spot"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
     a, b = rows.alias("a"), rows.alias("b")
     # a is the smaller set; of it the shorter prefix that suffices towards sets of its size or more. Every
     # condition names both sides, so that both read one shuffle.
@@ -97,7 +115,9 @@ def _candidates(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
     evens, odds = F.col("a.even").bitwiseXOR(F.col("b.even")), F.col("a.odd").bitwiseXOR(F.col("b.odd"))
     apart = F.when(smaller > LONG, F.bit_count(evens) + F.bit_count(odds)).otherwise(F.bit_count(evens.bitwiseXOR(odds)))
     rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
-    near = short & order & (100 * F.col("a.n") >= percent * F.col("b.n")) & ((100 + percent) * (both - apart) >= 2 * percent * both) & ((100 + percent) * rest >= percent * both)
+    # One of the two is not settled, and it is the later one.
+    open_ = ~(F.col("a.known") & F.col("b.known")) & F.when(_earlier("a.doc", "a.spot", "b.doc", "b.spot"), ~F.col("b.known")).otherwise(~F.col("a.known"))
+    near = open_ & short & order & (100 * F.col("a.n") >= percent * F.col("b.n")) & ((100 + percent) * (both - apart) >= 2 * percent * both) & ((100 + percent) * rest >= percent * both)
     found = a.join(b, (F.col("a.word") == F.col("b.word")) & near).select(F.col("a.doc").alias("d1"), F.col("a.spot").alias("s1"), F.col("b.doc").alias("d2"), F.col("b.spot").alias("s2")).distinct()
     one, two = F.struct(F.col("d1").alias("doc"), F.col("s1").alias("spot")), F.struct(F.col("d2").alias("doc"), F.col("s2").alias("spot"))
     first = _earlier("d1", "s1", "d2", "s2")
@@ -105,6 +125,13 @@ def _candidates(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
     return found.select("x.doc", "x.spot", F.col("y.doc").alias("late_doc"), F.col("y.spot").alias("late_spot"))
 
 
+def _contents(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """doc, spot and words of the lines in pairs."""
+    named = freeze(pairs.select("doc", "spot").unionByName(pairs.select(F.col("late_doc").alias("doc"), F.col("late_spot").alias("spot"))).distinct(), "line-names")
+    found = lines.select("doc", "spot", "line").join(_small(named, named.count()), ["doc", "spot"], "left_semi").select("doc", "spot", tokens(F.col("line")).alias("words"))
+    return freeze(found, "line-words").dropDuplicates(["doc", "spot"])
+
+
 def _verified(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
     """The later lines (doc, spot) of pairs whose sets of words are similar."""
     late = near.select(F.col("doc").alias("late_doc"), F.col("spot").alias("late_spot"), F.col("words").alias("late_words"))
@@ -131,16 +158,13 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     more = F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF)).alias("more")
     marked = lines.where("id is not null").select("id", more, "doc", "spot", "line").join(_small(repeated, repeated.count()), ["id", "more"], "left")
     distinct = marked.where("first_doc is null or (doc = first_doc and spot = first_spot)").select("doc", "spot", "line")
-    pairs = freeze(_candidates(distinct, _ranks(docs, text_col), percent), "line-pairs")
+    prefixes = freeze(_prefixes(distinct, _ranks(docs, text_col), percent), "line-prefixes")
 
-    named = freeze(pairs.select("doc", "spot").unionByName(pairs.select(F.col("late_doc").alias("doc"), F.col("late_spot").alias("spot"))).distinct(), "line-names")
-    near = lines.select("doc", "spot", "line").join(_small(named, named.count()), ["doc", "spot"], "left_semi").select("doc", "spot", tokens(F.col("line")).alias("words"))
-    near = freeze(near, "near-lines").dropDuplicates(["doc", "spot"])
-    # Most lines are settled by their earliest candidate; only the others need the rest of theirs.
-    star = pairs.groupBy("late_doc", "late_spot").agg(F.min(F.struct("doc", "spot")).alias("x")).select("x.doc", "x.spot", "late_doc", "late_spot")
-    settled = freeze(_verified(star, near, percent), "settled-lines")
-    open_pairs = pairs.join(settled.select(F.col("doc").alias("late_doc"), F.col("spot").alias("late_spot")), ["late_doc", "late_spot"], "left_anti")
-    similar = freeze(settled.unionByName(_verified(open_pairs, near, percent)).distinct(), "similar-lines")
+    # In a crowd of like lines nearly all are settled by the earliest one; only the others meet every candidate.
+    stars = freeze(_stars(prefixes), "line-stars")
+    settled = freeze(_verified(stars, _contents(lines, stars), percent), "settled-lines")
+    pairs = freeze(_candidates(prefixes, settled, percent), "line-pairs")
+    similar = freeze(settled.unionByName(_verified(pairs, _contents(lines, pairs), percent)).distinct(), "similar-lines")
 
     # A removed first line takes its copies with it; copies of any line go.
     firsts = repeated.select(F.col("first_doc").alias("doc"), F.col("first_spot").alias("spot"), "id", "more")
