@@ -91,14 +91,22 @@ def _prefixes(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
     return rows.select("doc", "spot", "n", "even", "odd", sure(F.col("at"), "int").alias("at"), sure(F.col("word")).alias("word"))
 
 
-def _stars(prefixes: DataFrame) -> DataFrame:
+def _stars(prefixes: DataFrame, percent: int) -> DataFrame:
     """Pairs of each line with the earliest one of every crowded word: CROWD lines or more have it in their prefix."""
     crowded = freeze(prefixes.groupBy("word").agg(F.count("*").alias("lines")).where(F.col("lines") >= CROWD).select("word"), "crowded-words")
-    rows = prefixes.select("word", "doc", "spot").join(_small(crowded, crowded.count()), "word")
+    rows = prefixes.select("word", "doc", "spot", "n", "even", "odd").join(_small(crowded, crowded.count()), "word")
     first_doc = rows.groupBy("word").agg(F.min("doc").alias("doc"))
-    first = rows.join(first_doc, ["word", "doc"]).groupBy("word").agg(F.min("doc").alias("doc"), F.min("spot").alias("spot"))
-    late = rows.select("word", F.col("doc").alias("late_doc"), F.col("spot").alias("late_spot"))
-    return late.join(first, "word").where(_earlier("doc", "spot", "late_doc", "late_spot")).select("doc", "spot", "late_doc", "late_spot").distinct()
+    first = rows.join(first_doc, ["word", "doc"]).groupBy("word").agg(F.min(F.struct("doc", "spot", "n", "even", "odd")).alias("a"))
+    pairs = rows.select("word", F.struct("doc", "spot", "n", "even", "odd").alias("b")).join(first, "word")
+    pairs = pairs.where(_earlier("a.doc", "a.spot", "b.doc", "b.spot") & _may_match(F.least("a.n", "b.n"), F.greatest("a.n", "b.n"), percent))
+    return pairs.select("a.doc", "a.spot", F.col("b.doc").alias("late_doc"), F.col("b.spot").alias("late_spot")).distinct()
+
+
+def _may_match(smaller: Column, larger: Column, percent: int) -> Column:
+    """Length and bitmap filter of rows a and b."""
+    evens, odds = F.col("a.even").bitwiseXOR(F.col("b.even")), F.col("a.odd").bitwiseXOR(F.col("b.odd"))
+    apart = F.when(smaller > LONG, F.bit_count(evens) + F.bit_count(odds)).otherwise(F.bit_count(evens.bitwiseXOR(odds)))
+    return (100 * smaller >= percent * larger) & ((100 + percent) * (smaller + larger - apart) >= 2 * percent * (smaller + larger))
 
 
 def _candidates(prefixes: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
@@ -108,16 +116,13 @@ def _candidates(prefixes: DataFrame, settled: DataFrame, percent: int) -> DataFr
     a, b = rows.alias("a"), rows.alias("b")
     # a is the smaller set; of it the shorter prefix that suffices towards sets of its size or more. Every
     # condition names both sides, so that both read one shuffle.
-    smaller = F.least("a.n", "b.n")
     order = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & ((F.col("a.doc") < F.col("b.doc")) | ((F.col("a.doc") == F.col("b.doc")) & (F.col("a.spot") < F.col("b.spot")))))
-    short = (100 + percent) * F.col("a.at") <= (100 - percent) * smaller
+    short = (100 + percent) * F.col("a.at") <= (100 - percent) * F.least("a.n", "b.n")
     both = F.col("a.n") + F.col("b.n")
-    evens, odds = F.col("a.even").bitwiseXOR(F.col("b.even")), F.col("a.odd").bitwiseXOR(F.col("b.odd"))
-    apart = F.when(smaller > LONG, F.bit_count(evens) + F.bit_count(odds)).otherwise(F.bit_count(evens.bitwiseXOR(odds)))
     rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
     # One of the two is not settled, and it is the later one.
     open_ = ~(F.col("a.known") & F.col("b.known")) & F.when(_earlier("a.doc", "a.spot", "b.doc", "b.spot"), ~F.col("b.known")).otherwise(~F.col("a.known"))
-    near = open_ & short & order & (100 * F.col("a.n") >= percent * F.col("b.n")) & ((100 + percent) * (both - apart) >= 2 * percent * both) & ((100 + percent) * rest >= percent * both)
+    near = open_ & short & order & _may_match(F.col("a.n"), F.col("b.n"), percent) & ((100 + percent) * rest >= percent * both)
     found = a.join(b, (F.col("a.word") == F.col("b.word")) & near).select(F.col("a.doc").alias("d1"), F.col("a.spot").alias("s1"), F.col("b.doc").alias("d2"), F.col("b.spot").alias("s2")).distinct()
     one, two = F.struct(F.col("d1").alias("doc"), F.col("s1").alias("spot")), F.struct(F.col("d2").alias("doc"), F.col("s2").alias("spot"))
     first = _earlier("d1", "s1", "d2", "s2")
@@ -161,7 +166,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     prefixes = freeze(_prefixes(distinct, _ranks(docs, text_col), percent), "line-prefixes")
 
     # In a crowd of like lines nearly all are settled by the earliest one; only the others meet every candidate.
-    stars = freeze(_stars(prefixes), "line-stars")
+    stars = freeze(_stars(prefixes, percent), "line-stars")
     settled = freeze(_verified(stars, _contents(lines, stars), percent), "settled-lines")
     pairs = freeze(_candidates(prefixes, settled, percent), "line-pairs")
     similar = freeze(settled.unionByName(_verified(pairs, _contents(lines, pairs), percent)).distinct(), "similar-lines")
