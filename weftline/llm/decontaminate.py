@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 1. Benchmark items are taken in blocks of bounded size (a stated query set against all rows).
-2. One pass over all documents counts in how many each n-gram of the items occurs. In every
-   stretch of an item the rarest ones become its seeds, however common they are, so an item that
+2. One pass over all documents counts in how many each n-gram of the items occurs. Rare ones become seeds, and
+   in every stretch of an item the rarest ones do, however common they are, so an item that
    leaked into most of the corpus keeps seeds too.
 3. A second pass joins the documents' n-grams to the seeds. Hits of an item near one
    diagonal give a passage, and the passage is aligned word by word with the whole item.
@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 from weftline.llm import text as T
 
 MATCH, MISMATCH, GAP = 2, -1, -1
-STRETCH, SEEDS = 6, 3  # in every 6 n-grams of an item the 3 rarest are seeds
+RARE = 1 / 5000  # share of the documents up to which an n-gram is rare
+STRETCH, SEEDS = 6, 3  # of every 6 n-grams of an item the 3 rarest are seeds, however common they are
 BLOCK_BYTES = 4 << 20  # benchmark text held by a task at once
 REMEMBERED = 4096  # alignments of equal passages a task keeps
 HITS = "doc_id long, item_id long, score double, matched int, first_word long, last_word long"
@@ -68,11 +69,18 @@ class Items:
     def grams(self) -> np.ndarray:
         return np.array(sorted(self.places), np.uint64)
 
-    def seeds(self, count: dict[int, int]) -> np.ndarray:
+    def seeds(self, count: dict[int, int], docs: int) -> np.ndarray:
+        """n-grams that occur and are rare in the corpus or for the item, and the rarest of every stretch.
+
+        Not the rarest alone: an edited copy has the n-grams that exact copies have, too, and lacks others.
+        """
         chosen = set()
         for own in self.of_item:
+            own = [g for g in own if count.get(g)]
+            bound = max(docs * RARE, 10 * min((count[g] for g in own), default=0))
+            chosen.update(g for g in own if count[g] <= bound)
             for at in range(0, len(own), STRETCH):
-                chosen.update(sorted(set(own[at: at + STRETCH]), key=lambda g: (count.get(g, 0), g))[:SEEDS])
+                chosen.update(sorted(set(own[at: at + STRETCH]), key=lambda g: (count[g], g))[:SEEDS])
         return np.array(sorted(chosen), np.uint64)
 
 
@@ -90,15 +98,16 @@ def _slices(batches, rows: int = 512):
 
 
 def _count(listed: np.ndarray, widths: list[int], batches):
-    total = np.zeros(len(listed), np.int64)
+    total, docs = np.zeros(len(listed), np.int64), 0
     for batch in _slices(batches):
+        docs += batch.num_rows
         hashes, doc = _tokens(batch.column("text"))
         at, grams = _grams(hashes, doc, widths)
         hit, which = _found(listed, grams)
         pairs = np.unique(doc[at[hit]] * len(listed) + which)
         total += np.bincount(pairs % len(listed), minlength=len(listed))
     seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_pydict({"gram": pa.array(seen, pa.int64()), "n": pa.array(total[seen], pa.int64())})
+    yield pa.RecordBatch.from_pydict({"gram": pa.array(np.r_[-1, seen], pa.int64()), "n": pa.array(np.r_[docs, total[seen]], pa.int64())})
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int]:
@@ -159,7 +168,8 @@ def _hits(items: Items, listed: np.ndarray, places: list, least: float, known: d
             if key not in known:
                 if len(known) >= REMEMBERED:
                     known.clear()
-                known[key] = align(item, passage)
+                # A score of `least` takes so many equal words at least.
+                known[key] = align(item, passage) if np.isin(item, passage).sum() >= least * len(item) else (0, 0, 0, 0)
             top, equal, first, last = known[key]
             if best is None or top > best[0]:
                 best = top, equal, a - low + first, a - low + last
@@ -202,7 +212,10 @@ def _query_blocks(rows: DataFrame, benchmark: DataFrame, item_col: str, item_tex
         if len(grams):
             count = partial(_count, grams, items.widths)
             counted = rows.select("text").mapInArrow(lambda x, f=count: f(x), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()  # n-grams of this block
-            yield items, items.seeds({int(grams[r.gram]): r.n for r in counted})
+            found = {int(grams[r.gram]): r.n for r in counted if r.gram >= 0}
+            seeds = items.seeds(found, sum(r.n for r in counted if r.gram < 0))
+            if len(seeds):
+                yield items, seeds
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 3, least: float = 0.5) -> DataFrame:

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-PIECE = 1 << 21  # bytes whose prefix sums are held at once
+PIECE = 1 << 18  # bytes whose prefix sums are held at once
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
