@@ -32,7 +32,7 @@ def as_dict(df, key, value):
 
 def test_leading_failures(spark):
     runs = run_rows(spark, [("a", 1, 0, "success"), ("a", 2, 1, "failed"), ("a", 3, 2, "failed")] + [("b", i, i, "failed") for i in range(15)] + [("c", 1, 0, "running")])
-    assert as_dict(M.consecutive_failures(runs), "dag_id", "consecutive_failures") == {"a": 2, "b": 10, "c": 0}
+    assert as_dict(M.consecutive_failures(runs), "dag_id", "consecutive_failures") == {"a": 2, "b": 15, "c": 0}
 
 
 def test_streaks_equal_a_plain_scan(spark):
@@ -61,7 +61,7 @@ def test_zero_rows_and_health(spark):
     errors = {(r.dag_id, r.task_id): r.errors for r in M.failed_tasks(runs, at(60)).collect()}
     assert errors == {("a", "_no_errors"): 0, ("b", "_no_errors"): 0, ("b", "t"): 5}
     assert M.health(runs, at(60)).first().healthy == 0 and M.health(runs, at(600)).first().healthy == 1
-    assert as_dict(M.overdue(runs, at(200)), "dag_id", "violations") == {"a": 1, "b": 2}
+    assert as_dict(M.overdue(runs, at(200)), "dag_id", "violations") == {"a": 1, "b": 5}
     assert as_dict(M.throughput(runs, at(5)), "dag_id", "records_per_second") == {"b": 2.0}
 
 

@@ -361,14 +361,14 @@ def problems(*tasks, **kw):
 
 def test_validation():
     assert problems(task("a"), task("b", depends_on=["a"])) == []
-    assert "duplicate task_id: a" in problems(task("a"), task("a"))
-    assert "task a depends on non-existent task: x" in problems(task("a", depends_on=["x"]))
-    assert "extract task a must have source configuration" in problems(task("a", "extract"))
+    assert any("more than once" in p for p in problems(task("a"), task("a")))
+    assert any("waits for x" in p for p in problems(task("a", depends_on=["x"])))
+    assert any("from which to extract" in p for p in problems(task("a", "extract")))
     assert len(problems(task("a", "load"))) == 2
     assert any("circle" in p for p in problems(task("a", depends_on=["b"]), task("b", depends_on=["a"])))
-    assert any("requires upsert_keys" in p for p in problems(task("z"), task("a", "load", depends_on=["z"], sink={
+    assert any("add upsert_keys" in p for p in problems(task("z"), task("a", "load", depends_on=["z"], sink={
         "name": "s", "type": "file", "file_path": "x", "write_mode": "upsert"})))
-    assert problems() == ["at least one task is required"]
+    assert len(problems()) == 1 and "add tasks" in problems()[0]
     with pytest.raises(SpecError):
         load_plan({"dag_id": "", "tasks": []})
 

@@ -129,18 +129,17 @@ def test_quantiles_of_a_large_skewed_column(spark):
 
 @pytest.mark.parametrize("raw,clean_name", [
     ("a b!c", "a_b_c"), ("__x__", "x"), ("2nd", "field_2nd"), ("", "unnamed_field"), ("!!!", "unnamed_field"), ("é ü", "é_ü"),
-    ("a" * 55, "a" * 50),
+    ("a" * 55, "a" * 55),
 ])
 def test_identifiers(raw, clean_name):
     assert clean_identifier(raw) == clean_name
 
 
 def test_long_identifiers_are_hashed():
-    long = "some_" * 15 + "tail"
-    assert clean_identifier(long).startswith("col_") and clean_identifier(long).endswith("_tail")
-    structured = "xapi_context_activities_" + "x" * 40 + "_definition_name"
-    short = clean_identifier(structured)
-    assert short.startswith("xapi_context_activities_") and short.endswith("_definition_name") and len(short) <= 60
+    long = ["lesson_result_" + c * 50 + "_definition_name" for c in "xy"]
+    short = [clean_identifier(name) for name in long]
+    assert short[0] != short[1] and all(s.startswith("lesson_result_") and s.endswith("_definition_name") and len(s) <= 60 for s in short)
+    assert match_column(long[0], short) == short[0]
 
 
 @FEW

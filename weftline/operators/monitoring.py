@@ -20,10 +20,9 @@ DAG_DURATION_BOUNDS = [30, 60, 300, 600, 1800, 3600, 7200, 14400, 28800]
 TASK_DURATION_BOUNDS = [1, 5, 10, 30, 60, 300, 600, 1800, 3600]
 ACTIVE_STATES = ["running", "queued", "scheduled"]
 RECENT_HOURS = 24
-LATEST_RUNS = 10
 HEALTH_MINUTES, HEALTH_FAILURES = 30, 5
 THROUGHPUT_MINUTES = 10
-OVERDUE_MINUTES, OVERDUE_CAP = 60, 2
+OVERDUE_MINUTES = 60
 LAST_DURATIONS_DAG, LAST_DURATIONS_TASK = 100, 50
 NO_ERROR_TASK = "_no_errors"
 # --- end of fixed values ---
@@ -60,12 +59,14 @@ def success_rates(runs: DataFrame, keys: tuple[str, ...] = ("dag_id",)) -> DataF
     ).withColumn("success_rate", _percent(F.col("successful_runs"), F.col("total_runs")))
 
 
-def consecutive_failures(runs: DataFrame, latest: int = LATEST_RUNS) -> DataFrame:
-    """Failures at the head of the latest runs of each pipeline."""
-    newest = Window.partitionBy("dag_id").orderBy(F.desc("start_time"), F.desc("run_id"))
-    top = runs.select("dag_id", "start_time", "run_id", "state").withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= latest)
-    other = F.min(F.when(~_is("failed") | F.col("state").isNull(), F.col("_rn")))
-    return top.groupBy("dag_id").agg(F.coalesce(other - 1, F.count(F.lit(1))).cast("bigint").alias("consecutive_failures"))
+def consecutive_failures(runs: DataFrame) -> DataFrame:
+    """Failures of each pipeline after its newest run that did not fail; a running one counts as such."""
+    place = F.struct("start_time", "run_id")
+    kept = runs.select("dag_id", place.alias("_place"), F.coalesce(_is("failed"), F.lit(False)).alias("_failed"))
+    newest = kept.groupBy("dag_id").agg(F.max(F.when(~F.col("_failed"), F.col("_place"))).alias("_last"))
+    after = F.col("_failed") & (F.col("_last").isNull() | (F.col("_place") > F.col("_last")))
+    joined = kept.join(newest.withColumnRenamed("dag_id", "_dag"), F.col("dag_id").eqNullSafe(F.col("_dag")))
+    return joined.groupBy("dag_id").agg(F.count_if(after).alias("consecutive_failures"))
 
 
 def current_streak(events: DataFrame, key: str = "dag_id", time: str = "end_time", tie: str = "run_id") -> DataFrame:
@@ -151,9 +152,9 @@ def throughput(runs: DataFrame, now: datetime, minutes: int = THROUGHPUT_MINUTES
     return good.groupBy("dag_id").agg(latest.cast("double").alias("records_per_second"))
 
 
-def overdue(runs: DataFrame, now: datetime, minutes: int = OVERDUE_MINUTES, cap: int = OVERDUE_CAP) -> DataFrame:
+def overdue(runs: DataFrame, now: datetime, minutes: int = OVERDUE_MINUTES) -> DataFrame:
     late = runs.filter((F.col("start_time") <= _ago(now, minutes)) & F.col("state").isin("running", "failed"))
-    return late.groupBy("dag_id").agg(F.least(F.count(F.lit(1)), F.lit(cap)).cast("bigint").alias("violations"))
+    return late.groupBy("dag_id").agg(F.count(F.lit(1)).alias("violations"))
 
 
 def mean_of_last(runs: DataFrame, last: int = LAST_DURATIONS_DAG, keys: tuple[str, ...] = ("dag_id",)) -> DataFrame:

@@ -63,7 +63,7 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 def _column(df: DataFrame, rule: Rule) -> tuple[Column, T.DataType]:
     if rule.column is None or rule.column not in df.columns:
-        raise RuleInputError(f"Column '{rule.column}' not found in data")
+        raise RuleInputError(f"there is no column {rule.column!r} to check")
     dtype = df.schema[rule.column].dataType
     return present(rule.column, dtype), dtype
 
@@ -86,7 +86,7 @@ def _plan_range(df, rule, tag, now):
     c, _ = _column(df, rule)
     low, high = rule.parameters.get("min_value"), rule.parameters.get("max_value")
     if low is None and high is None:
-        raise RuleInputError("Range check requires min_value and/or max_value parameters")
+        raise RuleInputError("give min_value, max_value or both")
     tests = [c >= F.lit(low)] if low is not None else []
     tests += [c <= F.lit(high)] if high is not None else []
     plan = _count_plan(tag, F.count_if(reduce(lambda a, b: a & b, tests)), F.count(c),
@@ -99,11 +99,11 @@ def _plan_pattern(df, rule, tag, now):
     c, _ = _column(df, rule)
     pattern = rule.parameters.get("pattern")
     if not pattern:
-        raise RuleInputError("Pattern check requires 'pattern' parameter")
+        raise RuleInputError("give the pattern to match")
     try:
         re.compile(pattern)
     except re.error as problem:
-        raise RuleInputError(f"Invalid regex pattern: {problem}") from problem
+        raise RuleInputError(f"the pattern cannot be read: {problem}") from problem
     plan = _count_plan(tag, F.count_if(starts_matching(c, pattern)), F.count(c),
                        ("total_non_null_rows", "valid_count", "invalid_count"))
     plan.details.append(F.lit(pattern).alias("pattern"))
@@ -186,15 +186,16 @@ def _query_rows(spark: SparkSession, rule: Rule, now: datetime) -> DataFrame:
     tests += [value <= F.lit(float(p["max_threshold"]))] if "max_threshold" in p else []
     tests += [value <= F.lit(float(p["threshold"]))] if p.get("threshold") is not None else []
     passed = reduce(lambda a, b: a & b, tests, F.lit(True))
-    one = (cell.select(F.col(quote(cell.columns[0])).cast("double").alias("value"))
-           .limit(1).agg(F.max("value").alias("value")))
-    details = json_text(F.struct(value.alias("actual_value")))
+    one = cell.select(F.col(quote(cell.columns[0])).cast("double").alias("value")).agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("result_rows"))
+    # A result of several rows has no one value to compare.
+    passed = passed & (F.col("result_rows") <= 1)
+    details = json_text(F.struct(value.alias("actual_value"), F.col("result_rows")))
     return one.select(F.lit(1).cast("bigint").alias("total_rows"),
                       _result(rule, F.when(passed, 1.0).otherwise(0.0), passed, details, now).alias("r"))
 
 
 def run_rules(df: DataFrame, rules: list[Rule], now: datetime, approx_unique: bool = False) -> DataFrame:
-    """One result row per rule. An empty table gives no rows."""
+    """One result row per rule. On an empty table only rules about the number of rows and SQL rules have a result."""
     spark = df.sparkSession
     aggregates: list[Column] = [F.count(F.lit(1)).alias("total_rows")]
     fused: list[Column] = []
@@ -219,10 +220,10 @@ def run_rules(df: DataFrame, rules: list[Rule], now: datetime, approx_unique: bo
                     aggregates += plan.aggregates
                     fused.append(_scored(rule, plan, now))
                 else:
-                    raise RuleInputError("Custom check requires 'function', 'expression' or 'query'")
+                    raise RuleInputError("give one of function, expression, query")
                 continue
             if rule.rule_type not in _FUSED:
-                raise RuleInputError(f"Unknown rule type: {rule.rule_type}")
+                raise RuleInputError(f"no rule is called {rule.rule_type!r}")
             plan = _FUSED[rule.rule_type](df, rule, tag, now)
             aggregates += plan.aggregates
             fused.append(_scored(rule, plan, now))
@@ -234,7 +235,7 @@ def run_rules(df: DataFrame, rules: list[Rule], now: datetime, approx_unique: bo
     if not parts:
         return spark.createDataFrame([], RESULT_SCHEMA)
     rows = reduce(DataFrame.unionByName, parts)
-    return rows.filter("total_rows > 0").select("r.*")
+    return rows.filter("total_rows > 0 or r.rule_type = 'row_count'").select("r.*")
 
 
 def _from_callable(df: DataFrame, rule: Rule, now: datetime) -> Column:
@@ -242,7 +243,7 @@ def _from_callable(df: DataFrame, rule: Rule, now: datetime) -> Column:
     try:
         score, details = rule.parameters["function"](df)
     except Exception as problem:  # noqa: BLE001 - any user error becomes a failed result
-        return _failed(rule, f"Custom function failed: {problem}", now)
+        return _failed(rule, f"the function raised: {problem}", now)
     text = json_text(F.struct(*[F.lit(v).alias(k) for k, v in details.items()])) if details else F.lit("{}")
     return _result(rule, F.lit(float(score)), F.lit(float(score) >= _limit(rule)), text, now)
 
@@ -265,7 +266,7 @@ def gate(results: DataFrame, fail_on_error: bool = True, blocking: tuple[str, ..
     bad = results.filter(~F.col("passed") & F.col("severity").isin(*blocking)).select("rule_name")
     names = sorted(r.rule_name for r in bad.collect())
     if names and fail_on_error:
-        raise QualityGateError("Critical data quality checks failed: " + ", ".join(names))
+        raise QualityGateError("blocked by rules that did not pass: " + ", ".join(names))
     return names
 
 

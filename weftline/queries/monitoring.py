@@ -42,7 +42,7 @@ def _(t):
 
 
 @query("consecutive_failures", f"""SELECT dag_id, coalesce(min(CASE WHEN state <> 'failed' THEN rn END) - 1, count(*)) AS consecutive_failures FROM (
- SELECT *, row_number() OVER (PARTITION BY dag_id ORDER BY start_time DESC, run_id DESC) AS rn FROM {RUNS}) WHERE rn <= 10 GROUP BY ALL""")
+ SELECT *, row_number() OVER (PARTITION BY dag_id ORDER BY start_time DESC, run_id DESC) AS rn FROM {RUNS}) GROUP BY ALL""")
 def _(t):
     return M.consecutive_failures(runs(t))
 
@@ -96,7 +96,7 @@ def _(t):
     return M.throughput(runs(t), NOW, 1440).withColumn("records_per_second", r("records_per_second", 6))
 
 
-@query("overdue_runs", f"""SELECT dag_id, least(count(*), 2)::BIGINT AS violations FROM {RUNS} WHERE start_time <= {NOW_SQL} - INTERVAL 60 MINUTE AND state IN ('running', 'failed') GROUP BY ALL""")
+@query("overdue_runs", f"""SELECT dag_id, count(*) AS violations FROM {RUNS} WHERE start_time <= {NOW_SQL} - INTERVAL 60 MINUTE AND state IN ('running', 'failed') GROUP BY ALL""")
 def _(t):
     return M.overdue(runs(t), NOW)
 

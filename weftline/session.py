@@ -18,6 +18,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Each map task keeps only its own top k rows per group before a shuffle.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # Of a key that stands twice in a JSON object the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    # Small batches to and from Python, so that texts of a few kilobytes do not fill its memory.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # Streaming state lives outside the JVM heap.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
