@@ -91,7 +91,7 @@ def _found(sorted_grams: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.
     return hit, at[hit]
 
 
-def _slices(batches, rows: int = 512):
+def _slices(batches, rows: int = 256):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)

@@ -28,7 +28,7 @@ from weftline.llm import text as T
 from weftline.session import freeze
 
 GROUP_PIECES = 32_768
-CACHE_WORDS = 400_000  # pre-tokens a worker remembers before it starts anew
+CACHE_WORDS = 200_000  # pre-tokens a worker remembers before it starts anew
 FAST_BYTES = 0xCD  # texts whose UTF-8 bytes are below hold code points below U+0340 only
 
 _LOADED: dict[str, tuple] = {}

@@ -109,8 +109,8 @@ class Model:
 
 def _measure(batches):
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
             x = statistics(part.column(1))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(x.astype(float)), pa.list_(pa.float64()))], names=["doc_id", "x"])
 
@@ -207,8 +207,8 @@ def score(stats: DataFrame, model: Model) -> DataFrame:
 
 def _keep(model: Model, least: float, batches):
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
             good = model.score(statistics(part.columns[-1])) >= least
             yield pa.RecordBatch.from_arrays(part.columns[:-1], schema=pa.schema(list(part.schema)[:-1])).filter(pa.array(good))
 
