@@ -1,6 +1,6 @@
 """Line dedup: an exact set-similarity join of lines, in SQL functions only.
 
-1. Words are counted over the whole corpus in 2**16 slots of their hashes; a word's rarity is the rank of its
+1. Words are counted over the whole corpus in 2**15 slots of their hashes; a word's rarity is the rank of its
    slot. This order has a fixed size, and any order makes the join exact.
 2. Distinct lines become sets of words, ordered by rarity. Two sets of Jaccard similarity t share one of the first
    n - ceil(t n) + 1 words of each, and of the smaller n - ceil(2 t n / (1 + t)) + 1 suffice (prefix filter). Pairs must also pass the length filter, the positional
@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.session import freeze
 
-SLOTS = 1 << 16
+SLOTS = 1 << 15
 LONG = 64  # words of a set from which on the bitmap has 128 bits
-CROWD = 32  # lines that share a word of their prefixes before they are tried against the earliest one first
+CROWD = 256  # lines that share a word of their prefixes before they are tried against the earliest one first
 BROADCAST_IDS = 1_000_000  # ids of similar or repeated lines that may be broadcast; more are joined by a shuffle
 NO_ID = (1 << 63) - 1  # doc of lines in rows without an id
 
@@ -39,13 +39,14 @@ def tokens(line: Column) -> Column:
 
 
 def _ranks(docs: DataFrame, text_col: str) -> Column:
-    """Rank of each slot by the number of words in it, in the upper 16 bits, as a constant array of SLOTS numbers."""
+    """Rank of each slot by the number of words in it, as a constant array of SLOTS numbers."""
     word = F.explode_outer(F.split(F.lower(F.col(text_col)), "[\\x20\\x09-\\x0D]+"))
     counts = docs.select(word.alias("word")).where("word <> ''").groupBy(F.hash("word").bitwiseAND(F.lit(SLOTS - 1)).alias("slot")).agg(F.count("*").alias("n"))
-    count = {r.slot: r.n for r in counts.collect()}  # SLOTS rows at most
+    found = counts.toPandas()  # SLOTS rows at most
+    count = dict(zip(found["slot"].tolist(), found["n"].tolist()))
     rank = [0] * SLOTS
     for place, slot in enumerate(sorted(range(SLOTS), key=lambda s: (count.get(s, 0), s))):
-        rank[slot] = (place - SLOTS // 2) << 48
+        rank[slot] = place
     return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<long>")
 
 
@@ -75,7 +76,7 @@ def _small(frame: DataFrame, rows: int) -> DataFrame:
 def _prefixes(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
     """One row per word of a distinct line's prefix: doc, spot, n, even, odd, at, word."""
     # A word's key: its slot's rank above 48 bits of another hash. Sorting the keys orders words by rarity.
-    key = lambda w: F.get(ranks, F.hash(w).bitwiseAND(F.lit(SLOTS - 1))).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 48) - 1)))
+    key = lambda w: F.call_function("shiftleft", F.get(ranks, F.hash(w).bitwiseAND(F.lit(SLOTS - 1))), F.lit(48)).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 48) - 1)))
     keys = F.sort_array(F.array_distinct(F.transform(F.array_remove(_split(F.col("line")), ""), key)))
     sized = distinct.select("doc", "spot", keys.alias("words")).select("doc", "spot", "words", F.size("words").alias("n"))
     # Parity bitmaps: 128 bits for long sets, and 64 bits, which are the two halves of 128 put together, for others.
