@@ -1,7 +1,7 @@
 """Line dedup: an exact set-similarity join of lines, in SQL functions only.
 
-1. Words are counted over the whole corpus in 2**15 slots of their hashes; a word's rarity is the rank of its
-   slot. This order has a fixed size, and any order makes the join exact.
+1. Words are counted over the whole corpus in 2**18 slots of their hashes; a word's rarity is the logarithm of its
+   slot's count. This order has a fixed size, and any order makes the join exact.
 2. Distinct lines become sets of words, ordered by rarity. Two sets of Jaccard similarity t share one of the first
    n - ceil(t n) + 1 words of each, and of the smaller n - ceil(2 t n / (1 + t)) + 1 suffice (prefix filter). Pairs must also pass the length filter, the positional
    filter (what can still be common from here on) and a bitmap filter (parity bits of both sets, whose
@@ -16,9 +16,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weftline.session import freeze
+from weftline.session import freeze, frozen, release
 
-SLOTS = 1 << 15
+SLOTS = 1 << 18
 LONG = 64  # words of a set from which on the bitmap has 128 bits
 CROWD = 256  # lines that share a word of their prefixes before they are tried against the earliest one first
 BROADCAST_IDS = 1_000_000  # ids of similar or repeated lines that may be broadcast; more are joined by a shuffle
@@ -39,15 +39,15 @@ def tokens(line: Column) -> Column:
 
 
 def _ranks(docs: DataFrame, text_col: str) -> Column:
-    """Rank of each slot by the number of words in it, as a constant array of SLOTS numbers."""
-    word = F.explode_outer(F.split(F.lower(F.col(text_col)), "[\\x20\\x09-\\x0D]+"))
+    """Rarity of each slot, three steps for each doubling of the number of words in it, as a constant array of SLOTS numbers."""
+    word = F.explode_outer(_split(F.replace(F.col(text_col), F.lit("\n"), F.lit(" "))))
     counts = docs.select(word.alias("word")).where("word <> ''").groupBy(F.hash("word").bitwiseAND(F.lit(SLOTS - 1)).alias("slot")).agg(F.count("*").alias("n"))
-    found = counts.toPandas()  # SLOTS rows at most
-    count = dict(zip(found["slot"].tolist(), found["n"].tolist()))
+    step = F.least(F.lit(127), F.floor(3 * F.log2(F.col("n") + 1))).cast("int")
+    found = counts.agg(F.collect_list(F.col("slot") * 128 + step)).first()[0]  # SLOTS numbers at most
     rank = [0] * SLOTS
-    for place, slot in enumerate(sorted(range(SLOTS), key=lambda s: (count.get(s, 0), s))):
-        rank[slot] = place
-    return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<long>")
+    for x in found:
+        rank[x >> 7] = x & 127
+    return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<tinyint>")
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -74,9 +74,9 @@ def _small(frame: DataFrame, rows: int) -> DataFrame:
 
 
 def _prefixes(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
-    """One row per word of a distinct line's prefix: doc, spot, n, even, odd, at, word."""
-    # A word's key: its slot's rank above 48 bits of another hash. Sorting the keys orders words by rarity.
-    key = lambda w: F.call_function("shiftleft", F.get(ranks, F.hash(w).bitwiseAND(F.lit(SLOTS - 1))), F.lit(48)).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 48) - 1)))
+    """Per distinct line its size, bitmaps and prefix: doc, spot, n, even, odd, prefix."""
+    # A word's key: its slot's rarity above 48 bits of another hash. Sorting the keys orders words by rarity.
+    key = lambda w: F.call_function("shiftleft", F.get(ranks, F.hash(w).bitwiseAND(F.lit(SLOTS - 1))).cast("long"), F.lit(48)).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 48) - 1)))
     keys = F.sort_array(F.array_distinct(F.transform(F.array_remove(_split(F.col("line")), ""), key)))
     sized = distinct.select("doc", "spot", keys.alias("words")).select("doc", "spot", "words", F.size("words").alias("n"))
     # Parity bitmaps: 128 bits for long sets, and 64 bits, which are the two halves of 128 put together, for others.
@@ -86,19 +86,23 @@ def _prefixes(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
     half = lambda which: parity(lambda w: F.when(w.bitwiseAND(F.lit(64)) == which, bit(w)).otherwise(none))
     even, odd = F.when(F.col("n") > LONG, half(0)).otherwise(parity(bit)), F.when(F.col("n") > LONG, half(64)).otherwise(none)
     prefix = F.slice("words", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
-    # No column can be null: else the optimizer tests that before the join, by computing all of the above once more.
-    sure = lambda c, kind="long": F.coalesce(c, F.lit(0).cast(kind))
-    rows = sized.select("doc", "spot", sure(F.col("n"), "int").alias("n"), sure(even).alias("even"), sure(odd).alias("odd"), F.posexplode_outer(prefix).alias("at", "word"))
-    return rows.select("doc", "spot", "n", "even", "odd", sure(F.col("at"), "int").alias("at"), sure(F.col("word")).alias("word"))
+    # The bitmaps are columns of the line; beside the generator of `_unfolded` they would be computed for every word again.
+    return sized.select("doc", "spot", "n", even.alias("even"), odd.alias("odd"), prefix.alias("prefix"))
+
+
+def _unfolded(prefixes: DataFrame) -> DataFrame:
+    """One row per word of a prefix: doc, spot, n, even, odd, at, word."""
+    return prefixes.select("doc", "spot", "n", "even", "odd", F.posexplode("prefix").alias("at", "word"))
 
 
 def _stars(prefixes: DataFrame, percent: int) -> DataFrame:
     """Pairs of each line with the earliest one of every crowded word: CROWD lines or more have it in their prefix."""
     crowded = freeze(prefixes.groupBy("word").agg(F.count("*").alias("lines")).where(F.col("lines") >= CROWD).select("word"), "crowded-words")
-    rows = prefixes.select("word", "doc", "spot", "n", "even", "odd").join(_small(crowded, crowded.count()), "word")
+    words = crowded.count()  # as many rows as the earliest lines below
+    rows = prefixes.select("word", "doc", "spot", "n", "even", "odd").join(_small(crowded, words), "word")
     first_doc = rows.groupBy("word").agg(F.min("doc").alias("doc"))
-    first = rows.join(first_doc, ["word", "doc"]).groupBy("word").agg(F.min(F.struct("doc", "spot", "n", "even", "odd")).alias("a"))
-    pairs = rows.select("word", F.struct("doc", "spot", "n", "even", "odd").alias("b")).join(first, "word")
+    first = rows.join(_small(first_doc, words), ["word", "doc"]).groupBy("word").agg(F.min(F.struct("doc", "spot", "n", "even", "odd")).alias("a"))
+    pairs = rows.select("word", F.struct("doc", "spot", "n", "even", "odd").alias("b")).join(_small(first, words), "word")
     pairs = pairs.where(_earlier("a.doc", "a.spot", "b.doc", "b.spot") & _may_match(F.least("a.n", "b.n"), F.greatest("a.n", "b.n"), percent))
     return pairs.select("a.doc", "a.spot", F.col("b.doc").alias("late_doc"), F.col("b.spot").alias("late_spot")).distinct()
 
@@ -113,10 +117,10 @@ def _may_match(smaller: Column, larger: Column, percent: int) -> Column:
 def _candidates(prefixes: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
     """Pairs (doc, spot, late_doc, late_spot) of lines that pass all filters and whose later one is not settled yet."""
     known = _small(settled.withColumn("known", F.lit(True)), settled.count())
-    rows = prefixes.join(known, ["doc", "spot"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    rows = prefixes.where("word is not null and n is not null").join(known, ["doc", "spot"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
     a, b = rows.alias("a"), rows.alias("b")
-    # a is the smaller set; of it the shorter prefix that suffices towards sets of its size or more. Every
-    # condition names both sides, so that both read one shuffle.
+    # a is the smaller set; of it the shorter prefix that suffices towards sets of its size or more. Conditions
+    # name both sides and nulls are out before, so that no filter is pushed to one side only and both read one shuffle.
     order = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & ((F.col("a.doc") < F.col("b.doc")) | ((F.col("a.doc") == F.col("b.doc")) & (F.col("a.spot") < F.col("b.spot")))))
     short = (100 + percent) * F.col("a.at") <= (100 - percent) * F.least("a.n", "b.n")
     both = F.col("a.n") + F.col("b.n")
@@ -165,11 +169,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = lines.where("id is not null").select("id", more, "doc", "spot", "line").join(_small(repeated, repeated.count()), ["id", "more"], "left")
     distinct = marked.where("first_doc is null or (doc = first_doc and spot = first_spot)").select("doc", "spot", "line")
     prefixes = freeze(_prefixes(distinct, _ranks(docs, text_col), percent), "line-prefixes")
+    prefix_files = frozen()[-1]
+    prefixes = _unfolded(prefixes)
 
     # In a crowd of like lines nearly all are settled by the earliest one; only the others meet every candidate.
     stars = freeze(_stars(prefixes, percent), "line-stars")
     settled = freeze(_verified(stars, _contents(lines, stars), percent), "settled-lines")
     pairs = freeze(_candidates(prefixes, settled, percent), "line-pairs")
+    release(docs.sparkSession, [prefix_files])
     similar = freeze(settled.unionByName(_verified(pairs, _contents(lines, pairs), percent)).distinct(), "similar-lines")
 
     # A removed first line takes its copies with it; copies of any line go.
