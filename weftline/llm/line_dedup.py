@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weftline.session import freeze, frozen, release
 
 SLOTS = 1 << 18
+HASH_BITS = 56  # of a word's key
 LONG = 64  # words of a set from which on the bitmap has 128 bits
 CROWD = 256  # lines that share a word of their prefixes before they are tried against the earliest one first
 BROADCAST_IDS = 1_000_000  # ids of similar or repeated lines that may be broadcast; more are joined by a shuffle
@@ -41,7 +42,7 @@ def tokens(line: Column) -> Column:
 def _ranks(docs: DataFrame, text_col: str) -> Column:
     """Rarity of each slot, three steps for each doubling of the number of words in it, as a constant array of SLOTS numbers."""
     word = F.explode_outer(_split(F.replace(F.col(text_col), F.lit("\n"), F.lit(" "))))
-    counts = docs.select(word.alias("word")).where("word <> ''").groupBy(F.hash("word").bitwiseAND(F.lit(SLOTS - 1)).alias("slot")).agg(F.count("*").alias("n"))
+    counts = docs.select(word.alias("word")).where("word <> ''").groupBy(F.xxhash64("word").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).agg(F.count("*").alias("n"))
     step = F.least(F.lit(127), F.floor(3 * F.log2(F.col("n") + 1))).cast("int")
     found = counts.agg(F.collect_list(F.col("slot") * 128 + step)).first()[0]  # SLOTS numbers at most
     rank = [0] * SLOTS
@@ -55,7 +56,9 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     doc (the id, or the largest number without one) and spot (line number and 32 bits of the line's hash) order lines by place.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("sig"), F.posexplode_outer(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
+    # sig is a column of the text; beside the generator it would be computed for every line again.
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("sig"))
+    rows = texts.select("doc_id", "sig", F.posexplode_outer(F.split(F.col("text"), "\n")).alias("line_no", "line"))
     spot = F.call_function("shiftleft", F.col("line_no").cast("long"), F.lit(32)).bitwiseOR(F.hash("line").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     spot = F.coalesce(spot, F.lit(-1).cast("long"))
     worded = F.col("line").rlike("[^\\x20\\x09-\\x0D]")
@@ -75,9 +78,10 @@ def _small(frame: DataFrame, rows: int) -> DataFrame:
 
 def _prefixes(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
     """Per distinct line its size, bitmaps and prefix: doc, spot, n, even, odd, prefix."""
-    # A word's key: its slot's rarity above 48 bits of another hash. Sorting the keys orders words by rarity.
-    key = lambda w: F.call_function("shiftleft", F.get(ranks, F.hash(w).bitwiseAND(F.lit(SLOTS - 1))).cast("long"), F.lit(48)).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 48) - 1)))
-    keys = F.sort_array(F.array_distinct(F.transform(F.array_remove(_split(F.col("line")), ""), key)))
+    # A word's key: its slot's rarity above HASH_BITS bits of its hash, the lowest of which are the slot. Sorting the keys orders words by rarity.
+    key = lambda h: F.call_function("shiftleft", F.get(ranks, h.bitwiseAND(F.lit(SLOTS - 1))).cast("long"), F.lit(HASH_BITS)).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+    hashes = F.transform(F.array_remove(_split(F.col("line")), ""), lambda w: F.xxhash64(w))
+    keys = F.sort_array(F.transform(F.array_distinct(hashes), key))
     sized = distinct.select("doc", "spot", keys.alias("words")).select("doc", "spot", "words", F.size("words").alias("n"))
     # Parity bitmaps: 128 bits for long sets, and 64 bits, which are the two halves of 128 put together, for others.
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
@@ -117,7 +121,9 @@ def _may_match(smaller: Column, larger: Column, percent: int) -> Column:
 def _candidates(prefixes: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
     """Pairs (doc, spot, late_doc, late_spot) of lines that pass all filters and whose later one is not settled yet."""
     known = _small(settled.withColumn("known", F.lit(True)), settled.count())
-    rows = prefixes.where("word is not null and n is not null").join(known, ["doc", "spot"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    rows = prefixes.where("word is not null and n is not null").join(known, ["doc", "spot"], "left")
+    # Columns of few different values stand side by side, which the shuffle's compression makes small.
+    rows = rows.select("n", "at", F.coalesce("known", F.lit(False)).alias("known"), "odd", "doc", "spot", "even", "word")
     a, b = rows.alias("a"), rows.alias("b")
     # a is the smaller set; of it the shorter prefix that suffices towards sets of its size or more. Conditions
     # name both sides and nulls are out before, so that no filter is pushed to one side only and both read one shuffle.
@@ -127,7 +133,8 @@ def _candidates(prefixes: DataFrame, settled: DataFrame, percent: int) -> DataFr
     rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
     # One of the two is not settled, and it is the later one.
     open_ = ~(F.col("a.known") & F.col("b.known")) & F.when(_earlier("a.doc", "a.spot", "b.doc", "b.spot"), ~F.col("b.known")).otherwise(~F.col("a.known"))
-    near = open_ & short & order & _may_match(F.col("a.n"), F.col("b.n"), percent) & ((100 + percent) * rest >= percent * both)
+    # Tests that are cheap and leave few pairs come first.
+    near = order & _may_match(F.col("a.n"), F.col("b.n"), percent) & short & ((100 + percent) * rest >= percent * both) & open_
     found = a.join(b, (F.col("a.word") == F.col("b.word")) & near).select(F.col("a.doc").alias("d1"), F.col("a.spot").alias("s1"), F.col("b.doc").alias("d2"), F.col("b.spot").alias("s2")).distinct()
     one, two = F.struct(F.col("d1").alias("doc"), F.col("s1").alias("spot")), F.struct(F.col("d2").alias("doc"), F.col("s2").alias("spot"))
     first = _earlier("d1", "s1", "d2", "s2")
