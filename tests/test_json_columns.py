@@ -112,6 +112,30 @@ def test_mostly_numeric_column_stays_text(spark):
     assert dict(out.dtypes)["a"] == "string"
 
 
+def test_large_whole_numbers_are_not_rounded(spark):
+    ids = [1234567890123456789, 1234567890123456788]
+    out, rows = flat(spark, ['{"a":%d}' % v for v in ids], Options())
+    assert dict(out.dtypes)["a"] == "bigint" and [r["a"] for r in rows] == ids
+    out, rows = flat(spark, ['{"a":"12345678901234567890"}', '{"a":"1.5"}'], Options())
+    assert [r["a"] for r in rows] == ["12345678901234567890", "1.5"]
+
+
+def test_arrays_in_arrays_of_any_depth(spark):
+    out, rows = flat(spark, ['[[[[[[{"a":1}]]]],[]],{"a":2}]', '{"a":3}', "bad", None])
+    assert sorted((r["id"], r["a"]) for r in rows if r["a"]) == [(0, "1"), (0, "2"), (1, "3")] and len(rows) == 5
+
+
+def test_places_of_equal_cleaned_names_stay_apart(spark):
+    out, rows = flat(spark, ['{"a b":1,"a_b":2}', '{"a":{"b":3}}'])
+    assert [r["a_b"] for r in rows] == [None, "3"] and [(r["a_b_1"], r["a_b_2"]) for r in rows] == [("1", "2"), (None, None)]
+
+
+def test_more_than_ten_spellings_of_booleans(spark):
+    words = ["true", "TRUE", "True", "tRue", "yes", "YES", "Yes", "no", "NO", "No", "n", "N"]
+    out, rows = flat(spark, ['{"a":"%s"}' % w for w in words], Options())
+    assert [r["a"] for r in rows] == [w.lower() in ("true", "yes") for w in words]
+
+
 def test_known_field_list_skips_discovery(spark):
     df = spark.createDataFrame([('{"a":1}',)], "event string")
     leaves = leaves_from_json(leaves_to_json(discover(split_records(df, "event"))))

@@ -16,7 +16,7 @@ from weftline.sinks.tables import evolve_table, read_table, table_exists, usable
 from weftline.sources import files, jdbc, remote
 from weftline.sources.documents import filter_documents
 from weftline.sources.normalize import normalize_types
-from weftline.sources.registry import read_source
+from weftline.sources.registry import read_source, with_run_date
 
 RUN = datetime(2024, 3, 5, 7)
 
@@ -443,3 +443,8 @@ def test_first_non_empty(spark):
     assert first_non_empty([empty]).count() == 0
     with pytest.raises(SpecError):
         first_non_empty([])
+
+
+def test_run_date_in_source_queries():
+    assert with_run_date("SELECT 1 WHERE d = '{{ ds }}' AND t < '{{ts}}'", RUN) == f"SELECT 1 WHERE d = '{RUN:%Y-%m-%d}' AND t < '{RUN.isoformat()}'"
+    assert with_run_date({"d": {"$gte": "{{ ds }}", "n": [1, "{{ds}}"]}}, RUN) == {"d": {"$gte": f"{RUN:%Y-%m-%d}", "n": [1, f"{RUN:%Y-%m-%d}"]}}

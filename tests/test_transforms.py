@@ -35,10 +35,19 @@ def test_missing_values(spark):
     assert values(fill_missing(df, {"t": "fill_none given"}), "t") == ["x", "none given", "y"]
     assert values(fill_missing(df, {"v": "drop", "gone": "drop"})) == [1.0, 5.0]
     assert values(fill_missing(df, {"n": "fill_mean"}), "n") == [1, 2, 3]
+    both = fill_missing(df.union(spark.createDataFrame([(4, 30.0, None, 5)], df.schema)), {"v": "fill_mean", "t": "drop", "n": "fill_mean"})
+    assert sorted((r.v, r.n) for r in both.collect()) == [(1.0, 1.0), (5.0, 3.0)]
     with pytest.raises(ValueError):
         fill_missing(df, {"t": "fill_mean"})
 
 
+def test_many_means_are_one_aggregate(spark):
+    names = [f"c{i}" for i in range(14)]
+    df = spark.createDataFrame([tuple(float(i) for i in range(14)), (None,) * 14], ", ".join(f"{c} double" for c in names))
+    rows = fill_missing(df, dict.fromkeys(names, "fill_mean")).collect()
+    assert rows[0] == rows[1] == tuple(float(i) for i in range(14))
+
+
 def test_numbers_are_plain_decimal_text(spark):
     df = spark.createDataFrame(list(enumerate([" 1.5 ", "1.5d", "1e3", "x", None, "-.5", "0x1", "NaN"])), "id int, v string")
     assert values(convert_types(df, {"v": "numeric"})) == [1.5, None, 1000.0, None, None, -0.5, None, None]

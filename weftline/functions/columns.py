@@ -39,8 +39,13 @@ def to_number(c: Column) -> Column:
 
 
 def looks_whole(c: Column) -> Column:
-    """For numeric text: no fraction, no exponent, and short enough for a bigint."""
-    return ~c.contains(".") & ~c.contains("e") & ~c.contains("E") & (F.length(c) <= 18)
+    """For numeric text: no fraction and no exponent."""
+    return ~c.contains(".") & ~c.contains("e") & ~c.contains("E")
+
+
+def fits_double(c: Column) -> Column:
+    """For whole numeric text: a double holds it without rounding."""
+    return F.coalesce(F.abs(F.trim(c).try_cast("decimal(38,0)")) <= (1 << 53), F.lit(False))
 
 
 def starts_matching(c: Column, pattern: str) -> Column:

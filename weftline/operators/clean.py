@@ -31,20 +31,25 @@ def drop_duplicates(df: DataFrame, subset: list[str] | None = None, order_by: li
 
 
 def fill_missing(df: DataFrame, rules: dict[str, object]) -> DataFrame:
-    """`drop`, `fill_zero`, `fill_mean` or `fill_<literal>` per column, in the order given."""
+    """`drop`, `fill_zero`, `fill_mean` or `fill_<literal>` per column, in the order given.
+
+    All means between two drops come from one aggregate, as filling a column changes no other column's mean.
+    """
+    means, averaged = None, [c for c, action in rules.items() if action == "fill_mean" and c in df.columns and is_numeric(df.schema[c].dataType)]
     for name, action in rules.items():
         if name not in df.columns:
             continue
         dtype, c = df.schema[name].dataType, F.col(quote(name))
         if action == "drop":
-            df = df.na.drop(subset=[name])
+            df, means = df.na.drop(subset=[name]), None
         elif action == "fill_zero":
             df = df.withColumn(name, F.coalesce(c, F.lit(0).cast(dtype)))
         elif action == "fill_mean":
             if not is_numeric(dtype):
                 raise ValueError(f"fill_mean needs a numeric column, {name} is {dtype.simpleString()}")
-            mean = df.agg(F.avg(c)).scalar()
-            df = df.withColumn(name, F.coalesce(c.cast("double"), mean))
+            if means is None:
+                means = df.agg(F.struct(*[F.avg(F.col(quote(x))).alias(x) for x in averaged])).scalar()
+            df = df.withColumn(name, F.coalesce(c.cast("double"), means.getField(name)))
         elif isinstance(action, str) and action.startswith("fill_"):
             df = df.withColumn(name, F.coalesce(c, F.lit(action.removeprefix("fill_")).cast(dtype)))
         else:

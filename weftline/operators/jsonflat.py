@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from weftline.functions.columns import looks_whole, quote, to_number
+from weftline.functions.columns import fits_double, looks_whole, quote, to_number
 from weftline.functions.names import clean_identifier, dedupe_names
 from weftline.session import freeze
 
@@ -28,7 +28,6 @@ from weftline.session import freeze
 INDEXED_ITEMS = 3
 TRUE_WORDS = ["true", "1", "yes", "y"]
 FALSE_WORDS = ["false", "0", "no", "n"]
-MAX_BOOLEAN_SPELLINGS = 10
 NUMERIC_SHARE = 0.8
 TIME_SHARE = 0.5
 TIME_MARK = "time"
@@ -41,8 +40,6 @@ LEVELS_PER_PASS = 5
 # Distinct document shapes the driver will look at; a shape is a short text.
 MAX_SHAPES = 1000
 DECIMAL_SHAPE = r": DECIMAL\(\d+,\s*\d+\)"
-# Arrays directly inside arrays at the top of a document; deeper ones stay JSON text.
-NESTED_ARRAYS = 3
 
 
 @dataclass(frozen=True)
@@ -96,8 +93,10 @@ def split_records(df: DataFrame, json_column: str, out: str = "_doc") -> DataFra
 
     An empty top-level array gives no row; text that is no document gives one null row.
     """
-    rows = df.withColumn(out, parse(F.col(quote(json_column)).cast("string")))
-    for _ in range(NESTED_ARRAYS):
+    text = F.col(quote(json_column)).cast("string")
+    rows = df.withColumn(out, parse(text))
+    # A round for each level of arrays in arrays; the check reads only texts that start as an array, and stops at the first.
+    while not rows.where(text.rlike(r"^\s*\[")).where(_items(F.col(out)).isNotNull()).isEmpty():
         rows = rows.withColumn(out, F.explode(F.coalesce(_items(F.col(out)), F.array(F.col(out)))))
     return rows
 
@@ -264,15 +263,15 @@ def _field_name(parts: tuple[str, ...], options: Options) -> str:
     return options.separator.join(clean(p) for p in parts)
 
 
-def _leaf_columns(leaves: list[Leaf], options: Options, doc: str) -> dict[str, list[Column]]:
-    """Field name -> expressions that may supply it (several only where cleaned names coincide)."""
+def _leaf_columns(leaves: list[Leaf], options: Options, doc: str) -> list[tuple[str, Column]]:
+    """Field name and value of each place in the documents; cleaned names may coincide."""
     kinds: dict[tuple, set[str]] = defaultdict(set)
     has_keys_below = set()
     for leaf in leaves:
         kinds[(leaf.path, leaf.item, leaf.inner)].add(leaf.kind)
         has_keys_below.update((leaf.path[:i], None, ()) for i in range(len(leaf.path)))
         has_keys_below.update((leaf.path, leaf.item, leaf.inner[:i]) for i in range(len(leaf.inner)))
-    out: dict[str, list[Column]] = defaultdict(list)
+    out: list[tuple[str, Column]] = []
     variant = F.col(doc)
     for place in sorted(kinds, key=lambda k: (k[0], -1 if k[1] is None else k[1], k[2])):
         (path, item, inner), seen = place, kinds[place]
@@ -291,10 +290,10 @@ def _leaf_columns(leaves: list[Leaf], options: Options, doc: str) -> dict[str, l
             field = _field_name(inner, options)
             text = _array_text(value, text) if arrays else text
             for prefix in ([f"{name}_first"] if item == 0 else []) + [f"{name}_{item}"]:
-                out[f"{prefix}_{field}" if field else prefix].append(text)
+                out.append((f"{prefix}_{field}" if field else prefix, text))
             continue
         if not arrays:
-            out[name].append(text)
+            out.append((name, text))
             continue
         is_array = _items(value).isNotNull()
         # Where no document has any other array here, the items need no look.
@@ -302,15 +301,15 @@ def _leaf_columns(leaves: list[Leaf], options: Options, doc: str) -> dict[str, l
         counts = options.array_handling == "count"
         if options.array_handling == "first_item":
             first = F.try_variant_get(variant, f"{where}[0]", "string")
-            out[name].append(F.when(of_objects, _spaced_array(value)).when(is_array, first).otherwise(text))
+            out.append((name, F.when(of_objects, _spaced_array(value)).when(is_array, first).otherwise(text)))
         elif not counts:
-            out[name].append(_array_text(value, text))
+            out.append((name, _array_text(value, text)))
         elif seen != {"array"}:
-            out[name].append(F.when(of_objects, _spaced_array(value)).when(~is_array, text))
+            out.append((name, F.when(of_objects, _spaced_array(value)).when(~is_array, text)))
         if counts or "objects" in arrays:
             size = F.array_size(_items(value))
             only_some = not counts and arrays != {"objects"}
-            out[f"{name}_count"].append((F.when(of_objects, size) if only_some else size).cast("string"))
+            out.append((f"{name}_count", (F.when(of_objects, size) if only_some else size).cast("string")))
     return out
 
 
@@ -319,12 +318,11 @@ def _array_text(value: Column, text: Column) -> Column:
 
 
 def project(documents: DataFrame, leaves: list[Leaf], keep: list[str], options: Options = Options(), doc: str = "_doc") -> DataFrame:
-    """`keep` columns plus one text column per field."""
+    """`keep` columns plus one text column per field; of fields whose cleaned names coincide the later ones get `_1`, `_2`, ..."""
     fields = _leaf_columns(leaves, options, doc)
-    names = dedupe_names([options.column_prefix + f for f in fields], taken=keep)
+    names = dedupe_names([options.column_prefix + f for f, _ in fields], taken=keep)
     columns = []
-    for name, sources in zip(names, fields.values()):
-        c = sources[0] if len(sources) == 1 else F.coalesce(*sources)
+    for name, (_, c) in zip(names, fields):
         columns.append((F.coalesce(c, F.lit("")) if options.null_handling == "empty_string" else c).alias(name))
     return documents.select(*[F.col(quote(k)) for k in keep], *columns)
 
@@ -332,8 +330,8 @@ def project(documents: DataFrame, leaves: list[Leaf], keep: list[str], options:
 def infer_types(df: DataFrame, columns: list[str]) -> DataFrame:
     """Numbers, booleans and times out of text columns; a column changes as a whole or not at all.
 
-    One aggregate looks at all columns. Only columns of boolean words are looked at
-    again, for their spellings, whose set is bounded by the words.
+    One aggregate looks at all columns. Whole numbers that a bigint holds become bigint, other numbers double. No
+    number is rounded: a column with whole numbers too large for its type stays text.
     """
     if not columns:
         return df
@@ -345,15 +343,13 @@ def infer_types(df: DataFrame, columns: list[str]) -> DataFrame:
         probes += [
             F.count(c).alias(f"n{i}"),
             F.count(to_number(c)).alias(f"num{i}"),
-            F.count_if(to_number(c).isNotNull() & looks_whole(c)).alias(f"int{i}"),
+            F.count_if(to_number(c).isNotNull() & looks_whole(c) & F.trim(c).try_cast("bigint").isNotNull()).alias(f"int{i}"),
+            F.count_if(to_number(c).isNotNull() & looks_whole(c) & ~fits_double(c)).alias(f"wide{i}"),
             F.count_if(is_word).alias(f"word{i}"),
         ]
         if TIME_MARK in name.lower():
             probes.append(F.count(c.try_cast("timestamp")).alias(f"time{i}"))
     seen = df.agg(*probes).first()
-    wordy = [i for i in range(len(columns)) if 0 < seen[f"n{i}"] == seen[f"word{i}"] and seen[f"num{i}"] / seen[f"n{i}"] <= NUMERIC_SHARE]
-    spellings = [F.size(F.collect_set(F.col(quote(columns[i])))).alias(f"spell{i}") for i in wordy]
-    spelled = df.agg(*spellings).first().asDict() if wordy else {}
     changes = {}
     for i, name in enumerate(columns):
         c, total = F.col(quote(name)), seen[f"n{i}"]
@@ -361,9 +357,11 @@ def infer_types(df: DataFrame, columns: list[str]) -> DataFrame:
             continue
         if seen[f"num{i}"] / total > NUMERIC_SHARE:
             if seen[f"num{i}"] == total:
-                whole = seen[f"int{i}"] == total
-                changes[name] = F.trim(c).cast("bigint") if whole else to_number(c)
-        elif i in wordy and spelled[f"spell{i}"] <= MAX_BOOLEAN_SPELLINGS:
+                if seen[f"int{i}"] == total:
+                    changes[name] = F.trim(c).cast("bigint")
+                elif not seen[f"wide{i}"]:
+                    changes[name] = to_number(c)
+        elif seen[f"word{i}"] == total:
             changes[name] = F.when(F.lower(c).isin(*TRUE_WORDS), True).when(c.isNotNull(), False)
         elif TIME_MARK in name.lower() and seen[f"time{i}"] / total > TIME_SHARE and seen[f"time{i}"] == total:
             changes[name] = c.cast("timestamp")

@@ -57,6 +57,35 @@ def _(t):
     return f.groupBy("order", "order_key", "done").agg(r(F.sum("order_big_price"), 2).alias("total"), F.max("lines_count").alias("lines_count"))
 
 
+@query("json_large_integers", """
+SELECT o_orderkey, 1234567890123456789 + o_orderkey AS id, '1234567890123456789012' || o_orderkey AS wide, o_totalprice AS price FROM orders""")
+def _(t):
+    """Whole numbers of 19 digits are bigint; larger ones stay text, and nothing is rounded."""
+    docs = t.orders.select("o_orderkey", F.expr("""concat('{"id":', 1234567890123456789 + o_orderkey, ',"wide":"1234567890123456789012', o_orderkey, '","price":"', o_totalprice, '"}')""").alias("event"))
+    return flatten_json(docs, "event")
+
+
+@query("json_deep_arrays", "SELECT o_orderkey, o_custkey AS a FROM orders UNION ALL SELECT o_orderkey, o_custkey + 1 FROM orders WHERE o_orderkey % 2 = 0")
+def _(t):
+    """Five arrays in one another around one record, or around two at different levels."""
+    docs = t.orders.select("o_orderkey", F.expr("""CASE WHEN o_orderkey % 2 = 0 THEN concat('[[[[[{"a":', o_custkey, '}]]],{"a":', o_custkey + 1, '}]]')
+      ELSE concat('[[[[[{"a":', o_custkey, '}]]]]]') END""").alias("event"))
+    return flatten_json(docs, "event")
+
+
+@query("json_colliding_names", "SELECT o_orderkey, o_custkey AS a_b, o_orderkey + 1 AS a_b_1, o_custkey + 2 AS a_b_2 FROM orders")
+def _(t):
+    """Three places whose cleaned names are equal: none hides another."""
+    docs = t.orders.select("o_orderkey", F.expr("""concat('{"a b":', o_orderkey + 1, ',"a_b":', o_custkey + 2, ',"a":{"b":', o_custkey, '}}')""").alias("event"))
+    return flatten_json(docs, "event")
+
+
+@query("json_duplicate_keys", "SELECT o_orderkey, o_custkey AS a FROM orders")
+def _(t):
+    """Of a key that stands twice in an object the last value counts."""
+    return flatten_json(t.orders.select("o_orderkey", F.expr("""concat('{"a":0,"a":', o_custkey, '}')""").alias("event")), "event")
+
+
 @query("json_flatten_array_modes", """
 SELECT count(*) FILTER (o_orderstatus = 'F') AS first_is_f, 2 * count(*) FILTER (o_orderstatus = 'F') AS tag_items,
  count(*) FILTER (o_orderstatus = 'F') + count(*) FILTER (o_orderstatus = 'P') AS counted FROM orders""")

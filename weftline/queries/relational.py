@@ -125,9 +125,13 @@ def _(t):
 
 
 @query("half_even_rounding", """
-SELECT o_orderpriority, count(*) AS n, (sum(CASE WHEN CAST(o_totalprice * 100 AS BIGINT) % 10 = 5 THEN 1 ELSE 0 END))::BIGINT AS ties FROM orders GROUP BY ALL""")
+WITH c AS (SELECT o_orderpriority, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
+SELECT o_orderpriority, count(*) AS n, count(*) FILTER (WHERE cents % 10 = 5) AS ties, (sum((cents + 5) // 10))::BIGINT AS tenths_up,
+ (sum(CASE WHEN cents % 10 = 5 THEN cents // 10 + (cents // 10) % 2 ELSE (cents + 5) // 10 END))::BIGINT AS tenths_even
+FROM c GROUP BY ALL""")
 def _(t):
-    """Half-even and half-up rounding differ on ties only."""
+    """Both ways to round to tenths, summed up as whole tenths; they differ on ties only."""
     d = F.col("o_totalprice").cast("decimal(12,2)")
-    odd = F.when((F.round(d, 1) != F.bround(d, 1)) | ((d * 100).cast("bigint") % 10 == 5), 1).otherwise(0)
-    return t.orders.groupBy("o_orderpriority").agg(n(F.count(F.lit(1))).alias("n"), n(F.sum(odd)).alias("ties"))
+    tenths = lambda x: n(F.sum((x * 10).cast("bigint")))
+    return t.orders.groupBy("o_orderpriority").agg(n(F.count(F.lit(1))).alias("n"), n(F.count_if((d * 100).cast("bigint") % 10 == 5)).alias("ties"),
+                                                   tenths(F.round(d, 1)).alias("tenths_up"), tenths(F.bround(d, 1)).alias("tenths_even"))

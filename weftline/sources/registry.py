@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,10 +69,23 @@ READERS: dict[str, Reader] = {
 }
 
 
+def with_run_date(value, run: datetime):
+    """Text, also inside lists and dicts, with `{{ ds }}` and `{{ ts }}` replaced by the run's date and time."""
+    if isinstance(value, dict):
+        return {k: with_run_date(v, run) for k, v in value.items()}
+    if isinstance(value, list):
+        return [with_run_date(v, run) for v in value]
+    if isinstance(value, str):
+        for key, text in (("ds", f"{run:%Y-%m-%d}"), ("ts", run.isoformat())):
+            value = value.replace("{{ %s }}" % key, text).replace("{{%s}}" % key, text)
+    return value
+
+
 def read_source(spark: SparkSession, source: SourceSpec, connections: dict[str, dict], run: datetime) -> DataFrame:
     if source.type not in READERS:
         raise SpecError(f"unsupported source type: {source.type}")
     problems = validate_source(source)
     if problems:
         raise SpecError("; ".join(problems))
+    source = replace(source, query=with_run_date(source.query, run), filter_condition=with_run_date(source.filter_condition, run))
     return READERS[source.type](spark, source, connections.get(source.connection_id or "", {}), run)
