@@ -448,3 +448,10 @@ def test_first_non_empty(spark):
 def test_run_date_in_source_queries():
     assert with_run_date("SELECT 1 WHERE d = '{{ ds }}' AND t < '{{ts}}'", RUN) == f"SELECT 1 WHERE d = '{RUN:%Y-%m-%d}' AND t < '{RUN.isoformat()}'"
     assert with_run_date({"d": {"$gte": "{{ ds }}", "n": [1, "{{ds}}"]}}, RUN) == {"d": {"$gte": f"{RUN:%Y-%m-%d}", "n": [1, f"{RUN:%Y-%m-%d}"]}}
+
+
+def test_unknown_spec_keys_are_refused():
+    from weftline.plans.spec import parse_plan
+
+    with pytest.raises(SpecError, match="sql_transfrom"):
+        parse_plan({"dag_id": "d", "tasks": [{"task_id": "t", "operator_type": "transform", "sql_transfrom": "SELECT 1"}]})
