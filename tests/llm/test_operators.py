@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tools.compare import compare, duck
-from weftline.llm import decontaminate, line_dedup, merkle, ngram_join, packing, quality, sharding, substring_dedup, toxicity, warc
+from weftline.llm import blocks, decontaminate, line_dedup, merkle, ngram_join, packing, quality, sharding, substring_dedup, toxicity, warc
 from weftline.llm.components import components
 from weftline.llm.queries import ORACLES, QUERIES, tokenizer
 
@@ -83,6 +83,40 @@ def test_substring_dedup(docs, none):
     assert substring_dedup.substring_dedup(none).count() == 0
 
 
+def test_blocks_of_hot_ids(spark, monkeypatch):
+    """No block grows with one id, with the rows without one or with long texts, and the results stay."""
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 2000)
+    words = vocabulary(5, 300)
+    random.seed(5)
+    passage = " ".join(words[:15])
+    text = lambda: " ".join(random.choices(words, k=20)) + " " + (passage if random.random() < 0.3 else "")
+    long = " ".join(random.choices(words, k=600))
+    data = [(i, text()) for i in range(60)] + [(None, text()) for _ in range(60)] + [(7, text()) for _ in range(60)] + [(None, None), (100, long), (101, long)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    placed, _ = blocks.blocks_of(docs, "doc_id", "text", 256)
+    groups = {}
+    for r in placed.collect():
+        groups.setdefault((r.block, r.part), []).append((r.doc_id, len(r.text or "") + blocks.ROW_BYTES))
+    assert sum(map(len, groups.values())) == len(data)
+    assert all(len(g) == 1 or sum(n for _, n in g) <= (4000 if len({i for i, _ in g}) > 1 else 8000) for g in groups.values())
+    assert all(len(p) > 1 for p in ([k for k, g in groups.items() if i in {x for x, _ in g}] for i in (None, 7)))
+    first, rank = {}, lambda i: float("inf") if i is None else i
+    for i, x in data:
+        w = words_of(x)
+        for k in range(len(w) - 12):
+            first[tuple(w[k:k + 13])] = min(first.get(tuple(w[k:k + 13]), float("inf")), rank(i))
+    want = []
+    for i, x in data:
+        w = words_of(x)
+        want.append((i, len(w), len({j for k in range(len(w) - 12) if first[tuple(w[k:k + 13])] < rank(i) for j in range(k, k + 13)})))
+    found = substring_dedup.substring_dedup(docs).collect()
+    assert sorted((tuple(r)[:3] for r in found), key=key) == sorted(want, key=key)
+    unique = [(i, x) for i, x in data if i != 7]
+    found = ngram_join.ngram_jaccard_join(spark.createDataFrame(unique, "doc_id long, text string")).collect()
+    least = linked(unique)
+    assert sorted(map(tuple, found), key=key) == sorted(((i, len(shingles(x)), least.get(i)) for i, x in unique), key=key)
+
+
 def shingles(text):
     w = [x.decode().translate({c: c + 32 for c in range(65, 91)}) for x in words_of(text)]
     return {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()

@@ -75,7 +75,7 @@ def _whole(hashes: np.ndarray) -> np.uint64:
 
 def _send(width: int, bits: int, key, table: pa.Table) -> pa.Table:
     s = _Sets(table, width)
-    return B.sent(key[0].as_py(), *B.bucket_bounds(s.distinct, bits), (s.distinct >> np.uint64(32 - bits)).astype(np.uint32))
+    return B.sent(key, *B.bucket_bounds(s.distinct, bits), (s.distinct >> np.uint64(32 - bits)).astype(np.uint32))
 
 
 def _answer(table: pa.Table) -> pa.Table:
@@ -207,8 +207,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     has no component. Rows of equal id are one node; equal texts link. Other columns are not
     read. An empty table gives no rows.
     """
-    bits = B.bucket_bits(docs, text_col)
-    rows = docs.select(B.block_of(id_col, block_docs).alias("block"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows, bits = B.blocks_of(docs, id_col, text_col, block_docs)
     send, read, multiply = partial(_send, width, bits), partial(_sets, width, percent), partial(_product, percent)
     sets = freeze(B.ask(rows, lambda key, table: send(key, table), _answer, lambda left, right: read(left, right), SETS), "sets")
 

@@ -17,7 +17,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from weftline.llm import blocks as B, text as T
 
@@ -45,15 +45,17 @@ class _Windows:
 
 def _send(width: int, bits: int, key, table: pa.Table) -> pa.Table:
     w = _Windows(table, width)
-    return B.sent(key[0].as_py(), *B.bucket_bounds(w.distinct, bits), w.entries)
+    return B.sent(key, *B.bucket_bounds(w.distinct, bits), w.entries)
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """One bit an entry: an earlier block has it too."""
     table, entries, bounds = B.received(table, np.uint64)
     order = np.argsort(entries, kind="stable")
-    ordered, older = entries[order], np.zeros(len(entries), bool)
-    older[order[1:]] = ordered[1:] == ordered[:-1]
+    ordered, rank = entries[order], np.repeat(B.ranks(table), np.diff(bounds))[order]
+    new = np.r_[True, ordered[1:] != ordered[:-1]]
+    older = np.zeros(len(entries), bool)
+    older[order] = rank > rank[np.flatnonzero(new)][np.cumsum(new) - 1]
     return B.answered(table, [np.packbits(older[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])])
 
 
@@ -109,7 +111,6 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A word is removed if a window over it also starts in a document of smaller id.
     """
-    bits = B.bucket_bits(docs, text_col)
-    rows = docs.select(B.block_of(id_col, block_docs).alias("block"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows, bits = B.blocks_of(docs, id_col, text_col, block_docs)
     send, cut = partial(_send, width, bits), partial(_cut, width, bits)
     return B.ask(rows, lambda key, table: send(key, table), _answer, lambda left, right: cut(left, right), SCHEMA)
