@@ -157,6 +157,24 @@ def test_ngram_join(spark, docs, none, monkeypatch, block_rows):
     assert 5 in ids and not {6, 7} & set(ids) and ids.count(20) == 1 and ids.count(None) == 2
 
 
+def test_ngram_join_of_different_texts_of_an_id(spark):
+    """All texts of an id count for its links; a text that is like no other stays in the corpus."""
+    words = vocabulary(11, 2000)
+    random.seed(11)
+    a, b, c, d = (random.choices(words, k=60) for _ in range(4))
+    near = lambda x: " ".join([*x[:-1], "edited"])
+    a, b, c, d = map(" ".join, (a, b, c, d))
+    data = [(3, a), (7, a), (7, b), (9, near(b.split())), (12, near(b.split())), (12, c), (12, c), (20, near(c.split())), (30, d), (None, d), (30, near(d.split())), (40, ""), (40, "alone")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    found = ngram_join.ngram_jaccard_join(docs, block_docs=4).collect()
+    least = linked(data)
+    assert {least[i] for i in (3, 7, 9, 12, 20)} == {3}
+    assert sorted(map(tuple, found), key=key) == sorted(((i, len(shingles(x)), least.get(i)) for i, x in data), key=key)
+    kept = sorted(map(tuple, ngram_join.one_of_each(docs, block_docs=4).collect()), key=key)
+    assert [x for x in kept if x[0] != 30] == sorted([(3, a), (7, b), (12, c), (40, ""), (40, "alone"), (None, d)], key=key)
+    assert len([x for x in kept if x[0] == 30]) == 1
+
+
 def test_overlaps_in_slices(monkeypatch):
     monkeypatch.setattr(ngram_join, "COLUMNS", 3)
     random.seed(2)

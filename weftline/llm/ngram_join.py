@@ -21,7 +21,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.llm import blocks as B, text as T
 from weftline.llm.components import components
@@ -29,7 +29,7 @@ from weftline.session import freeze
 
 BLOCK_ROWS = 512
 COLUMNS = 4096
-SETS = "doc_id long, n_shingles long, d1 long, d2 long, prefix binary, grams binary"
+SETS = "doc_id long, text_hash long, n_shingles long, d1 long, d2 long, prefix binary, grams binary"
 
 
 class _Sets:
@@ -38,6 +38,7 @@ class _Sets:
     def __init__(self, table: pa.Table, width: int):
         self.ids, table = B.id_order(table)
         self.nulls = table.column("doc_id").is_null().to_numpy()
+        self.text_hash = table.column("text_hash")
         data, offsets = T.text_bytes(table.column("text"))
         data = T.lowered(data)
         starts, ends, doc = T.words(data, offsets)
@@ -117,7 +118,7 @@ def _sets(width: int, percent: int, table: pa.Table, told: pa.Table) -> pa.Table
     raw = grams.tobytes()
     cut = lambda i, n: raw[8 * first[i]: 8 * (first[i] + n)] if candidate[i] else None
     return pa.table({
-        "doc_id": pa.array(s.ids, pa.int64(), mask=s.nulls), "n_shingles": pa.array(size, pa.int64()), "d1": digest(T.BASES[0]), "d2": digest(T.BASES[1]),
+        "doc_id": pa.array(s.ids, pa.int64(), mask=s.nulls), "text_hash": s.text_hash, "n_shingles": pa.array(size, pa.int64()), "d1": digest(T.BASES[0]), "d2": digest(T.BASES[1]),
         "prefix": pa.array([cut(i, prefix[i]) for i in range(docs)], pa.binary()),
         "grams": pa.array([cut(i, first[i + 1] - first[i]) for i in range(docs)], pa.binary()),
     })
@@ -129,7 +130,7 @@ def _prefix_rows(batches):
         sizes = np.array([len(x) for x in parts], np.int64)
         yield pa.RecordBatch.from_pydict({
             "gram": pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64()),
-            "doc": pa.array(np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64), sizes), pa.int64())})
+            "doc": pa.array(np.repeat(batch.column("node").to_numpy(zero_copy_only=False).astype(np.int64), sizes), pa.int64())})
 
 
 def overlaps(rows: list[np.ndarray], cols: list[np.ndarray]) -> np.ndarray:
@@ -199,22 +200,21 @@ def _product(percent: int, table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(ids[moved], pa.int64()), "b": pa.array(label[moved], pa.int64()), "several": pa.array(np.full(int(moved.sum()), table.column("parts")[0].as_py() > 1))})
 
 
-def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, block_docs: int = 256) -> DataFrame:
-    """Per row: doc_id, n_shingles and component_id, the least doc_id it reaches by links.
+def _node() -> Column:
+    """Texts of equal sets are one node."""
+    return F.xxhash64("n_shingles", "d1", "d2").alias("node")
 
-    A set holds the distinct n-grams of lower-cased (A-Z) words; a shorter text is one n-gram. A null or
-    empty text has none and links to nothing. A row without an id links to nothing and
-    has no component. Rows of equal id are one node; equal texts link. Other columns are not
-    read. An empty table gives no rows.
-    """
-    rows, bits = B.blocks_of(docs, id_col, text_col, block_docs)
+
+def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, block_docs: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Per row doc_id, text_hash, n_shingles and, if its text can link, node; per node its least row; (a, b) links of nodes to the least of theirs."""
+    rows, bits = B.blocks_of(docs, id_col, text_col, block_docs, F.xxhash64(text_col).alias("text_hash"))
     send, read, multiply = partial(_send, width, bits), partial(_sets, width, percent), partial(_product, percent)
     sets = freeze(B.ask(rows, lambda key, table: send(key, table), _answer, lambda left, right: read(left, right), SETS), "sets")
 
-    likely = sets.where("prefix is not null")
-    classes = freeze(likely.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("doc")), "classes")
-    chosen = likely.join(classes.select(F.col("doc").alias("doc_id"), "n_shingles", "d1", "d2"), ["doc_id", "n_shingles", "d1", "d2"])
-    prefixes = chosen.select("doc_id", "prefix").mapInArrow(_prefix_rows, "gram long, doc long")
+    likely = sets.where("prefix is not null").withColumn("node", _node())
+    classes = freeze(likely.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("least")), "classes")
+    chosen = likely.join(classes.select("node", "least.*"), ["node", "doc_id", "text_hash"])
+    prefixes = chosen.select("node", "prefix").mapInArrow(_prefix_rows, "gram long, doc long")
     # Each class that shares a rare n-gram with another is tied to the least class that has the n-gram.
     least = prefixes.groupBy("gram").agg(F.min("doc").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
     ties = prefixes.join(least, "gram").where("doc <> b").select(F.col("doc").alias("a"), "b").distinct()
@@ -225,26 +225,53 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     placed = members.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("doc"), "parts"))
     other = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     other = other.select("doc", "cluster", "parts", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
-    filled = chosen.select(F.col("doc_id").alias("doc"), "n_shingles", "grams").dropDuplicates(["doc"]).join(other, "doc")
+    filled = chosen.select(F.col("node").alias("doc"), "n_shingles", "grams").dropDuplicates(["doc"]).join(other, "doc")
     forest = freeze(filled.groupBy("cluster", "low", "high").applyInArrow(lambda table: multiply(table), "a long, b long, several boolean"), "forest")
     merged = components(forest.where("several").select("a", "b"))
     links = forest.where("not several").select("a", "b").unionByName(merged)
+    named = sets.select("doc_id", "text_hash", "n_shingles", F.when(F.col("prefix").isNotNull(), _node()).alias("node"))
+    return named, classes, links
 
-    named = classes.join(links.withColumnRenamed("a", "doc"), "doc", "left").select("n_shingles", "d1", "d2", F.coalesce("b", "doc").alias("component"))
-    out = sets.select("doc_id", "n_shingles", "d1", "d2").join(named, ["n_shingles", "d1", "d2"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
+def _least(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Per node the least row of its component."""
+    rooted = classes.join(links.withColumnRenamed("a", "node"), "node", "left").select("node", F.coalesce("b", "node").alias("root"), "least")
+    return rooted.select("node", "root").join(rooted.groupBy("root").agg(F.min("least").alias("least")), "root").select("node", "least")
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs whose id is the least of its component, with all their columns.
 
-    Of rows of equal id and text one stays. Rows without an id stay.
+def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, block_docs: int = 256) -> DataFrame:
+    """Per row: doc_id, n_shingles and component_id, the least doc_id it reaches by links.
+
+    A set holds the distinct n-grams of lower-cased (A-Z) words; a shorter text is one n-gram. A null or
+    empty text has none and links to nothing. A row without an id links to nothing and
+    has no component. Rows of equal id are one node, whatever their texts, and have the links of all of them;
+    n_shingles is the row's own. Other columns are not read. An empty table gives no rows.
+    """
+    rows, classes, links = _linked(docs, id_col, text_col, width, percent, block_docs)
+    ids = freeze(rows.where("node is not null").groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("last")), "ids")
+    several = ids.where("node <> last")
+    if not several.isEmpty():
+        of_one = rows.where("node is not null").join(several.select("doc_id", F.col("node").alias("b")), "doc_id").select(F.col("node").alias("a"), "b")
+        links = components(links.unionByName(of_one))
+    found = ids.join(_least(classes, links), "node").select("doc_id", F.col("least.doc_id").alias("component")).where("component <> doc_id")
+    out = rows.select("doc_id", "n_shingles").join(found, "doc_id", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, block_docs: int = 256) -> DataFrame:
+    """One row of docs of each group of linked texts, the one of least id, with all its columns.
+
+    Here each text of an id is a document of its own: a row stays if its text links to nothing, whatever
+    other rows of its id link to. Of rows of equal id and text one stays. Rows without an id stay.
     """
-    joined = freeze(ngram_jaccard_join(docs, id_col, text_col, **options).select(F.col("doc_id").alias("_id"), "component_id"), "components")
-    gone = joined.where("_id <> component_id").select("_id").distinct()
-    kept = docs.join(gone, docs[id_col].cast("long") == gone["_id"], "left_anti")
-    twice = joined.where("_id is not null").groupBy("_id").count().where("count > 1").select("_id")
+    rows, classes, links = _linked(docs, id_col, text_col, width, percent, block_docs)
+    same = lambda df, other: [df[id_col].cast("long") == other["_id"], F.xxhash64(df[text_col]) == other["_hash"]]
+    row = F.struct("doc_id", "text_hash")
+    gone = rows.where("node is not null").join(_least(classes, links), "node").where(row != F.col("least"))
+    gone = freeze(gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "components")
+    kept = docs.join(gone, same(docs, gone), "left_anti")
+    twice = freeze(rows.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).count().where("count > 1").drop("count"), "twice")
     if twice.isEmpty():
         return kept
-    again = kept.join(twice, kept[id_col].cast("long") == twice["_id"], "left_semi").dropDuplicates([id_col, text_col])
-    return kept.join(twice, kept[id_col].cast("long") == twice["_id"], "left_anti").unionByName(again)
+    again = kept.join(twice, same(kept, twice), "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(twice, same(kept, twice), "left_anti").unionByName(again)
