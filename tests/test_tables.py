@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from weftline.operators.quality import QualityGateError
 from weftline.operators.staging import LINEAGE, Stage, stage_name
 from weftline.plans.runner import Runner, first_non_empty
 from weftline.plans.spec import SinkSpec, SourceSpec, SpecError, load_plan, load_plans, order_tasks, parse_plan, save_plan, validate_plan
@@ -395,6 +396,21 @@ def test_order():
     assert [t.task_id for t in order_tasks(plan)] == ["a", "b", "c"]
 
 
+def test_rules_on_a_stored_target(spark, tmp_path):
+    """A quality task without inputs runs every rule on its source, and fails rules that have no table."""
+    path = str(tmp_path / "target.parquet")
+    frame(spark, [(1, "a"), (1, None)]).write.parquet(path)
+    rules = [{"name": n, "rule_type": k, "column": c, "severity": s} for n, k, c, s in (("once", "unique", "k", "critical"), ("there", "not_null", "v", "warning"), ("whole", "not_null", "k", "critical"))]
+    on = {"dag_id": "d", "tasks": [task("check", "quality_check", source={"name": "s", "type": "file", "file_path": path}, quality_rules=rules)]}
+    done = Runner(spark, fail_on_quality=False).run(load_plan(on), RUN)
+    assert {r.rule_name: r.passed for r in done.quality["check"].collect()} == {"once": False, "there": False, "whole": True}
+    with pytest.raises(QualityGateError, match="once$"):
+        Runner(spark, fail_on_quality=True).run(load_plan(on), RUN)
+    bare = {"dag_id": "d", "tasks": [task("check", "quality_check", quality_rules=rules)]}
+    with pytest.raises(QualityGateError, match="once, whole"):
+        Runner(spark, fail_on_quality=True).run(load_plan(bare), RUN)
+
+
 def test_run_with_staging_and_functions(spark, tmp_path):
     plan = load_plan({"dag_id": "d", "description": "x", "tasks": [
         task("src", "extract", source={"name": "s", "type": "file", "file_path": "given"}),

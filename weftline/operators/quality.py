@@ -270,10 +270,16 @@ def gate(results: DataFrame, fail_on_error: bool = True, blocking: tuple[str, ..
     return names
 
 
-def check_target(spark: SparkSession, rules: list[Rule], now: datetime) -> DataFrame:
-    """Rules that query stored tables by SQL; rules needing rows are skipped."""
+def check_target(spark: SparkSession, rules: list[Rule], now: datetime, table: DataFrame | None = None, fail_without_table: bool = False) -> DataFrame:
+    """All rules on a stored table. Without one, rules that query tables by SQL; those needing rows are skipped, or fail."""
+    if table is not None:
+        return run_rules(table, rules, now)
     sql_rules = [r for r in rules if r.rule_type == "custom" and "query" in r.parameters]
-    return run_rules(spark.range(1).toDF("id"), sql_rules, now)
+    checked = run_rules(spark.range(1).toDF("id"), sql_rules, now)
+    others = [_failed(r, "there is no table to check", now) for r in rules if r not in sql_rules]
+    if not fail_without_table or not others:
+        return checked
+    return checked.unionByName(spark.range(1).select(F.explode(F.array(*others)).alias("r")).select("r.*"))
 
 
 def rules_or_default(task_rules: list[Rule] | None, global_rules: list[Rule] | None) -> list[Rule]:

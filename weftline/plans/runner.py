@@ -160,7 +160,12 @@ class Runner:
     def _check(self, plan: PlanSpec, task: TaskSpec, inputs, context, result: RunResult) -> None:
         rules = quality.rules_or_default(task.quality_rules, plan.global_quality_rules)
         now = context["execution_date"]
-        checked = quality.run_rules(stack(list(inputs.values())), rules, now) if inputs else quality.check_target(self.spark, rules, now)
+        if inputs:
+            checked = quality.run_rules(stack(list(inputs.values())), rules, now)
+        else:
+            # The task's source is the stored target.
+            table = read_source(self.spark, task.source, self.connections, now) if task.source else None
+            checked = quality.check_target(self.spark, rules, now, table, fail_without_table=True)
         result.quality[task.task_id] = checked
         result.frames[task.task_id] = checked
         quality.gate(checked, self.fail_on_quality)
