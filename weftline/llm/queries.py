@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from weftline.llm import decontaminate, line_dedup, merkle, ngram_join, packing, quality, sharding, substring_dedup, toxicity, warc
+from weftline.llm import conversation, decontaminate, language, line_dedup, merkle, ngram_join, packing, quality, sharding, substring_dedup, toxicity, warc, whitening
 from weftline.queries.registry import Tables
 from weftline.session import tune
 
@@ -135,3 +135,66 @@ def op9(t: Tables) -> DataFrame:
 @query("op10_packing")
 def op10(t: Tables) -> DataFrame:
     return packing.best_fit_packing(t.documents, tokenizer())
+
+
+@query("op11_language_id")
+def op11(t: Tables) -> DataFrame:
+    model = language.learn(t.documents.where(~held_out(4, 2)))
+    found = language.detect(t.documents, model)
+    return found.select("doc_id", F.coalesce(held_out(4, 2), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a text's bytes, bit by bit."""
+    byte = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    bits = "list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    return f"xor(list_reduce(list_prepend(4294967295, {byte}), lambda a, b: {bits}), 4294967295)"
+
+
+def _repair_sql() -> str:
+    """Costs and audits from the end of each conversation; a key is eight digits of cost and the audit."""
+    add = lambda k, cost, edit: f"(lpad((substr({k}, 1, 8)::BIGINT + {cost})::VARCHAR, 8, '0') || '{edit}' || substr({k}, 9))"
+    made = (2, 2, 3, 2)
+    kept = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+
+    def least(q: int) -> str:
+        own = [add(f"w{q}", 2, "D"), f"CASE WHEN sign <> 'x' THEN {add(f'w{made[q]}', '1 + more', 'R')} END"]
+        own += [f"CASE WHEN sign = '{c}' THEN {add(f'w{to}', 'more', 'K')} END" for c, to in kept[q].items()]
+        return f"list_min([{', '.join(own)}]) AS b{q}"
+
+    w2, w3 = f"list_min([b2, {add('b3', 5, 'I')}])", f"list_min([b3, {add('b2', 5, 'I')}])"
+    inserted = f"list_min([b0, {add('w2', 5, 'I')}]) AS w0, list_min([b1, {add('w2', 5, 'I')}]) AS w1, w2, w3"
+    return rf"""
+WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+h AS (SELECT *, {crc32_sql('k')} % 20 AS h FROM c),
+d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE h <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, left(role, 1) AS initial,
+  regexp_matches(text, '[^ 	-
+]') AS said, right(regexp_replace(text, '[ 	-
+]+$', ''), 1) NOT IN ('.', '!', '?') AS cut FROM d),
+f AS (SELECT *, said AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+r AS (SELECT conv_id, i, turn, role, text, CASE WHEN NOT said OR again THEN 'x' WHEN initial IN ('s', 'u', 'a') THEN initial ELSE 'o' END AS sign, CASE WHEN said AND NOT again AND cut THEN 5 ELSE 0 END AS more,
+  NOT said AS blank, again, before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au') AS illegal FROM f),
+n AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate,
+  count(*) FILTER (more > 0) AS truncated, count(*) FILTER (illegal) AS illegal FROM r GROUP BY conv_id),
+t AS (SELECT conv_id, n + 1 AS i, '00000000' AS w0, '00000010II' AS w1, '00000005I' AS w2, '00000000' AS w3 FROM n
+  UNION ALL SELECT conv_id, i, {inserted} FROM (SELECT *, {w2} AS w2, {w3} AS w3 FROM (SELECT r.conv_id, r.i, {', '.join(map(least, range(4)))} FROM t JOIN r ON r.conv_id IS NOT DISTINCT FROM t.conv_id AND r.i = t.i - 1))),
+best AS (SELECT conv_id, substr(w0, 1, 8)::BIGINT AS cost, substr(w0, 9) AS audit FROM t WHERE i = 1),
+e AS (SELECT *, sum(CASE WHEN edit <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY p) AS i FROM (SELECT conv_id, unnest(range(1, length(audit) + 1)) AS p, unnest(string_split(audit, '')) AS edit FROM best WHERE audit <> '')),
+l AS (SELECT e.conv_id, edit, role, text, row_number() OVER (PARTITION BY e.conv_id ORDER BY p) AS place FROM e LEFT JOIN r ON edit <> 'I' AND r.conv_id IS NOT DISTINCT FROM e.conv_id AND r.i = e.i WHERE edit <> 'D'),
+s AS (SELECT *, first_value(edit = 'K' AND left(role, 1) = 's') OVER (PARTITION BY conv_id ORDER BY place)::BIGINT AS system FROM l),
+x AS (SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY place)) AS sha FROM s GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN x ON x.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+
+@query("op12_conversation_repair", _repair_sql())
+def op12(t: Tables) -> DataFrame:
+    return conversation.repair_report(t.conversations, conversation.damaged(t.conversations))
+
+
+@query("op13_whitening")
+def op13(t: Tables) -> DataFrame:
+    return whitening.whiten(t.embeddings, whitening.fit(t.embeddings))
