@@ -290,7 +290,8 @@ def judged(rows: DataFrame) -> DataFrame:
                 break
         done = done.unionByName(more)
     first = lambda c: F.element_at(c, 1)  # noqa: E731  the start state; a whole conversation has one exit
-    gaps = F.coalesce(F.least((F.col("high").cast("decimal(20,0)") - F.col("low") + 1 - F.col("turns")), F.lit(LONGEST).cast("decimal(20,0)")).cast("long"), F.lit(0).cast("long"))
+    span = F.col("high").cast("decimal(20,0)") - F.col("low") + 1 - F.col("turns")
+    gaps = F.when(span.isNull(), 0).otherwise(F.least(span, F.lit(LONGEST))).cast("long")
     return done.select("conv_id", gaps.alias("gaps"), "blank", "duplicate", "truncated", "illegal", first("costs").alias("cost"), first("audits").alias("audit"))
 
 
