@@ -8,12 +8,15 @@ by itself: the state of the rule is one count per gap, so a group needs little m
 and waste stays a fixed share at every size.
 
 Tokens: a byte-level BPE splits a text into pre-tokens and merges within each. Pre-tokens seen
-before are looked up; new ones are encoded by the tokenizer, many at a time. Texts with
-letters beyond FAST_BYTES or a special token in them go through the tokenizer whole.
+before are looked up; new ones are encoded by the tokenizer, many at a time. What a worker remembers is bounded
+by bytes: words in use move from an old generation to a young one, the rest of the old one goes, and long words are not kept.
+Texts with letters beyond FAST_BYTES or a special token in them go through the tokenizer whole, and so does every text where the file
+describes anything but a byte-level BPE without a normalizer.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 import zlib
@@ -28,7 +31,9 @@ from weftline.llm import text as T
 from weftline.session import freeze
 
 GROUP_PIECES = 32_768
-CACHE_WORDS = 1_000_000  # pre-tokens a worker remembers before it starts anew
+CACHE_BYTES = 64 << 20  # of one generation of pre-tokens that a worker remembers; there are two
+ENTRY_BYTES = 220  # of a pre-token and its ids beside their bytes: two objects and a place in a table
+LONG_WORD = 24  # characters from which on a pre-token is not remembered
 FAST_BYTES = 0xCD  # texts whose UTF-8 bytes are below hold code points below U+0340 only
 
 _LOADED: dict[str, tuple] = {}
@@ -38,6 +43,46 @@ def _char_class(prefix: str) -> str:
     return "".join(re.escape(chr(c)) for c in range(0x340) if unicodedata.category(chr(c)).startswith(prefix))
 
 
+class _Words:
+    """Pre-token -> ids. `young` holds all words of the batch at work."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def missing(self, words: set[str]) -> list[str]:
+        """Words that no generation knows; known ones become young."""
+        if self.size > CACHE_BYTES:
+            self.old, self.young, self.size = self.young, {}, 0
+        new = []
+        for word in words.difference(self.young):
+            ids = self.old.pop(word, None)
+            if ids is None:
+                new.append(word)
+            else:
+                self.put(word, ids)
+        return new
+
+    def put(self, word: str, ids: bytes) -> None:
+        self.young[word] = ids
+        self.size += ENTRY_BYTES + len(word) + len(ids)
+
+    def forget(self, words: list[str]) -> None:
+        for word in words:
+            if len(word) > LONG_WORD:
+                self.size -= ENTRY_BYTES + len(word) + len(self.young.pop(word))
+
+
+def _plain_bpe(path: str) -> bool:
+    """Whether the file describes a byte-level BPE that splits by the public pattern and changes nothing before it."""
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    before = made.get("pre_tokenizer") or {}
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    return bool(plain and made.get("normalizer") is None and made.get("model", {}).get("type") == "BPE" and not made["model"].get("dropout") and not made["model"].get("ignore_merges"))
+
+
 def _load(path: str):
     if path not in _LOADED:
         from tokenizers import Tokenizer
@@ -48,11 +93,11 @@ def _load(path: str):
             rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?[^{space}{letters}{digits}]+|[{space}]+(?![^{space}])|[{space}]+")
         tokenizer = Tokenizer.from_file(path)
         special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        _LOADED[path] = tokenizer, split.findall, special, {}
+        _LOADED[path] = tokenizer, split.findall if _plain_bpe(path) else None, special, _Words()
     return _LOADED[path]
 
 
-def _learn(tokenizer, known: dict, new: list[str]) -> None:
+def _learn(tokenizer, known: _Words, new: list[str]) -> None:
     """Encode pre-tokens, a few hundred as one input; the tokenizer tells which token is whose."""
     inputs = [new[i: i + 400] for i in range(0, len(new), 400)]
     for part, got in zip(inputs, tokenizer.encode_batch(inputs, is_pretokenized=True, add_special_tokens=False)):
@@ -60,22 +105,20 @@ def _learn(tokenizer, known: dict, new: list[str]) -> None:
         ends = np.searchsorted(np.array(got.word_ids), np.arange(len(part) + 1))
         raw = ids.tobytes()
         for word, a, b in zip(part, ends[:-1].tolist(), ends[1:].tolist()):
-            known[word] = raw[4 * a: 4 * b]
+            known.put(word, raw[4 * a: 4 * b])
 
 
 def encode(path: str, texts: list[str], plain: list[bool]) -> list[bytes]:
     """Little-endian unsigned 32-bit ids of each text; `plain` texts have low code points only."""
     tokenizer, split, special, known = _load(path)
-    fast = [p and not any(s in x for s in special) for x, p in zip(texts, plain)]
+    fast = [bool(split) and p and not any(s in x for s in special) for x, p in zip(texts, plain)]
     words = [split(x) if f else () for x, f in zip(texts, fast)]
-    new = set(chain.from_iterable(words)).difference(known)
-    if len(known) + len(new) > CACHE_WORDS:
-        known.clear()
-        new = set(chain.from_iterable(words))
-    _learn(tokenizer, known, list(new))
-    out = [b"".join(map(known.__getitem__, w)) for w in words]
+    new = known.missing(set(chain.from_iterable(words)))
+    _learn(tokenizer, known, new)
+    out = [b"".join(map(known.young.__getitem__, w)) for w in words]
+    known.forget(new)
     whole = [i for i, f in enumerate(fast) if not f]
-    for i, got in zip(whole, tokenizer.encode_batch([texts[i] for i in whole], add_special_tokens=False)):
+    for i, got in zip(whole, tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
         out[i] = np.array(got.ids, "<u4").tobytes()
     return out
 
