@@ -1,6 +1,6 @@
 """Line dedup: an exact set-similarity join of lines, in SQL functions only.
 
-1. Words are counted over the whole corpus in 2**18 slots of their hashes; a word's rarity is the logarithm of its
+1. Words are counted over all distinct lines in 2**18 slots of their hashes; a word's rarity is the logarithm of its
    slot's count. This order has a fixed size, and any order makes the join exact.
 2. Distinct lines become sets of words, ordered by rarity. Two sets of Jaccard similarity t share one of the first
    n - ceil(t n) + 1 words of each, and of the smaller n - ceil(2 t n / (1 + t)) + 1 suffice (prefix filter). Pairs must also pass the length filter, the positional
@@ -20,7 +20,7 @@ from weftline.session import freeze, frozen, release
 
 SLOTS = 1 << 18
 HASH_BITS = 56  # of a word's key
-LONG = 64  # words of a set from which on the bitmap has 128 bits
+LONG = 128  # words of a set from which on the bitmap has 128 bits
 CROWD = 256  # lines that share a word of their prefixes before they are tried against the earliest one first
 BROADCAST_IDS = 1_000_000  # ids of similar or repeated lines that may be broadcast; more are joined by a shuffle
 NO_ID = (1 << 63) - 1  # doc of lines in rows without an id
@@ -39,10 +39,16 @@ def tokens(line: Column) -> Column:
     return F.array_distinct(F.array_remove(_split(line), ""))
 
 
-def _ranks(docs: DataFrame, text_col: str) -> Column:
-    """Rarity of each slot, three steps for each doubling of the number of words in it, as a constant array of SLOTS numbers."""
-    word = F.explode_outer(_split(F.replace(F.col(text_col), F.lit("\n"), F.lit(" "))))
-    counts = docs.select(word.alias("word")).where("word <> ''").groupBy(F.xxhash64("word").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).agg(F.count("*").alias("n"))
+def _hashed(distinct: DataFrame) -> DataFrame:
+    """Per distinct line the hashes of its distinct words: each word is split off and hashed here, and nowhere else before the last check."""
+    hashes = F.array_distinct(F.transform(F.array_remove(_split(F.col("line")), ""), lambda w: F.xxhash64(w)))
+    return distinct.select("doc", "spot", hashes.alias("hashes"))
+
+
+def _ranks(hashed: DataFrame) -> Column:
+    """Rarity of each slot, three steps for each doubling of the number of lines that have a word in it, as a constant array of SLOTS numbers."""
+    slot = F.col("hash").bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+    counts = hashed.select(F.explode("hashes").alias("hash")).groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
     step = F.least(F.lit(127), F.floor(3 * F.log2(F.col("n") + 1))).cast("int")
     found = counts.agg(F.collect_list(F.col("slot") * 128 + step)).first()[0]  # SLOTS numbers at most
     rank = [0] * SLOTS
@@ -76,13 +82,12 @@ def _small(frame: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(frame) if rows <= BROADCAST_IDS else frame
 
 
-def _prefixes(distinct: DataFrame, ranks: Column, percent: int) -> DataFrame:
+def _prefixes(hashed: DataFrame, ranks: Column, percent: int) -> DataFrame:
     """Per distinct line its size, bitmaps and prefix: doc, spot, n, even, odd, prefix."""
     # A word's key: its slot's rarity above HASH_BITS bits of its hash, the lowest of which are the slot. Sorting the keys orders words by rarity.
     key = lambda h: F.call_function("shiftleft", F.get(ranks, h.bitwiseAND(F.lit(SLOTS - 1))).cast("long"), F.lit(HASH_BITS)).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
-    hashes = F.transform(F.array_remove(_split(F.col("line")), ""), lambda w: F.xxhash64(w))
-    keys = F.sort_array(F.transform(F.array_distinct(hashes), key))
-    sized = distinct.select("doc", "spot", keys.alias("words")).select("doc", "spot", "words", F.size("words").alias("n"))
+    keys = F.sort_array(F.transform("hashes", key))
+    sized = hashed.select("doc", "spot", keys.alias("words")).select("doc", "spot", "words", F.size("words").alias("n"))
     # Parity bitmaps: 128 bits for long sets, and 64 bits, which are the two halves of 128 put together, for others.
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
     none = F.lit(0).cast("long")
@@ -142,11 +147,15 @@ def _candidates(prefixes: DataFrame, settled: DataFrame, percent: int) -> DataFr
     return found.select("x.doc", "x.spot", F.col("y.doc").alias("late_doc"), F.col("y.spot").alias("late_spot"))
 
 
-def _contents(lines: DataFrame, pairs: DataFrame) -> DataFrame:
-    """doc, spot and words of the lines in pairs."""
+def _contents(docs: DataFrame, id_col: str, text_col: str, pairs: DataFrame) -> DataFrame:
+    """doc, spot and words of the lines in pairs. Only documents that have such a line are split."""
     named = freeze(pairs.select("doc", "spot").unionByName(pairs.select(F.col("late_doc").alias("doc"), F.col("late_spot").alias("spot"))).distinct(), "line-names")
-    found = lines.select("doc", "spot", "line").join(_small(named, named.count()), ["doc", "spot"], "left_semi").select("doc", "spot", tokens(F.col("line")).alias("words"))
-    return freeze(found, "line-words").dropDuplicates(["doc", "spot"])
+    lines = named.count()
+    ids = named.select(F.col("doc").alias("named_doc")).distinct()
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts.join(_small(ids, lines), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("named_doc"), "left_semi")
+    found = _lines(texts, "doc_id", "text").select("doc", "spot", "line").join(_small(named, lines), ["doc", "spot"], "left_semi")
+    return freeze(found.select("doc", "spot", tokens(F.col("line")).alias("words")), "line-words").dropDuplicates(["doc", "spot"])
 
 
 def _verified(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
@@ -175,16 +184,19 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     more = F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF)).alias("more")
     marked = lines.where("id is not null").select("id", more, "doc", "spot", "line").join(_small(repeated, repeated.count()), ["id", "more"], "left")
     distinct = marked.where("first_doc is null or (doc = first_doc and spot = first_spot)").select("doc", "spot", "line")
-    prefixes = freeze(_prefixes(distinct, _ranks(docs, text_col), percent), "line-prefixes")
+    hashed = freeze(_hashed(distinct), "line-hashes")
+    hash_files = frozen()[-1]
+    prefixes = freeze(_prefixes(hashed, _ranks(hashed), percent), "line-prefixes")
     prefix_files = frozen()[-1]
+    release(docs.sparkSession, [hash_files])
     prefixes = _unfolded(prefixes)
 
     # In a crowd of like lines nearly all are settled by the earliest one; only the others meet every candidate.
     stars = freeze(_stars(prefixes, percent), "line-stars")
-    settled = freeze(_verified(stars, _contents(lines, stars), percent), "settled-lines")
+    settled = freeze(_verified(stars, _contents(docs, id_col, text_col, stars), percent), "settled-lines")
     pairs = freeze(_candidates(prefixes, settled, percent), "line-pairs")
     release(docs.sparkSession, [prefix_files])
-    similar = freeze(settled.unionByName(_verified(pairs, _contents(lines, pairs), percent)).distinct(), "similar-lines")
+    similar = freeze(settled.unionByName(_verified(pairs, _contents(docs, id_col, text_col, pairs), percent)).distinct(), "similar-lines")
 
     # A removed first line takes its copies with it; copies of any line go.
     firsts = repeated.select(F.col("first_doc").alias("doc"), F.col("first_spot").alias("spot"), "id", "more")
