@@ -431,3 +431,64 @@ def test_pipeline(spark):
             assert sorted(r.doc_id for r in out.collect()) == sorted(i for i, k in linked(data).items() if i == k)
         docs = out
     assert docs.count() == corpus_pipeline.run(spark, FOLDER).count()
+
+
+def test_decontaminate_against_all_alignments(spark):
+    """Copies with every third word replaced, with words between, with holes: what aligning everything finds is found."""
+    random.seed(21)
+    words = vocabulary(21, 60)
+    items = [(k, " ".join(random.choices(words, k=n))) for k, n in enumerate((1, 3, 4, 5, 8, 15, 17, 38, 59))]
+    texts = []
+    for k, item in items:
+        w = item.split()
+        for copy in range(6):
+            v = [f"new{random.random()}" if i % 3 == 2 else x for i, x in enumerate(w)] if copy == 0 else [y for x in w for y in (x, "between")][: 2 * len(w) - 1] if copy == 1 else list(w)
+            if copy == 2:
+                v = w[: len(w) // 2] + random.choices(words, k=len(w)) + w[len(w) // 2:]
+            for _ in range(copy and random.randint(0, len(w))):
+                v[random.randrange(len(v))] = random.choice(words)
+            texts.append(" ".join(random.choices(words, k=random.randint(0, 40)) + v + random.choices(words, k=random.randint(0, 40))))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    number = {w: i for i, w in enumerate({x for t in [*texts, *[i for _, i in items]] for x in t.replace(".", " ").split()})}
+    coded = lambda t: np.array([number[x] for x in t.replace(".", " ").split()])
+    want = {}
+    for d, text in enumerate(texts):
+        for k, item in items:
+            score = decontaminate.align(coded(item), coded(text))[0] / (2 * len(item.split()))
+            if score >= 0.5:
+                want[d, k] = score
+    found = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs, bench).collect()}
+    assert found == want and len(want) > 30
+    assert sorted(r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()) == sorted(set(range(len(texts))) - {d for d, _ in want})
+
+
+def test_word_hashes_without_form(spark):
+    """Words that collide under any polynomial modulo a power of two, and words longer than the tables."""
+    from weftline.llm import text as T
+
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    b = a.translate(str.maketrans("ab", "ba"))
+    odd = [a, b, a[:1024], b[:1024], "x" * 255, "x" * 256, "x" * 257, "x" * 300 + "y", "y" + "x" * 300, "ab", "ba", "é"]
+    data, offsets = T.text_bytes(__import__("pyarrow").array([" ".join(odd)]))
+    starts, ends, _ = T.words(data, offsets)
+    assert len(set(T.span_hashes(data, starts, ends).tolist())) == len(odd)
+    one = [T.span_hashes(*(lambda d, o: (d, *T.words(d, o)[:2]))(*T.text_bytes(__import__("pyarrow").array(["lead " + w]))))[1] for w in odd]
+    assert one == T.span_hashes(data, starts, ends).tolist()
+    tail = " one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, a + tail), (2, b + tail)], "doc_id long, text string")
+    assert [r.n_removed for r in substring_dedup.substring_dedup(docs).collect()] == [0, 0]
+    assert {r.component_id for r in ngram_join.ngram_jaccard_join(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).collect()} == {1, 2}
+
+
+def test_stages_with_odd_column_names(spark):
+    names = "doc_id long, text string, _all boolean, _removed int, _lower string, _text string, `a.b` int, lower string, c1 int, removed string, all_removed int"
+    words = vocabulary(31, 200)
+    random.seed(31)
+    data = [(i, " ".join(random.choices(words, k=20)), True, 1, "l", "t", 2, "low", 3, "r", 4) for i in range(20)]
+    docs = spark.createDataFrame([*data, (30, None, *data[0][2:]), (31, data[3][1], *data[0][2:])], names)
+    bench = spark.createDataFrame([(1, data[5][1])], "item_id long, text string")
+    for out, count in ((line_dedup.line_dedup(docs), 21), (decontaminate.decontaminate(docs, bench), 21), (quality.keep_good(docs, quality.Model(np.zeros(22), np.ones(22), None, np.zeros(1), np.zeros(1))), 22)):
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert len(rows) == count and {tuple(r)[2:] for r in rows} == {data[0][2:]}

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from weftline.llm import text as T
 from weftline.session import freeze, frozen, release
 
 SLOTS = 1 << 18
@@ -213,8 +214,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """The rows of docs, with all their columns, without repeated lines; rows that lose every line with words go."""
-    found = freeze(repeated_lines(docs, id_col, text_col, percent).where("n_removed > 0").select(F.col("doc_id").alias("_doc"), F.col("sig").alias("_sig"), F.col("removed").alias("_removed"), F.col("all_removed").alias("_all")), "removed-lines")
-    left = docs.join(found, docs[id_col].eqNullSafe(found["_doc"]) & (F.xxhash64(docs[text_col]) == found["_sig"]), "left").where("_all is null or not _all")
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains("_removed", i)), "\n")
-    text = F.when(F.col("_removed").isNull(), F.col(text_col)).otherwise(kept)
-    return left.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    rows = T.numbered(docs)  # whatever the columns are called
+    id_, text = (rows.columns[docs.columns.index(c)] for c in (id_col, text_col))
+    found = repeated_lines(rows, id_, text, percent).where("n_removed > 0")
+    found = freeze(found.select(F.col("doc_id").alias("found_id"), F.col("sig").alias("found_sig"), "removed", "all_removed"), "removed-lines")
+    left = rows.join(found, rows[id_].eqNullSafe(found["found_id"]) & (F.xxhash64(rows[text]) == found["found_sig"]), "left").where("all_removed is null or not all_removed")
+    kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
+    new = F.when(F.col("removed").isNull(), F.col(text)).otherwise(kept)
+    return left.select(*[new.alias(c) if c == text else F.col(c) for c in rows.columns]).toDF(*docs.columns)

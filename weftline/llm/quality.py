@@ -13,6 +13,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from weftline.llm import text as T
@@ -20,6 +21,7 @@ from weftline.session import freeze
 
 FEATURES = 256  # random features
 BINS = 2000
+FAN = 8  # matrices added at a time
 SEED = 20240501
 STATISTICS = [
     "log_bytes", "log_words", "word_mean", "word_spread", "capitals", "digits", "signs", "bars", "high_bytes", "spaces", "sign_ends", "sign_words",
@@ -136,20 +138,13 @@ def _equations(model: Model, batches):
             right += z.T @ y
             rows += batch.num_rows
     if rows:
-        yield pa.RecordBatch.from_pydict({"slot": pa.array([int(right[0] * 1000) % 8], pa.int32()), "sums": pa.array([np.r_[left.ravel(), right].tobytes()], pa.binary())})
+        yield pa.RecordBatch.from_pydict({"slot": pa.array([TaskContext.get().partitionId()], pa.int64()), "sums": pa.array([np.r_[left.ravel(), right].tobytes()], pa.binary())})
 
 
-def _added(key, batches):
-    total = None
-    for batch in batches:
-        for x in batch.column("sums").to_pylist():
-            x = np.frombuffer(x)
-            total = x.copy() if total is None else total + x
-    yield pa.RecordBatch.from_pydict({"slot": pa.array([0], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
-
-
-def _add(table: pa.Table) -> pa.Table:
-    return pa.Table.from_batches(_added(None, table.to_batches()))
+def _added(key, table: pa.Table) -> pa.Table:
+    """The sum of a group's matrices, FAN at most, in the order of their slots."""
+    total = sum(np.frombuffer(x) for x in table.sort_by("slot").column("sums").to_pylist())
+    return pa.table({"slot": pa.array([key[0].as_py()], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
 
 
 def _scored(model: Model, batches):
@@ -179,9 +174,11 @@ def learn(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col
         return Model(np.zeros(k), np.ones(k), None, np.zeros(1), np.zeros(1), (sums.y or 0) / sums.n if sums.n else 0.5)
     mean, scale = np.array([sums[f"m{i}"] for i in range(k)]), np.array([max(sums[f"s{i}"], 1e-6) for i in range(k)])
     model = Model(mean, scale, None, np.zeros(1), np.zeros(1))
-    parts = train.mapInArrow(lambda x, f=partial(_equations, model): f(x), "slot int, sums binary")
-    parts = parts.groupBy("slot").applyInArrow(lambda table: _add(table), "slot int, sums binary").collect()  # eight matrices at most
-    total = sum(np.frombuffer(r["sums"]) for r in parts)
+    parts = freeze(train.mapInArrow(lambda x, f=partial(_equations, model): f(x), "slot long, sums binary"), "equations")
+    while parts.count() > FAN:
+        groups = parts.groupBy(F.floor(F.col("slot") / FAN).alias("group"))
+        parts = freeze(groups.applyInArrow(lambda key, table: _added(key, table), "slot long, sums binary"), "equations")
+    total = sum(np.frombuffer(r["sums"]) for r in parts.orderBy("slot").collect())  # FAN matrices at most
     size = FEATURES + 1
     left, right = total[: size * size].reshape(size, size), total[size * size:]
     weights = np.linalg.solve(left + ridge * sums.n / size * np.eye(size), right)
@@ -215,5 +212,6 @@ def _keep(model: Model, least: float, batches):
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of docs that score at least `least`, with all their columns, in one pass."""
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(text_col).alias("_text"))
-    return rows.mapInArrow(lambda x, f=partial(_keep, model, least): f(x), docs.schema)
+    rows = T.numbered(docs)  # whatever the columns are called
+    text = F.col(rows.columns[docs.columns.index(text_col)])
+    return rows.select("*", text.alias("text")).mapInArrow(lambda x, f=partial(_keep, model, least): f(x), rows.schema).toDF(*docs.columns)
