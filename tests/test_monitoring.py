@@ -142,16 +142,41 @@ def test_stream_rate_over_several_batches(spark, tmp_path):
     assert got == want
 
 
-def test_stream_held_equals_batch(spark, tmp_path):
-    rows = [(at(m), 5 if m % 7 else 0, "x") for m in range(1, 40)]
-    folder = str(tmp_path / "w")
-    parts(spark, folder, [rows[:11], rows[11:25], rows[25:]], "window_end timestamp, n int, l string")
-    stream = S.read_stream(spark, folder, "window_end timestamp, n int, l string", files_per_batch=1)
-    path = S.run_to_table(S.held(stream, "l", F.col("n") > 0, 180, 60), "held")
-    got = sorted((r.window_end, r.since) for r in spark.read.parquet(path).collect())
-    batch = spark.createDataFrame(rows, "window_end timestamp, n int, l string")
-    want = sorted((r.window_end, r.since) for r in A.held(batch, ["l"], F.col("n") > 0, 180).select("window_end", "since").collect())
-    assert got == want and got
+def test_stream_held_in_any_order(spark, tmp_path):
+    """Reordered and late windows give the batch answer, and the newest ones are there once the clock has moved on."""
+    rows = [(datetime(2024, 1, 1, 0, m), 1 if m % 11 and m != 25 else 0, label) for m in range(40) for label in ("a", "b") if (m, label) != (33, "b")]
+    order = sorted(rows, key=lambda r: (r[0].minute // 20, r[0].minute * 7 % 20, r[2]))
+    for k in range(0, len(order), 13):
+        spark.createDataFrame(order[k:k + 13], "window_end timestamp_ntz, n int, l string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/w")
+    clock = S.new_clock(spark, "window_end")
+    stream = S.with_clock(S.read_stream(spark, f"{tmp_path}/w", "window_end timestamp, n int, l string", files_per_batch=1), clock, "window_end", "1 hour")
+    path = S.run_until(S.held(stream, "l", F.col("n") > 0, 180, 60), "held", clock, F.lit(datetime(2024, 1, 2)), "window_end")
+    found = spark.read.parquet(path).select("l", F.col("window_end").cast("timestamp_ntz"), F.col("since").cast("timestamp_ntz"))
+    whole = spark.createDataFrame(rows, "window_end timestamp_ntz, n int, l string")
+    want = A.held(whole, ["l"], F.col("n") > 0, 180, 60).select("l", "window_end", "since")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    assert found.where("window_end = timestamp_ntz '2024-01-01 00:39:00'").count() == 2
+
+
+def test_stream_counter_with_restarts(spark, tmp_path):
+    """Growth over batches equals the batch answer; a series that was quiet begins anew."""
+    values = {"a": [5, 7, 7, 2, 9, 1, 4], "b": [1, 10, 3, 3, 8, 8, 0]}
+    rows = [(datetime(2024, 1, 1, 0, 2 * k, 7 * k), label, v) for label, vs in values.items() for k, v in enumerate(vs)]
+    rows += [(datetime(2024, 1, 1, 0, 2, 50), "a", 6), (datetime(2024, 1, 1, 0, 2, 55), "a", 3)]
+    for k in range(0, len(rows), 4):
+        spark.createDataFrame(sorted(rows)[k:k + 4], "ts timestamp_ntz, l string, v int").coalesce(1).write.mode("append").parquet(f"{tmp_path}/s")
+    at = F.lit(datetime(2024, 1, 2))
+    clock = S.new_clock(spark)
+    samples = S.with_clock(S.read_stream(spark, f"{tmp_path}/s", "ts timestamp_ntz, l string, v int", files_per_batch=1), clock)
+    sums = S.run_until(S.counter_steps(samples, "l", "v"), "sums", clock, at)
+    for quiet, again in ((86_400, False), (119, True)):
+        clock = S.new_clock(spark, "step_end")
+        steps = S.with_clock(S.read_stream(spark, sums, S.STEPS), clock, "step_end")
+        grown = spark.read.parquet(S.run_until(S.counter_growth(steps, "l", quiet), "grown", clock, at, "step_end"))
+        total = {r.l: r.g for r in grown.groupBy("l").agg(F.sum("grown").alias("g")).collect()}
+        whole = A.counter_increase(spark.createDataFrame(rows, "ts timestamp_ntz, l string, v int"), ["l"], "v", 60, 60)
+        want = {r.l: r.g for r in whole.groupBy("l").agg(F.sum("increase").alias("g")).collect()}
+        assert (total == want) if not again else all(total[k] <= want[k] for k in want)
 
 
 def test_stream_upsert_and_quality(spark, tmp_path):

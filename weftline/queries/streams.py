@@ -1,7 +1,7 @@
 """Streaming runs over the event table, compared with the same question asked in batch.
 
-An append-mode window is written once the watermark has passed its end, so the last
-windows are left out on both sides.
+An append-mode window is written once the watermark has passed its end. Behind the last event a clock moves the
+watermark on, so the newest windows are written and compared, too.
 """
 
 from __future__ import annotations
@@ -12,50 +12,72 @@ from pyspark.sql import functions as F
 
 from weftline.operators.quality import Rule
 from weftline.queries.alerting import windows_sql
-from weftline.queries.registry import n, query, r
+from weftline.queries.registry import ORACLES, n, query, r
 from weftline.session import scratch_path
 from weftline.sinks.tables import read_table
 from weftline.streaming import events as S
 from weftline.streaming.tables import check_stream, total_scores, upsert_stream
 
-CLOSED_SQL = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"
 
+def events(t):
+    """The event stream and its clock."""
+    clock = S.new_clock(t.spark)
+    return S.with_clock(S.read_stream(t.spark, t.folder, t.events.schema, "events.parquet"), clock), clock
 
-def stream(t):
-    return S.with_event_time(S.read_stream(t.spark, t.folder, t.events.schema, "events.parquet"))
 
+def later(t):
+    """A time by which every window of the events has ended."""
+    return F.lit(t.events.agg(F.max("ts") + F.expr("INTERVAL 2 DAYS")).first()[0])
 
-def closed(t, path):
-    """Windows that ended two hours before the last event."""
-    last = t.events.agg(F.max("ts") - F.expr("INTERVAL 2 HOUR")).scalar()
-    return t.spark.read.parquet(path).withColumn("window_end", F.col("window_end").cast("timestamp_ntz")).filter(F.col("window_end") <= last)
 
+def finished(t, rows, label, clock, time="ts"):
+    """All rows of the stream, with zoneless times."""
+    found = t.spark.read.parquet(S.run_until(rows, label, clock, later(t), time))
+    return found.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
 
-@query("stream_rate", f"SELECT * FROM ({windows_sql('count(*) AS n, round(count(*) / 300.0, 6)::DOUBLE AS rate')}) WHERE {CLOSED_SQL}")
+
+@query("stream_rate", windows_sql("count(*) AS n, round(count(*) / 300.0, 6)::DOUBLE AS rate"))
 def _(t):
-    path = S.run_to_table(S.rate(stream(t), ["event_type"]), "stream-rate")
-    return closed(t, path).select("event_type", n("n").alias("n"), r("rate", 6).alias("rate"), "window_end")
+    rows, clock = events(t)
+    return finished(t, S.rate(rows, ["event_type"]), "stream-rate", clock).select("event_type", n("n").alias("n"), r("rate", 6).alias("rate"), "window_end")
 
 
 @query("stream_failure_ratio", f"""SELECT * FROM ({windows_sql("count(*) FILTER (event_type = 'error') AS failed, count(*) AS total, round(count(*) FILTER (event_type = 'error') / count(*), 6) AS ratio", '', 3600, 600)})
-WHERE ratio > 0.25 AND {CLOSED_SQL}""")
+WHERE ratio > 0.25""")
 def _(t):
-    ratios = S.failure_ratio(stream(t), [], F.col("event_type") == "error", 3600, 600)
-    path = S.run_to_table(ratios.filter("ratio > 0.25"), "stream-ratio")
-    return closed(t, path).select(n("failed").alias("failed"), n("total").alias("total"), r("ratio", 6).alias("ratio"), "window_end")
+    rows, clock = events(t)
+    ratios = S.failure_ratio(rows, [], F.col("event_type") == "error", 3600, 600)
+    return finished(t, ratios.filter("ratio > 0.25"), "stream-ratio", clock).select(n("failed").alias("failed"), n("total").alias("total"), r("ratio", 6).alias("ratio"), "window_end")
 
 
 @query("stream_sustained_breach", f"""SELECT event_type, window_end, since FROM (
  SELECT *, min(window_end) OVER (PARTITION BY event_type, island) AS since FROM (
   SELECT *, sum(CASE WHEN window_end - INTERVAL 10 MINUTE = before THEN 0 ELSE 1 END) OVER (PARTITION BY event_type ORDER BY window_end) AS island FROM (
    SELECT *, lag(window_end) OVER (PARTITION BY event_type ORDER BY window_end) AS before FROM ({windows_sql('count(*) AS n', 'event_type', 3600, 600)}) WHERE n >= 5)))
- WHERE window_end - since >= INTERVAL 20 MINUTE AND {CLOSED_SQL}""")
+ WHERE window_end - since >= INTERVAL 20 MINUTE""")
 def _(t):
     """Window counts are one stream; a second one follows each series with state."""
-    windows = S.run_to_table(S.windowed(stream(t), ["event_type"], {"n": F.lit(1)}, "1 hour", "10 minutes"), "stream-windows")
-    counts = S.read_stream(t.spark, windows, "event_type string, window_end timestamp, n bigint")
-    fired = S.run_to_table(S.held(counts, "event_type", F.col("n") >= 5, 1200, 600), "stream-held")
-    return closed(t, fired).select("event_type", "window_end", F.col("since").cast("timestamp_ntz").alias("since"))
+    rows, clock = events(t)
+    windows = S.run_until(S.windowed(rows, ["event_type"], {"n": F.lit(1)}, "1 hour", "10 minutes"), "stream-windows", clock, later(t))
+    clock = S.new_clock(t.spark, "window_end")
+    counts = S.with_clock(S.read_stream(t.spark, windows, "event_type string, window_end timestamp, n bigint"), clock, "window_end")
+    fired = S.held(counts, "event_type", F.col("n") >= 5, 1200, 600)
+    return finished(t, fired, "stream-held", clock, "window_end").select("event_type", "window_end", F.col("since").cast("timestamp_ntz").alias("since"))
+
+
+@query("stream_counter_increase", ORACLES["counter_increase"])
+def _(t):
+    """Sums per step, growth from step to step with a memory for each series, and windows are one stream each."""
+    rows, clock = events(t)
+    samples = rows.withColumn("c", F.get_json_object("props", "$.k").cast("bigint"))
+    sums = S.run_until(S.counter_steps(samples, "event_type", "c", "event_id", 300), "stream-steps", clock, later(t))
+    clock = S.new_clock(t.spark, "step_end")
+    steps = S.with_clock(S.read_stream(t.spark, sums, S.STEPS), clock, "step_end")
+    grown = S.run_until(S.counter_growth(steps, "event_type", quiet=400 * 86_400), "stream-growth", clock, later(t), "step_end")
+    clock = S.new_clock(t.spark, "step_end")
+    steps = S.with_clock(S.read_stream(t.spark, grown, "event_type string, step_end timestamp, grown double"), clock, "step_end")
+    found = finished(t, S.counter_increase(steps, "event_type", 900, 300), "stream-increase", clock, "step_end")
+    return found.select("event_type", n("increase").alias("increase"), "window_end")
 
 
 @query("stream_paired_durations", "SELECT event_id, round(value, 2) AS duration FROM events")
