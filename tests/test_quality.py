@@ -69,12 +69,31 @@ def test_all_null_column_passes_range_and_pattern(spark):
     (Rule("r", "pattern", "email"), "give"), (Rule("r", "pattern", "email", {"pattern": "("}), "cannot be read"),
     (Rule("r", "validity", "email"), "no rule is called"), (Rule("r", "custom"), "give"),
     (Rule("r", "custom", parameters={"function": lambda df: 1 / 0}), "the function raised"),
+    (Rule("r", "pattern", "email", {"pattern": "(?P<x>a)"}), "cannot be read"), (Rule("r", "custom", parameters={"expression": "avg(nope)"}), "cannot be resolved"),
+    (Rule("r", "custom", parameters={"expression": "avg("}), "cannot be resolved"), (Rule("r", "custom", parameters={"query": "SELECT count(*) FROM no_such_table"}), "cannot be resolved"),
+    (Rule("r", "range", "email", {"min_value": [1]}), "cannot be resolved"), (Rule("r", "freshness", "created_date", {"max_age_hours": "soon"}), "cannot be resolved"),
 ])
 def test_unusable_rules_fail_with_a_reason(faulty, rule, text):
     row = score(faulty, rule)
     assert not row.passed and row.score == 0.0 and text in row.details
 
 
+def test_a_broken_rule_leaves_the_others(faulty):
+    good = Rule("ok", "not_null", "id")
+    for broken in (Rule("bad", "pattern", "email", {"pattern": "(?P<x>a)"}), Rule("bad", "custom", parameters={"expression": "avg(nope)"}), Rule("bad", "custom", parameters={"query": "SELECT 1 FROM nope"})):
+        rows = {r.rule_name: r for r in run_rules(faulty, [broken, good], NOW).collect()}
+        assert rows["ok"].passed and not rows["bad"].passed and "error" in rows["bad"].details
+
+
+def test_gate_without_results(spark):
+    """A critical rule that has no result, as on an empty table, does not let the run pass."""
+    rules = [Rule("key", "not_null", "id", severity="critical"), Rule("soft", "not_null", "name")]
+    results = run_rules(spark.createDataFrame([], SCHEMA), rules, NOW)
+    assert gate(results, fail_on_error=False, asked=rules) == ["key"]
+    with pytest.raises(QualityGateError):
+        gate(results, asked=rules)
+
+
 def test_nan_counts_as_null(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),)], "a double")
     assert score(df, Rule("r", "not_null", "a")).score == 0.5

@@ -189,14 +189,34 @@ def test_decimals(spark):
     assert decimals_to_double(df).dtypes == [("a", "double"), ("b", "int")]
 
 
-def test_vectors_against_brute_force(spark):
+@pytest.mark.parametrize("metric", ["l2", "cosine", "inner_product"])
+def test_vectors_against_brute_force(spark, monkeypatch, metric):
+    """A table of queries in several blocks, ties, odd rows, and more neighbours asked for than there are."""
     import numpy as np
+    from weftline.operators import vectors
+    monkeypatch.setattr(vectors, "BLOCK_NUMBERS", 24)
+    monkeypatch.setattr(vectors, "BATCH_ROWS", 7)
     rng = np.random.default_rng(1)
-    data, queries = rng.normal(size=(80, 6)), rng.normal(size=(2, 6))
-    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id bigint, v array<double>")
-    got = nearest(df, "v", {i: list(q) for i, q in enumerate(queries)}, 5, "id").orderBy("query_id", "position").collect()
-    for i, q in enumerate(queries):
-        expected = list(np.argsort(((data - q) ** 2).sum(axis=1))[:5])
-        assert [r.id for r in got if r.query_id == i] == expected
+    data = rng.integers(-2, 3, size=(80, 6)).astype(float)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(data)]
+    odd = [(100, None), (101, [1.0]), (102, [None] * 6), (103, []), (104, [float("nan")] * 6)]
+    df = spark.createDataFrame(rows + odd, "id bigint, v array<double>").repartition(5)
+    asked = spark.createDataFrame([(i, v) for i, v in rows if i % 8 == 0] + odd[:1] + odd[2:3], "q_id bigint, q array<double>")
+
+    def distance(q):
+        with np.errstate(all="ignore"):
+            return np.sqrt(((data - q) ** 2).sum(axis=1)) if metric == "l2" else -(data @ q) if metric == "inner_product" else 1 - data @ q / np.sqrt((data ** 2).sum(axis=1) * (q ** 2).sum())
+
+    for k in (5, 200):
+        got = {}
+        for r in nearest(df, "v", asked, k, "id", metric, "q", "q_id").orderBy("query_id", "position").collect():
+            got.setdefault(r.query_id, []).append((round(r.distance, 9), r.id))
+        for i in range(0, 80, 8):
+            d = distance(data[i])
+            want = sorted((round(x, 9) + 0.0, j) for j, x in enumerate(d) if not np.isnan(x))[:k]
+            assert [x for x, _ in got.get(i, [])] == pytest.approx([x for x, _ in want], abs=1e-8)
+            if k == 200:
+                assert {j for _, j in got.get(i, [])} == {j for _, j in want}
+        assert set(got) <= set(range(0, 80, 8))
     zero = df.limit(1).select(cosine_distance(F.col("v"), F.array(*[F.lit(0.0)] * 6)).alias("d")).first()
     assert zero.d is None

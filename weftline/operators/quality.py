@@ -9,12 +9,13 @@ DataFrame with one row per rule.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from weftline.functions.columns import json_text, present, quote, starts_matching, to_time
@@ -100,10 +101,11 @@ def _plan_pattern(df, rule, tag, now):
     pattern = rule.parameters.get("pattern")
     if not pattern:
         raise RuleInputError("give the pattern to match")
+    # The engine's own reading counts: another dialect accepts and refuses other patterns.
     try:
-        re.compile(pattern)
-    except re.error as problem:
-        raise RuleInputError(f"the pattern cannot be read: {problem}") from problem
+        df.sparkSession._jvm.java.util.regex.Pattern.compile(f"^(?:{pattern})")
+    except (PySparkException, Py4JJavaError) as problem:
+        raise RuleInputError(f"the pattern cannot be read: {str(problem).splitlines()[0]}") from problem
     plan = _count_plan(tag, F.count_if(starts_matching(c, pattern)), F.count(c),
                        ("total_non_null_rows", "valid_count", "invalid_count"))
     plan.details.append(F.lit(pattern).alias("pattern"))
@@ -194,8 +196,18 @@ def _query_rows(spark: SparkSession, rule: Rule, now: datetime) -> DataFrame:
                       _result(rule, F.when(passed, 1.0).otherwise(0.0), passed, details, now).alias("r"))
 
 
+def _analysed(df: DataFrame, plan: _Plan) -> _Plan:
+    """The plan, if it can be resolved by itself; nothing is run for it."""
+    if plan.aggregates:
+        df.agg(*plan.aggregates).schema
+    return plan
+
+
 def run_rules(df: DataFrame, rules: list[Rule], now: datetime, approx_unique: bool = False) -> DataFrame:
-    """One result row per rule. On an empty table only rules about the number of rows and SQL rules have a result."""
+    """One result row per rule. On an empty table only rules about the number of rows and SQL rules have a result.
+
+    A rule that cannot be read or resolved (a broken pattern, expression or query, a missing column or table) is a failed result of its own.
+    """
     spark = df.sparkSession
     aggregates: list[Column] = [F.count(F.lit(1)).alias("total_rows")]
     fused: list[Column] = []
@@ -216,7 +228,7 @@ def run_rules(df: DataFrame, rules: list[Rule], now: datetime, approx_unique: bo
                 elif callable(rule.parameters.get("function")):
                     fused.append(_from_callable(df, rule, now))
                 elif "expression" in rule.parameters:
-                    plan = _plan_expression(df, rule, tag, now)
+                    plan = _analysed(df, _plan_expression(df, rule, tag, now))
                     aggregates += plan.aggregates
                     fused.append(_scored(rule, plan, now))
                 else:
@@ -224,11 +236,13 @@ def run_rules(df: DataFrame, rules: list[Rule], now: datetime, approx_unique: bo
                 continue
             if rule.rule_type not in _FUSED:
                 raise RuleInputError(f"no rule is called {rule.rule_type!r}")
-            plan = _FUSED[rule.rule_type](df, rule, tag, now)
+            plan = _analysed(df, _FUSED[rule.rule_type](df, rule, tag, now))
             aggregates += plan.aggregates
             fused.append(_scored(rule, plan, now))
         except RuleInputError as problem:
             fused.append(_failed(rule, str(problem), now))
+        except (PySparkException, ValueError, TypeError) as problem:
+            fused.append(_failed(rule, f"the rule cannot be resolved: {str(problem).splitlines()[0]}", now))
     parts = list(extra)
     if fused:
         parts.append(df.agg(*aggregates).select("total_rows", F.explode(F.array(*fused)).alias("r")))
@@ -258,13 +272,14 @@ def summarize(results: DataFrame) -> DataFrame:
     )
 
 
-def gate(results: DataFrame, fail_on_error: bool = True, blocking: tuple[str, ...] = ("critical",)) -> list[str]:
-    """Names of failed rules of a blocking severity; raises when asked to.
+def gate(results: DataFrame, fail_on_error: bool = True, blocking: tuple[str, ...] = ("critical",), asked: list[Rule] | None = None) -> list[str]:
+    """Names of rules of a blocking severity that failed or, of those asked for, have no result; raises when asked to.
 
     The rows are one per rule, so their number is bounded by the rule list.
     """
-    bad = results.filter(~F.col("passed") & F.col("severity").isin(*blocking)).select("rule_name")
-    names = sorted(r.rule_name for r in bad.collect())
+    found = results.filter(F.col("severity").isin(*blocking)).select("rule_name", F.coalesce("passed", F.lit(False)).alias("passed")).collect()
+    missing = {r.name for r in asked or () if r.severity in blocking} - {r.rule_name for r in found}
+    names = sorted({r.rule_name for r in found if not r.passed} | missing)
     if names and fail_on_error:
         raise QualityGateError("blocked by rules that did not pass: " + ", ".join(names))
     return names

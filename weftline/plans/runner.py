@@ -168,7 +168,7 @@ class Runner:
             checked = quality.check_target(self.spark, rules, now, table, fail_without_table=True)
         result.quality[task.task_id] = checked
         result.frames[task.task_id] = checked
-        quality.gate(checked, self.fail_on_quality)
+        quality.gate(checked, self.fail_on_quality, asked=rules)
 
 
 def first_non_empty(candidates) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from weftline.operators import profile as P
-from weftline.operators.quality import Rule, check_target, run_rules, summarize
+from weftline.operators.quality import Rule, check_target, gate, run_rules, summarize
 from weftline.queries.registry import n, query, r
 
 NOW = datetime(2024, 2, 1)
@@ -121,6 +121,29 @@ def _(t):
         Rule("unbounded", "range", "o_totalprice"), Rule("bad_regex", "pattern", "o_orderstatus", {"pattern": "["})], NOW))
 
 
+@query("quality_broken_rules", " UNION ALL ".join([
+    score_sql("key", "not_null", "CASE WHEN count(*) > 0 THEN 1 END", "orders", severity="critical"),
+    score_sql("named_group", "pattern", "CASE WHEN count(*) > 0 THEN 0 END", "orders"),
+    score_sql("no_column", "custom", "CASE WHEN count(*) > 0 THEN 0 END", "orders"),
+    score_sql("no_table", "custom", "CASE WHEN count(*) > 0 THEN 0 END", "orders"),
+    score_sql("half", "custom", "count(*) FILTER (o_orderstatus = 'F') / count(*)", "orders", 0.1)]))
+def _(t):
+    """Rules that cannot be resolved fail by themselves, beside others that are scored."""
+    return scores(run_rules(t.orders, [
+        Rule("key", "not_null", "o_orderkey", severity="critical"), Rule("named_group", "pattern", "o_orderstatus", {"pattern": "(?P<x>F)"}),
+        Rule("no_column", "custom", parameters={"expression": "avg(no_such_column)"}), Rule("no_table", "custom", parameters={"query": "SELECT count(*) FROM no_such_table"}),
+        Rule("half", "custom", parameters={"expression": "count_if(o_orderstatus = 'F') / count(*)"}, threshold=0.1)], NOW))
+
+
+@query("quality_gate", "SELECT unnest(['empty_key', 'price']) AS rule_name, count(*) AS orders FROM orders")
+def _(t):
+    """What blocks a run: a critical rule that fails on the orders, and one that has no result on an empty table."""
+    on_orders = [Rule("price", "range", "o_totalprice", {"max_value": 1}, severity="critical"), Rule("key", "not_null", "o_orderkey", severity="critical"), Rule("soft", "range", "o_totalprice", {"max_value": 1})]
+    on_nothing = [Rule("empty_key", "not_null", "o_orderkey", severity="critical")]
+    names = gate(run_rules(t.orders, on_orders, NOW), False, asked=on_orders) + gate(run_rules(t.orders.filter("o_orderkey is null"), on_nothing, NOW), False, asked=on_nothing)
+    return t.orders.agg(n(F.count(F.lit(1))).alias("orders")).select(F.explode(F.array(*map(F.lit, names))).alias("rule_name"), "orders")
+
+
 RULE_SET = [
     Rule("key_present", "not_null", "o_orderkey", severity="critical"), Rule("key_unique", "unique", "o_orderkey", severity="critical"),
     Rule("price", "range", "o_totalprice", {"min_value": 0, "max_value": 400000}, 0.9), Rule("cells", "completeness", threshold=0.95),

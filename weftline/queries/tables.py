@@ -119,15 +119,20 @@ def _(t):
     return digest(newest_version(read_table(t.spark, path), ["o_orderkey"], "version"))
 
 
-@query("write_result_counts", "SELECT 'append' AS mode, count(*) AS rows, false AS created FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT 'overwrite', count(*), true FROM orders WHERE o_orderpriority <> '1-URGENT' UNION ALL SELECT 'empty', count(*) FILTER (false), true FROM orders")
+@query("write_result_counts", """SELECT 'overwrite' AS mode, count(*) AS rows, true AS created FROM orders WHERE o_orderpriority <> '1-URGENT' UNION ALL SELECT 'append', count(*), false FROM orders WHERE o_orderstatus <> 'F'
+ UNION ALL SELECT 'insert_only', count(*) FILTER (o_orderkey % 2 = 1), false FROM orders UNION ALL SELECT 'update', count(*) FILTER (o_orderkey % 3 = 0), false FROM orders
+ UNION ALL SELECT 'upsert', count(*) FILTER (o_orderkey % 5 = 0), false FROM orders""")
 def _(t):
-    """Rows are counted while they are written."""
-    path = scratch_path(t.spark, "counts")
-    first = write_table(old_rows(t), path, "overwrite")
-    second = write_table(new_rows(t), path, "append")
-    nothing = write_table(new_rows(t).filter("o_orderkey < 0"), path, "append")
-    return t.spark.createDataFrame([(first.mode, first.rows, first.created), (second.mode, second.rows, second.created),
-                                    ("empty", nothing.rows, True)], "mode string, rows bigint, created boolean")
+    """Rows are counted while they are written: of repeated keys one, and only what an insert or update touches."""
+    path, merged = scratch_path(t.spark, "counts"), scratch_path(t.spark, "merged")
+    done = [write_table(old_rows(t), path, "overwrite"), write_table(new_rows(t), path, "append")]
+    write_table(t.orders.filter("o_orderkey % 2 = 0"), merged, "overwrite")
+    twice = t.orders.unionByName(t.orders)
+    done.append(write_table(twice, merged, "insert_only", keys=["o_orderkey"], order=["o_totalprice"]))
+    elsewhere = t.orders.filter("o_orderkey % 3 = 0").unionByName(t.orders.withColumn("o_orderkey", -1 - F.col("o_orderkey")))
+    done.append(write_table(elsewhere, merged, "update", keys=["o_orderkey"], order=["o_totalprice"]))
+    done.append(write_table(twice.filter("o_orderkey % 5 = 0"), merged, "upsert", keys=["o_orderkey"], order=["o_totalprice"]))
+    return t.spark.createDataFrame([(d.mode, d.rows, d.created) for d in done], "mode string, rows bigint, created boolean")
 
 
 @query("write_partitioned", digest_sql("SELECT o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus, o_totalprice FROM orders"))

@@ -143,23 +143,29 @@ def write_table(df: DataFrame, path: str, mode: str = "append", keys: list[str]
         raise ValueError(f"unknown write mode: {mode}")
     if align and exists and mode != "overwrite":
         df = align_to(df, read_table(spark, path).columns)
-    counted = Observation()
-    df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    counter = Observation()
+
+    def counted(frame: DataFrame) -> DataFrame:
+        """What is written, not what came in: repeated keys and rows that are there already do not count."""
+        return frame.observe(counter, F.count(F.lit(1)).alias("rows"))
 
     def rows() -> int:
-        return int(counted.get["rows"])
+        return int(counter.get["rows"])
 
     layout = (partition_by, sort_by)
     if mode == "append" and exists:
-        _writer(_fit_for_append(df, read_table(spark, path).schema), *layout).mode("append").parquet(path)
+        _writer(_fit_for_append(counted(df), read_table(spark, path).schema), *layout).mode("append").parquet(path)
     elif mode == "insert_only" and exists:
-        _writer(rows_to_insert(read_table(spark, path), df, keys, order), *layout).mode("append").parquet(path)
+        _writer(counted(rows_to_insert(read_table(spark, path), df, keys, order)), *layout).mode("append").parquet(path)
     elif mode == "overwrite" or (not exists and mode != "update"):
-        fresh = _stage(df if mode in ("overwrite", "append") else latest_per_key(df, keys, order), *layout)
+        fresh = _stage(counted(df if mode in ("overwrite", "append") else latest_per_key(df, keys, order)), *layout)
         _swap_unless_empty(spark, fresh, path, rows())
     elif exists:
         # The input is used twice below, so it is computed once and read back.
-        incoming_path = _stage(latest_per_key(df, keys, order), None, None)
+        incoming = latest_per_key(df, keys, order)
+        if mode == "update":
+            incoming = incoming.alias("l").join(read_table(spark, path).select(*keys).alias("r"), _same_keys(keys), "left_semi")
+        incoming_path = _stage(counted(incoming), None, None)
         if rows():
             incoming = spark.read.schema(df.schema).parquet(incoming_path)
             if mode == "update":
