@@ -136,6 +136,20 @@ def test_quantiles_of_a_large_skewed_column(spark):
     assert rows["none"].a is None
 
 
+@pytest.mark.parametrize("few", [1, 40])
+def test_quantiles_narrowed_over_several_passes(spark, few):
+    """Brackets that may hold a few values only: ties, a hot value in the middle, and a rank at its border."""
+    for make in ("if(id % 10 < 7, 5000, id)", "if(id < 10000, 1, id)", "-id * 0.5"):
+        df = spark.range(20_000).select(F.expr(make).cast("double").alias("v"), (F.col("id") % 3 == 0).alias("k.k"))
+        want = df.agg(F.percentile("v", [0.0, 0.5, 0.3, 1.0]).alias("p")).first().p
+        probs = {"a": 0.0, "b": 0.5, "c": 0.3, "d": 1.0}
+        got = column_quantiles(df, ["v"], probs, 100, few).first()
+        assert [got.a, got.b, got.c, got.d] == pytest.approx(list(want)), make
+        by = {r[0]: r for r in grouped_quantiles(df, ["k.k"], "v", probs, 100, few).collect()}
+        for r in df.groupBy("`k.k`").agg(F.percentile("v", [0.0, 0.5, 0.3, 1.0]).alias("p")).collect():
+            assert [by[r[0]][x] for x in "abcd"] == pytest.approx(list(r.p)), make
+
+
 @pytest.mark.parametrize("raw,clean_name", [
     ("a b!c", "a_b_c"), ("__x__", "x"), ("2nd", "field_2nd"), ("", "unnamed_field"), ("!!!", "unnamed_field"), ("é ü", "é_ü"),
     ("a" * 55, "a" * 55),
