@@ -1,6 +1,9 @@
 """Flattening of JSON documents whose shape varies by row."""
 
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
 from weftline.operators.jsonflat import (
     Options, context_activities, discover, field_coverage, find_json_column, flatten_json, leaves_from_json,
@@ -68,6 +71,24 @@ def test_bad_text_keeps_its_row(spark):
     assert [r["a"] for r in rows] == ["1", None, None, None]
 
 
+@pytest.mark.parametrize("text,want", [
+    ('{"a":NaN,"b":1}', '{"a":null,"b":1}'),
+    ('[-Infinity, Infinity,NaN]', '[null,null,null]'),
+    (r'{"NaN":"NaN, \"NaN\" ,NaN","b\\":NaN}', r'{"NaN":"NaN, \"NaN\" ,NaN","b\\":null}'),
+    ('{"a":"","b":-Infinity}', '{"a":"","b":null}'),
+    ('{"a":xNaN}', None), ('{"a":"x"NaN}', None), ('{"a":"NaN}', None), ('{"a":"NaN"}', '{"a":"NaN"}'),
+])
+def test_bare_nan_is_null(spark, text, want):
+    got = spark.createDataFrame([(text,)], "t string").select(F.to_json(parse(F.col("t"))).alias("j")).first().j
+    assert (got is None) == (want is None) and (want is None or json.loads(got) == json.loads(want))
+
+
+def test_very_long_text_with_nan(spark):
+    text = '{"x":NaN,"a":[' + ",".join([r'"q\"\\ NaN"'] * 100_000) + "]}"
+    got = spark.createDataFrame([(text,)], "t string").select(F.try_variant_get(parse(F.col("t")), "$.a[99999]", "string").alias("j")).first().j
+    assert got == 'q"\\ NaN'
+
+
 def test_deep_documents_take_another_pass(spark):
     text = "1"
     for i in range(20):

@@ -64,9 +64,26 @@ class Leaf:
     inner: tuple[str, ...] = ()
 
 
+def bare_numbers_as_null(c: Column) -> Column:
+    """`NaN`, `Infinity` and `-Infinity` outside strings as `null`; null for text without them.
+
+    Escapes give way to control characters first, so that a string is a run without a
+    quote; then each string or word found is marked behind, and a mark with no string
+    before it stands for the word. No step backtracks or recurses, however long the text.
+    """
+    backslash, escaped, mark = "\x02", "\x03", "\x01"
+    known = c.rlike("NaN|Infinity") & ~c.rlike("[\x01-\x03]")
+    plain = F.replace(F.replace(c, F.lit("\\\\"), F.lit(backslash)), F.lit('\\"'), F.lit(escaped))
+    marked = F.regexp_replace(plain, '("[^"]*+")|-?(?:NaN|Infinity)', f"$1{mark}")
+    nulled = F.replace(F.replace(marked, F.lit(f'"{mark}'), F.lit('"')), F.lit(mark), F.lit("null"))
+    restored = F.replace(F.replace(nulled, F.lit(escaped), F.lit('\\"')), F.lit(backslash), F.lit("\\\\"))
+    return F.when(known, restored)
+
+
 def parse(c: Column) -> Column:
-    """Variant of the text; null for blank or malformed text."""
-    return F.try_parse_json(F.when(F.trim(c) != "", c))
+    """Variant of the text; null for blank or malformed text. Bare NaN and infinities count as null values."""
+    text = F.when(F.trim(c) != "", c)
+    return F.coalesce(F.try_parse_json(text), F.try_parse_json(bare_numbers_as_null(text)))
 
 
 def _entries(v: Column) -> Column:
