@@ -1,6 +1,7 @@
 """Writes, evolution, staging, sources and whole specs."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -171,6 +172,59 @@ def test_outbound_files(spark, tmp_path):
     assert sum(len(p.read_text().splitlines()) for p in tmp_path.glob("*.json")) == 10
 
 
+def test_outbound_files_are_committed_as_a_whole(spark, tmp_path):
+    root = str(tmp_path)
+
+    def put(path, content):
+        if b"boom" in content:
+            raise OSError("no room")
+        with open(f"{root}/{path.replace('/', '_')}", "wb") as f:
+            f.write(content)
+
+    def listed(path):
+        return [n.removeprefix("out_") for n in os.listdir(root)]
+
+    def remove(path):
+        os.remove(f"{root}/{path.replace('/', '_')}")
+
+    def parts():
+        return sorted(n for n in os.listdir(root) if "part-" in n)
+
+    def rows():
+        return sorted(json.loads(x)["v"] for n in parts() for x in open(f"{root}/{n}"))
+
+    def write(df, **more):
+        connection = {"put": put, "list": listed, "remove": remove}
+        return write_sink(df, SinkSpec("s", "sftp", "c", file_path="out", file_format="json", **more), {"c": connection}).rows
+
+    four = spark.range(0, 100, 1, 4).select(F.col("id").cast("string").alias("v"))
+    assert write(four) == 100 and len(parts()) == 4 and len(rows()) == 100
+    with pytest.raises(Exception, match="no room"):
+        write(spark.range(0, 9, 1, 3).select(F.when(F.col("id") == 8, "boom").otherwise("x").alias("v")))
+    assert len(parts()) == 4 and len(rows()) == 100
+    assert write(spark.range(0, 10, 1, 1).select(F.lit("b").alias("v"))) == 10 and len(parts()) == 1 and rows() == ["b"] * 10
+    told = json.loads((tmp_path / "out__committed").read_text())
+    assert told["rows"] == 10 and [f"out_{n}" for n in told["files"]] == parts()
+    assert write(four.limit(0)) == 0 and parts() == []
+    outbound.write_remote_files(four.coalesce(1), put, "out", "json", listed, remove, file_bytes=100)
+    assert len(parts()) > 5 and len(rows()) == 100
+
+
+def test_outbound_csv_text(spark, tmp_path):
+    root = str(tmp_path)
+
+    def put(path, content):
+        with open(f"{root}/{path.replace('/', '_')}", "wb") as f:
+            f.write(content)
+
+    import csv
+    data = [('a,"b"', "x\ny"), ("", None), (None, "back\\slash"), (" pad ", "\u00e9")]
+    outbound.write_remote_files(spark.createDataFrame(data, "`n,1` string, v string").coalesce(1), put, "out", "csv")
+    [name] = [n for n in os.listdir(root) if n.endswith("csv")]
+    got = list(csv.reader(open(f"{root}/{name}", newline="")))
+    assert got[0] == ["n,1", "v"] and sorted(map(tuple, got[1:])) == sorted((a or "", b or "") for a, b in data)
+
+
 def test_database_upserts(spark, tmp_path):
     folder = str(tmp_path)
 

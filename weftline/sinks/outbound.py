@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from weftline.sinks.shape import serialize_for_sink
 from weftline.sinks.tables import latest_per_key
@@ -16,6 +20,10 @@ DATABASE_BATCH = {"postgresql": 1000, "clickhouse": 10_000}
 REST_BATCH = 100
 # --- end of fixed values ---
 
+REMOTE_FILE_BYTES = 64 << 20
+# Name of the file that lists the parts of the last complete write.
+COMMITTED = "_committed"
+
 
 def jdbc_write_options(kind: str, url: str, table: str, schema: str | None = None, batch_size: int | None = None,
                        create_options: str | None = None, column_types: dict[str, str] | None = None) -> dict[str, str]:
@@ -120,27 +128,88 @@ def write_rest(df: DataFrame, send: Callable[[list[dict]], None], batch_size: in
     return _per_partition(records, send_partition)
 
 
-def write_remote_files(df: DataFrame, put: Callable[[str, bytes], None], path: str, file_format: str = "json") -> None:
-    """One remote file per task (`<path>/part-00000.json`): json lines or csv with a header.
-
-    A repeated task writes the same name again, so nothing is duplicated.
+def _remote_writer(transport: dict, root: str, kind: str, header: str | None, file_bytes: int, run: str):
+    """Data source class that sends one column of text lines as remote files and commits them as a whole."""
+    put, listed, remove = transport["put"], transport.get("list"), transport.get("remove")
+    if (listed is None) != (remove is None):
+        raise ValueError("give both 'list' and 'remove', or neither")
+
+    @dataclass
+    class Sent(WriterCommitMessage):
+        names: list
+        rows: int
+
+    class RemoteWriter(DataSourceArrowWriter):
+        def write(self, iterator):
+            # Every attempt has names of its own, so a lost or doubled one cannot touch the files of another.
+            context = TaskContext.get()
+            stem = f"part-{context.partitionId():05d}-{run}-{context.taskAttemptId()}"
+            names, rows, lines, size = [], 0, [], 0
+
+            def flush():
+                name = f"{stem}-{len(names):04d}.{kind}"
+                put(f"{root}/{name}", ("\n".join(([header] if header is not None else []) + lines) + "\n").encode())
+                names.append(name)
+
+            for batch in iterator:
+                for line in batch.column(0).to_pylist():
+                    lines.append(line)
+                    size += len(line) + 1
+                    if size >= file_bytes:
+                        flush()
+                        rows, lines, size = rows + len(lines), [], 0
+            if lines:
+                flush()
+            return Sent(names, rows + len(lines))
+
+        def _clear(self, keep, mine_only):
+            for name in listed(root) if listed else ():
+                name = name.rsplit("/", 1)[-1]
+                if name.startswith("part-") and name not in keep and (not mine_only or f"-{run}-" in name):
+                    remove(f"{root}/{name}")
+
+        def commit(self, messages):
+            names = sorted(n for m in messages if m for n in m.names)
+            rows = sum(m.rows for m in messages if m)
+            # The list of files is the commit: until it is there, a reader of it sees the files before.
+            put(f"{root}/{COMMITTED}", json.dumps({"files": names, "rows": rows}).encode())
+            self._clear(set(names), mine_only=False)
+
+        def abort(self, messages):
+            self._clear(set(), mine_only=True)
+
+    class RemoteFiles(DataSource):
+        @classmethod
+        def name(cls):
+            return f"remote_files_{run}"
+
+        def writer(self, schema, overwrite):
+            return RemoteWriter()
+
+    return RemoteFiles
+
+
+def write_remote_files(df: DataFrame, put: Callable[[str, bytes], None], path: str, file_format: str = "json",
+                       list_files: Callable[[str], list[str]] | None = None, remove: Callable[[str], None] | None = None,
+                       file_bytes: int = REMOTE_FILE_BYTES) -> None:
+    """Replace the files under `path` by json lines, or csv files with a header, of about `file_bytes` each.
+
+    Tasks hold one file's lines at a time. When all are done the driver puts `_committed`,
+    a list of the files that count, and with `list_files` and `remove` deletes all other
+    parts, those of earlier runs and of lost tasks. A failed run deletes its own files and
+    leaves the earlier ones as they were. Without those two functions old parts stay, and
+    `_committed` tells them apart.
     """
     if file_format not in ("json", "csv"):
         raise ValueError(f"remote files are json or csv, not {file_format}")
     plain = serialize_for_sink(df)
-    root = path.rstrip("/")
-
-    def put_partition(batch_iter):
-        import pandas as pd
-        from pyspark import TaskContext
-
-        frames = [b for b in batch_iter if len(b)]
-        if frames:
-            whole = pd.concat(frames, ignore_index=True)
-            part = TaskContext.get().partitionId()
-            text = (whole.to_json(orient="records", lines=True, force_ascii=False, date_format="iso")
-                    if file_format == "json" else whole.to_csv(index=False))
-            put(f"{root}/part-{part:05d}.{file_format}", text.encode())
-            yield pd.DataFrame({"rows": [len(whole)]})
-
-    plain.mapInPandas(put_partition, "rows bigint").agg(F.sum("rows")).collect()
+    whole, header = F.struct("*"), None
+    if file_format == "json":
+        line = F.to_json(whole, {"ignoreNullFields": "false"})
+    else:
+        line = F.to_csv(whole, {"escape": '"', "emptyValue": '""', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+        header = ",".join('"' + c.replace('"', '""') + '"' if any(x in c for x in ',"\n\r') else c for c in plain.columns)
+    source = _remote_writer({"put": put, "list": list_files, "remove": remove}, path.rstrip("/"), file_format, header,
+                            file_bytes, uuid.uuid4().hex[:12])
+    df.sparkSession.dataSource.register(source)
+    plain.select(line.alias("line")).write.format(source.name()).mode("append").save()

@@ -62,7 +62,8 @@ def _files(df: DataFrame, sink: SinkSpec, connection: dict) -> WriteResult:
 
 def _sftp(df: DataFrame, sink: SinkSpec, connection: dict) -> WriteResult:
     counted, seen = _counted(df)
-    outbound.write_remote_files(counted, connection["put"], sink.file_path, sink.file_format or "json")
+    outbound.write_remote_files(counted, connection["put"], sink.file_path, sink.file_format or "json",
+                                connection.get("list"), connection.get("remove"))
     return WriteResult(sink.file_path, "overwrite", int(seen.get["rows"]), columns=df.columns)
 
 
