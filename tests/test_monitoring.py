@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.operators import alerts as A, monitoring as M
-from weftline.operators.quality import Rule
+from weftline.operators.quality import Rule, run_rules
 from weftline.sinks.tables import read_table
 from weftline.streaming import events as S
-from weftline.streaming.tables import check_stream, total_scores, upsert_stream
+from weftline.streaming.tables import check_stream, stream_totals, total_scores, upsert_stream
 
 T0 = datetime(2024, 1, 1)
 
@@ -191,6 +191,29 @@ def test_stream_upsert_and_quality(spark, tmp_path):
     assert as_dict(total_scores(spark.read.parquet(results)), "rule_name", "score") == {"v": 0.8, "k": 0.8}
 
 
+def test_stream_totals_equal_the_batch_score(spark, tmp_path):
+    """Every rule type; values that repeat over batches, a batch of nulls, the latest time in an early batch, a broken rule."""
+    folder, results = str(tmp_path / "in"), str(tmp_path / "results")
+    batches = [[(1, "a", 0.0, at(50)), (2, "b", -0.0, at(1))], [(2, "b", 1.5, at(20)), (None, None, None, None)], [(3, "a", float("nan"), at(30))]]
+    kinds = "k int, v string, d double, t timestamp"
+    parts(spark, folder, batches, kinds)
+    rules = [Rule(x, "unique", x) for x in "kvdt"] + [
+        Rule("n", "not_null", "v"), Rule("r", "range", "d", {"min_value": 1}), Rule("p", "pattern", "v", {"pattern": "a"}),
+        Rule("c", "completeness"), Rule("f", "freshness", "t", {"max_age_hours": 1}), Rule("rows", "row_count"),
+        Rule("sum", "custom", parameters={"good": "sum(k) FILTER (WHERE k > 1)", "total": "sum(k)"}),
+        Rule("q", "custom", parameters={"query": "SELECT 5", "max_threshold": 4}),
+        Rule("broken", "pattern", "v", {"pattern": "(?P<x>a)"}), Rule("gone", "unique", "gone"),
+        Rule("ex", "custom", parameters={"expression": "avg(k)"})]
+    for _ in range(2):  # the second run repeats every batch
+        check_stream(S.read_stream(spark, folder, kinds, files_per_batch=1), rules, results, at(60))
+    whole = as_dict(run_rules(spark.createDataFrame([r for b in batches for r in b], kinds), rules, at(60)), "rule_name", "score")
+    got = as_dict(stream_totals(spark, results), "rule_name", "score")
+    assert got.pop("ex") is None and whole.pop("ex") is not None
+    assert got == pytest.approx(whole) and got["broken"] == 0 and got["gone"] == 0 and 0 < got["f"] < 1
+    alone = as_dict(total_scores(spark.read.parquet(results)), "rule_name", "score")
+    assert alone["k"] is None and alone["n"] == whole["n"]
+
+
 def test_stream_pairs(spark, tmp_path):
     starts, ends = str(tmp_path / "s"), str(tmp_path / "e")
     parts(spark, starts, [[("r1", at(0)), ("r2", at(1))], [("r3", at(90))]], "run string, started timestamp")

@@ -133,7 +133,11 @@ def _plan_freshness(df, rule, tag, now):
 
 
 def _plan_expression(df, rule, tag, now):
-    """Custom rule given as a SQL aggregate whose value is the score."""
+    """Custom rule given as a SQL aggregate whose value is the score, or as two that add up over parts of a table."""
+    if "expression" not in rule.parameters:
+        good, total = (F.expr(rule.parameters[x]).cast("double") for x in ("good", "total"))
+        g, w = (F.coalesce(F.col(f"{tag}_{x}"), F.lit(0.0)) for x in ("good", "all"))
+        return _Plan([good.alias(f"{tag}_good"), total.alias(f"{tag}_all")], _ratio(g, w), [g.alias("good"), w.alias("total")])
     value = F.expr(rule.parameters["expression"]).cast("double").alias(f"{tag}_score")
     return _Plan([value], F.coalesce(F.col(f"{tag}_score"), F.lit(0.0)),
                  [F.lit(rule.parameters["expression"]).alias("expression")])
@@ -179,6 +183,24 @@ def _unique_rows(df: DataFrame, rule: Rule, now: datetime, approx: bool) -> Data
             .select("total_rows", _scored(rule, plan, now).alias("r")))
 
 
+def unique_values(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Columns `rule_name`, `digest`: every distinct value of the columns of `unique` rules once, as 128 bits.
+
+    Digests of parts of a table, taken together, give the distinct count of the whole.
+    """
+    parts = []
+    for rule in rules:
+        if rule.rule_type == "unique" and rule.column in df.columns:
+            c, dtype = _column(df, rule)
+            if isinstance(dtype, (T.FloatType, T.DoubleType)):
+                c = c + F.lit(0.0)
+            known = c.isNotNull()
+            text = c if isinstance(dtype, (T.BinaryType, T.StringType)) else F.to_json(F.struct(c.alias("v")))
+            parts.append(df.select(F.lit(rule.name).alias("rule_name"), F.when(known, F.unhex(F.md5(text))).alias("digest"))
+                         .filter("digest is not null").distinct())
+    return reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], "rule_name string, digest binary")
+
+
 def _query_rows(spark: SparkSession, rule: Rule, now: datetime) -> DataFrame:
     """Custom SQL rule: first cell of the query against explicit bounds."""
     p = rule.parameters
@@ -227,12 +249,12 @@ def run_rules(df: DataFrame, rules: list[Rule], now: datetime, approx_unique: bo
                     extra.append(_query_rows(spark, rule, now))
                 elif callable(rule.parameters.get("function")):
                     fused.append(_from_callable(df, rule, now))
-                elif "expression" in rule.parameters:
+                elif "expression" in rule.parameters or {"good", "total"} <= set(rule.parameters):
                     plan = _analysed(df, _plan_expression(df, rule, tag, now))
                     aggregates += plan.aggregates
                     fused.append(_scored(rule, plan, now))
                 else:
-                    raise RuleInputError("give one of function, expression, query")
+                    raise RuleInputError("give one of function, expression, query, or good and total")
                 continue
             if rule.rule_type not in _FUSED:
                 raise RuleInputError(f"no rule is called {rule.rule_type!r}")

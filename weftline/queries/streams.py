@@ -16,7 +16,7 @@ from weftline.queries.registry import ORACLES, n, query, r
 from weftline.session import scratch_path
 from weftline.sinks.tables import read_table
 from weftline.streaming import events as S
-from weftline.streaming.tables import check_stream, total_scores, upsert_stream
+from weftline.streaming.tables import check_stream, stream_totals, upsert_stream
 
 
 def events(t):
@@ -94,13 +94,19 @@ def _(t):
  SELECT 'user' AS rule_name, 'not_null' AS rule_type, count(user_id) / count(*) AS s FROM events
  UNION ALL SELECT 'value', 'range', count(*) FILTER (value BETWEEN 1 AND 20) / count(value) FROM events
  UNION ALL SELECT 'kind', 'pattern', count(*) FILTER (regexp_matches(event_type, '^(?:[ce])')) / count(*) FROM events
- UNION ALL SELECT 'cells', 'completeness', CASE WHEN count(*) > 0 THEN 1.0 END FROM events)""")
+ UNION ALL SELECT 'cells', 'completeness', CASE WHEN count(*) > 0 THEN 1.0 END FROM events
+ UNION ALL SELECT 'rows', 'row_count', CASE WHEN count(*) > 0 THEN 1.0 END FROM events
+ UNION ALL SELECT 'users', 'unique', count(DISTINCT user_id) / count(*) FROM events
+ UNION ALL SELECT 'new', 'freshness', greatest(0, 1 - (epoch_us(TIMESTAMP '2024-03-31') - epoch_us(max(ts))) / 3.6e9 / 8760) FROM events
+ UNION ALL SELECT 'large', 'custom', sum(value) FILTER (value > 5) / sum(value) FROM events)""")
 def _(t):
     path = scratch_path(t.spark, "stream-quality")
     rules = [Rule("user", "not_null", "user_id"), Rule("value", "range", "value", {"min_value": 1, "max_value": 20}),
-             Rule("kind", "pattern", "event_type", {"pattern": "[ce]"}), Rule("cells", "completeness")]
-    check_stream(S.read_stream(t.spark, t.folder, t.events.schema, "events.parquet"), rules, path, datetime(2024, 1, 31))
-    return total_scores(t.spark.read.parquet(path)).select("rule_name", "rule_type", r("score", 6).alias("score"))
+             Rule("kind", "pattern", "event_type", {"pattern": "[ce]"}), Rule("cells", "completeness"), Rule("rows", "row_count"),
+             Rule("users", "unique", "user_id"), Rule("new", "freshness", "ts", {"max_age_hours": 8760}),
+             Rule("large", "custom", parameters={"good": "sum(value) FILTER (WHERE value > 5)", "total": "sum(value)"})]
+    check_stream(S.read_stream(t.spark, t.folder, t.events.schema, "events.parquet"), rules, path, datetime(2024, 3, 31))
+    return stream_totals(t.spark, path).select("rule_name", "rule_type", r("score", 6).alias("score"))
 
 
 @query("stream_upsert", """SELECT user_id, event_id, event_type, value FROM (
