@@ -87,13 +87,12 @@ def _narrower(rows: DataFrame, ends: DataFrame, by: list[str], levels: list[floa
     return counted.select(*map(quote, by), "_n", *out, held.alias("_open"))
 
 
-def _selected(rows: DataFrame, ends: DataFrame, by: list[str], names: list[str], levels: list[float], few: int) -> DataFrame:
-    """Rows (`by`, `_v`) and their first brackets -> quantiles. Groups whose brackets are narrow enough take no further pass."""
+def _narrowed(rows: DataFrame, ends: DataFrame, by: list[str], levels: list[float], few: int) -> DataFrame:
+    """Brackets of at most `few` values. Groups whose brackets are narrow enough take no further pass."""
     while (ends.agg(F.max("_open").alias("m")).first().m or 0) > few:
         wide = F.col("_open") > few
         ends = freeze(ends.filter(~wide).unionByName(_narrower(rows, ends.filter(wide), by, levels)), "brackets")
-    brackets = [(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(len(levels))]
-    return _pick(_reduced(_with_brackets(rows, ends, by), by, brackets), by, names, levels)
+    return ends
 
 
 def _reduced(rows: DataFrame, by: list[str], brackets: list[Bracket]) -> DataFrame:
@@ -106,6 +105,17 @@ def _reduced(rows: DataFrame, by: list[str], brackets: list[Bracket]) -> DataFra
             .groupBy(*keys, "_gap", "_x").agg(F.count(F.lit(1)).alias("_c")))
 
 
+def _joined(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Brackets in order, those that meet made one."""
+    out: list[tuple[float, float]] = []
+    for lo, hi in sorted(brackets):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
 def _pick(counts: DataFrame, by: list[str], names: list[str], levels: list[float]) -> DataFrame:
     """Order statistics out of the counted rows, interpolated."""
     keys = [quote(k) for k in by]
@@ -137,7 +147,9 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     rows = df.select(*[F.col(quote(k)) for k in keys], F.when(~F.isnan(v), v).alias("_v")).filter("_v is not null")
     by = [quote(k) for k in keys]
     ends = freeze(rows.groupBy(*by).agg(*_stats(F.col("_v"), levels, accuracy)).select(*by, *_brackets(levels, accuracy)), "brackets")
-    return _selected(rows, ends, keys, names, levels, few)
+    ends = _narrowed(rows, ends, keys, levels, few)
+    brackets = [(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(len(levels))]
+    return _pick(_reduced(_with_brackets(rows, ends, keys), keys, brackets), keys, names, levels)
 
 
 def column_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float], accuracy: int = 10_000, few: int = FEW) -> DataFrame:
@@ -156,13 +168,38 @@ def column_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float],
     found = df.agg(*[a for i, c in enumerate(columns) for a in _stats(clean(c), levels, accuracy, str(i))]).first()
     stats = [(i, *[found[f"{x}{i}"] for x in ("_n", "_min", "_max", "_marks")]) for i in range(len(columns)) if found[f"_n{i}"]]
     empty = [c for i, c in enumerate(columns) if not found[f"_n{i}"]]
-    nothing = spark.createDataFrame([(c,) for c in empty], "column string").select("column", *[F.lit(None).cast("double").alias(k) for k in names])
+    nothing = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in empty]).cast("array<string>")).alias("column")).select("column", *[F.lit(None).cast("double").alias(k) for k in names])
     if not stats:
         return nothing
-    ends = spark.createDataFrame(stats, "_column int, _n bigint, _min double, _max double, _marks array<double>").select("_column", *_brackets(levels, accuracy))
-    filled = [s[0] for s in stats]
-    rows = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("_column"), clean(columns[i]).alias("_v")) for i in filled])).alias("s")).select(
-        "s.*").filter("_v is not null")
-    found_names = F.get(F.array(*[F.lit(c) for c in columns]), F.col("_column"))
-    out = _selected(rows, ends, ["_column"], names, levels, few).select(found_names.alias("column"), *names)
+    brackets = {}
+    for i, n, low, high, marks in stats:
+        brackets[i] = [(low, high) if n <= accuracy else (marks[2 * k], marks[2 * k + 1]) for k in range(len(levels))]
+    if any((n if n <= accuracy else n * (2 * SAFETY + 2) / accuracy) > few for _, n, *_ in stats):
+        ends = spark.createDataFrame(stats, "_column int, _n bigint, _min double, _max double, _marks array<double>").select("_column", *_brackets(levels, accuracy))
+        rows = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("_column"), clean(columns[i]).alias("_v")) for i in brackets])).alias("s")).select(
+            "s.*").filter("_v is not null")
+        # One row per column.
+        for row in _narrowed(rows, ends, ["_column"], levels, few).collect():
+            brackets[row["_column"]] = [(row[f"_lo{k}"], row[f"_hi{k}"]) for k in range(len(levels))]
+    # Brackets are literals now: outside them one aggregate counts, and only values inside become rows.
+    counts, outside, inside = [], [], []
+    for i, ends in brackets.items():
+        v, parts, reached = clean(columns[i]), _joined(ends), F.lit(0).cast("bigint")
+        gap = F.lit(0)
+        for k, (lo, hi) in enumerate(parts):
+            counts += [F.count_if(v < F.lit(lo)).alias(f"_under{i}_{k}"), F.count_if(v <= F.lit(hi)).alias(f"_upto{i}_{k}")]
+            outside.append((i, 2 * k, F.col(f"_under{i}_{k}") - reached))
+            reached = F.col(f"_upto{i}_{k}")
+            gap = F.when(v >= F.lit(lo), 2 * k + 1).otherwise(gap)
+        counts.append(F.count(v).alias(f"_all{i}"))
+        outside.append((i, 2 * len(parts), F.col(f"_all{i}") - reached))
+        within = reduce(lambda a, b: a | b, [(v >= F.lit(lo)) & (v <= F.lit(hi)) for lo, hi in parts])
+        inside.append(F.when(within, F.struct(F.lit(i).alias("_column"), gap.alias("_gap"), v.alias("_x"))))
+    counted = (df.agg(*counts).select(F.explode(F.array(*[F.struct(
+        F.lit(i).alias("_column"), F.lit(g).alias("_gap"), F.lit(None).cast("double").alias("_x"), c.alias("_c")) for i, g, c in outside])).alias("s"))
+        .select("s.*").filter("_c > 0"))
+    listed = (df.select(F.explode(F.array(*inside)).alias("s")).filter("s is not null").select("s.*")
+              .groupBy("_column", "_gap", "_x").agg(F.count(F.lit(1)).alias("_c")))
+    labels = F.get(F.array(*[F.lit(c) for c in columns]), F.col("_column"))
+    out = _pick(counted.unionByName(listed), ["_column"], names, levels).select(labels.alias("column"), *names)
     return out.unionByName(nothing) if empty else out
