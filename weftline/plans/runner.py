@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from weftline.functions import sqlnames
 from weftline.operators import quality
 from weftline.operators.aggregate import aggregate, stack
 from weftline.operators.clean import clean, decimals_to_double
@@ -49,6 +50,9 @@ class Runner:
     fail_on_quality: bool = False
     drop_staged: bool = False
 
+    def __post_init__(self):
+        sqlnames.register(self.spark)
+
     def run(self, plan: PlanSpec, run_date: datetime, sources: dict[str, DataFrame] | None = None) -> RunResult:
         """`sources` supplies tables for extract tasks by task id, in place of their connection."""
         result = RunResult()
@@ -137,7 +141,8 @@ class Runner:
     def sql(self, text: str, inputs: dict[str, DataFrame], context: dict) -> DataFrame:
         """SQL over inputs named by task id, with `:ds` and `:ts` as named parameters.
 
-        `{{ ds }}` and `{{ ts }}` are accepted as another way to write them.
+        `{{ ds }}` and `{{ ts }}` are accepted as another way to write them. The functions of
+        `sqlnames` are known.
         """
         for name, df in inputs.items():
             decimals_to_double(df).createOrReplaceTempView(name)

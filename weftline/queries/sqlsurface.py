@@ -7,6 +7,7 @@ the number of days or lines, however many rows one key has.
 from __future__ import annotations
 
 from weftline.functions.sqlnames import register
+from weftline.plans.runner import Runner
 from weftline.queries.registry import query, sql_query
 
 DAILY = """daily AS (
@@ -207,3 +208,37 @@ SELECT event_type, COUNT(TRY_CAST(event_type AS INT)) AS none, SUM(CAST(value AS
 FROM events GROUP BY event_type""",
           """SELECT event_type, COUNT(TRY_CAST(event_type AS INT)) AS none, SUM(CAST(trunc(value) AS BIGINT))::BIGINT AS whole, COUNT(CAST(ts AS DATE)) AS days,
 MAX(CAST(user_id AS VARCHAR)) AS text FROM events GROUP BY event_type""")
+
+
+def transform(t, text: str, *names: str):
+    """SQL text as a transform task runs it."""
+    return Runner(t.spark).sql(text, {name: getattr(t, name) for name in names}, {})
+
+
+@query("sql_names_times", """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m week day ') || CAST(dayofweek(o_orderdate) AS VARCHAR) || ' 100%' AS label,
+  strftime(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH - INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS month_end,
+  strftime(date_trunc('year', o_orderdate) + INTERVAL 36 HOUR, '%H:%M:%S') AS noon, CAST(epoch(o_orderdate) AS BIGINT) AS seconds,
+  CAST(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH + to_days(CAST(day(o_orderdate) - 1 AS INTEGER)) AS DATE) AS month_later,
+  round(julian(o_orderdate) - 0.5 + 7, 6) AS jd, strftime(o_orderdate, '%Y-%m-%d') AS again, CAST(NULL AS VARCHAR) AS no_time FROM orders""")
+def _(t):
+    return transform(t, """
+        SELECT o_orderkey, strftime('%Y-%m week day %w 100%%', o_orderdate) AS label, datetime(o_orderdate, 'start of month', '+1 month', '-1 day') AS month_end,
+          time_of(o_orderdate, 'start of year', '+36 hours') AS noon, unixepoch(o_orderdate) AS seconds, day_of(o_orderdate, '+1 month') AS month_later,
+          ROUND(julianday(o_orderdate, '+7 days'), 6) AS jd, CAST(day_of(unixepoch(o_orderdate), 'unixepoch') AS STRING) AS again,
+          datetime(o_orderpriority) AS no_time FROM orders""", "orders")
+
+
+@query("sql_names_glob", """
+SELECT p_partkey, p_name GLOB 's*[t-z]' AS ends, p_name GLOB '?e*' AS second, p_name GLOB '[!a-m]*' AS late, p_brand GLOB '*[#]1[0-9]' AS tens FROM part""")
+def _(t):
+    return transform(t, """
+        SELECT p_partkey, glob('s*[t-z]', p_name) AS ends, glob('?e*', p_name) AS second, glob('[^a-m]*', p_name) AS late,
+          glob('*[#]1[0-9]', p_brand) AS tens FROM part""", "part")
+
+
+@query("sql_names_json", """
+SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS last_digit, count(*) AS n, count(json_extract_string(props, '$.nope')) AS others FROM events GROUP BY 1""")
+def _(t):
+    return transform(t, """
+        SELECT CAST(json_extract(props, '$.k') AS BIGINT) % 10 AS last_digit, count(*) AS n, count(json_extract(props, '$.nope')) AS others FROM events GROUP BY 1""", "events")
