@@ -14,6 +14,7 @@ from weftline.operators.quality import Rule
 from weftline.queries.alerting import windows_sql
 from weftline.queries.registry import ORACLES, n, query, r
 from weftline.session import scratch_path
+from weftline.sinks.buckets import read_buckets
 from weftline.sinks.tables import read_table
 from weftline.streaming import events as S
 from weftline.streaming.tables import check_stream, stream_totals, upsert_stream
@@ -117,3 +118,12 @@ def _(t):
     upsert_stream(S.read_stream(t.spark, t.folder, t.events.schema, "events.parquet"), path, ["user_id"],
                   order=[F.col("ts").desc(), F.col("event_id").desc()])
     return read_table(t.spark, path).select("user_id", "event_id", "event_type", "value")
+
+
+@query("stream_upsert_buckets", ORACLES["stream_upsert"])
+def _(t):
+    """The same into a table in buckets."""
+    path = scratch_path(t.spark, "stream-buckets")
+    upsert_stream(S.read_stream(t.spark, t.folder, t.events.schema, "events.parquet"), path, ["user_id"],
+                  order=[F.col("ts").desc(), F.col("event_id").desc()], buckets=16)
+    return read_buckets(t.spark, path).select("user_id", "event_id", "event_type", "value")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from weftline.plans.spec import SinkSpec, SpecError, validate_sink
 from weftline.sinks import outbound
+from weftline.sinks.buckets import upsert_buckets
 from weftline.sinks.tables import WriteResult, write_table
 
 
@@ -37,6 +38,10 @@ def _tables(df: DataFrame, sink: SinkSpec, connection: dict) -> WriteResult:
                             connection.get("properties"), schema=sink.schema_name, batch_size=sink.batch_size,
                             create_options=created, column_types=sink.table_schema)
         return WriteResult(sink.table_name, sink.write_mode, int(seen.get["rows"]), columns=df.columns)
+    if "buckets" in sink.custom_config:
+        if sink.write_mode != "upsert":
+            raise SpecError(f"{sink.write_mode} cannot keep a table in buckets")
+        return upsert_buckets(df, _folder(sink, connection), sink.upsert_keys, buckets=int(sink.custom_config["buckets"]))
     return write_table(df, _folder(sink, connection), sink.write_mode, sink.upsert_keys,
                        partition_by=sink.partition_columns, sort_by=sink.custom_config.get("order_by"),
                        table_schema=sink.table_schema, auto_create=sink.auto_create_table,

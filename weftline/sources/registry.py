@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from weftline.plans.spec import SourceSpec, SpecError, validate_source
+from weftline.sinks.buckets import is_bucketed, read_buckets
 from weftline.sources import documents, files, jdbc, remote
 from weftline.sources.normalize import normalize_types
 
@@ -41,6 +42,8 @@ def _files(spark, source, connection, run):
     root = connection.get("path")
     if root and "://" not in path and not path.startswith("/"):
         path = f"{root.rstrip('/')}/{path}"
+    if source.file_format in (None, "parquet") and "*" not in path and is_bucketed(spark, path):
+        return read_buckets(spark, path)
     read = files.read_wildcard if "*" in path else files.read_files
     return read(spark, path, source.file_format, source.custom_config.get("schema"), run)
 

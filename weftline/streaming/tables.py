@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from weftline.operators.quality import Rule, run_rules, unique_values
 from weftline.session import scratch_path
+from weftline.sinks.buckets import upsert_buckets
 from weftline.sinks.tables import write_table
 
 
@@ -19,9 +20,15 @@ def _run(stream: DataFrame, each, checkpoint: str | None) -> None:
 
 
 def upsert_stream(stream: DataFrame, path: str, keys: list[str], order: list[Column] | None = None,
-                  partition_by: list[str] | None = None, checkpoint: str | None = None) -> None:
-    """Upsert every micro-batch. A repeated batch replaces rows by themselves, so the result is exact."""
+                  partition_by: list[str] | None = None, checkpoint: str | None = None, buckets: int | None = None) -> None:
+    """Upsert every micro-batch. A repeated batch replaces rows by themselves, so the result is exact.
+
+    With `buckets` the table is one in buckets, of which a batch rewrites only those of its keys.
+    """
     def each(batch: DataFrame, batch_id: int) -> None:
+        if buckets is not None:
+            upsert_buckets(batch, path, keys, order, buckets)
+            return
         write_table(batch, path, "upsert", keys=keys, order=order, partition_by=partition_by)
 
     _run(stream, each, checkpoint)
