@@ -7,7 +7,7 @@ from weftline.queries.registry import ORACLES, QUERIES
 
 def load_all() -> None:
     from weftline.queries import (  # noqa: F401
-        alerting, cleaning, json_columns, monitoring, quality, relational, sqlsurface, streams, tables, vectors,
+        alerting, cleaning, json_columns, monitoring, quality, relational, remote, sqlsurface, streams, tables, vectors,
     )
 
 

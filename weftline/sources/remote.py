@@ -15,7 +15,7 @@ from datetime import datetime, timedelta
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 # --- fixed values ---
 LIST_KEYS = ["data", "results", "items", "records"]
@@ -84,6 +84,10 @@ def read_statements(spark: SparkSession, fetch: Fetch, start: datetime | None =
         requests = [{"params": {**base, "since": a.strftime(ZULU), "until": b.strftime(ZULU)}}
                     for a, b in time_slices(start, end, step)]
 
+    return _load(spark, "weftline_statements", "event string", requests, _all_pages(fetch))
+
+
+def _all_pages(fetch: Fetch) -> Callable[[dict], Iterator[tuple]]:
     def read_slice(request):
         while request:
             page = fetch(request) or {}
@@ -92,7 +96,56 @@ def read_statements(spark: SparkSession, fetch: Fetch, start: datetime | None =
             link = page.get(MORE_KEY)
             request = {"link": link} if link else None
 
-    return _load(spark, "weftline_statements", "event string", requests, read_slice)
+    return read_slice
+
+
+def stream_statements(spark: SparkSession, fetch: Fetch, start: datetime, clock: Callable[[], datetime], limit: int = DEFAULT_PAGE,
+                      step: timedelta = timedelta(days=1), params: dict | None = None) -> DataFrame:
+    """Statement store as a stream whose offsets are times: what was stored after `start` up to `clock()`.
+
+    A batch is the time since the one before, cut into slices of `step`, one task each; a slice holds
+    what was stored after its `since`, up to and with its `until`, so slices share no statement and leave none out.
+    A run with the same checkpoint goes on where the last one ended. After a failed run it repeats the unfinished
+    batch as it was; with `availableNow` that run ends there and the next one goes on.
+    `clock` gives a time (UTC, without a zone) before which the store accepts nothing any more: now, less its
+    delay. A clock that goes back gives no statement twice: the stream waits until it has caught up.
+    """
+    base = {**(params or {}), "limit": limit}
+    read_slice = _all_pages(fetch)
+
+    class Reader(DataSourceStreamReader):
+        reached = start.strftime(ZULU)
+
+        def initialOffset(self):
+            return {"until": start.strftime(ZULU)}
+
+        def latestOffset(self):
+            # Text of this form is ordered like the times.
+            self.reached = max(self.reached, clock().strftime(ZULU))
+            return {"until": self.reached}
+
+        def partitions(self, begin, end):
+            self.reached = max(self.reached, end["until"])
+            times = (datetime.strptime(o["until"], ZULU) for o in (begin, end))
+            return [_Slice({"params": {**base, "since": a.strftime(ZULU), "until": b.strftime(ZULU)}})
+                    for a, b in time_slices(*times, step)]
+
+        def read(self, partition):
+            yield from read_slice(partition.value)
+
+    class Source(DataSource):
+        @classmethod
+        def name(cls):
+            return "weftline_statement_stream"
+
+        def schema(self):
+            return "event string"
+
+        def streamReader(self, schema):
+            return Reader()
+
+    spark.dataSource.register(Source)
+    return spark.readStream.format("weftline_statement_stream").load()
 
 
 def read_rest(spark: SparkSession, fetch: Fetch, requests: list[dict], run: datetime) -> DataFrame:
