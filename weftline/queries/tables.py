@@ -369,14 +369,14 @@ def _(t):
 @query("write_upsert_buckets", """
 SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
   CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS grade FROM orders
-UNION ALL SELECT -o_orderkey, o_orderstatus, o_totalprice, NULL FROM orders WHERE o_orderstatus = 'P'""")
+UNION ALL SELECT -1 - o_orderkey, o_orderstatus, o_totalprice, NULL FROM orders WHERE o_orderstatus = 'P'""")
 def _(t):
     """All orders into buckets; then changed prices of finished ones with a new column, then new keys."""
     path = scratch_path(t.spark, "buckets")
     rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
     changed = t.orders.filter("o_orderstatus = 'F'").select(
         "o_orderkey", "o_orderstatus", (F.col("o_totalprice") + 1).alias("o_totalprice"), F.col("o_orderpriority").alias("grade"))
-    added = rows.filter("o_orderstatus = 'P'").withColumn("o_orderkey", -F.col("o_orderkey"))
+    added = rows.filter("o_orderstatus = 'P'").withColumn("o_orderkey", -1 - F.col("o_orderkey"))
     for part in (rows, changed, added):
         upsert_buckets(part, path, ["o_orderkey"], buckets=32)
     return read_buckets(t.spark, path)
