@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from datetime import datetime, timedelta
-from functools import lru_cache
+from itertools import islice
 
 import pyarrow.dataset as arrow
 from pyspark.sql import functions as F
@@ -14,16 +15,44 @@ from weftline.session import scratch_path
 from weftline.sources.remote import STATEMENTS_KEY, ZULU, read_statements, stream_statements
 
 SHAPE = "event_id long, ts string, user_id long, event_type string, value double, props string"
+BATCH_ROWS = 2000  # rows of the event table that a task turns into records at once
 SQL = "SELECT event_id, ts, user_id, event_type, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
 
 
-@lru_cache(maxsize=1)
-def stored(place: str, since: str, until: str) -> list[dict]:
-    """One slice, kept by the task for its pages."""
+# The slice a worker is reading, by what its next page is asked with.
+_OPEN: dict[tuple, Iterator[tuple[list[dict], bool]]] = {}
+
+
+def _records(place: str, since: str, until: str) -> Iterator[dict]:
+    """A slice, a batch at a time."""
     after, last = (datetime.strptime(x, ZULU) for x in (since, until))
     ts = arrow.field("ts")
-    rows = arrow.dataset(place).to_table(filter=(ts > after) & (ts <= last)).to_pylist()
-    return [{**r, "ts": r["ts"].isoformat()} for r in rows]
+    scan = arrow.dataset(place).scanner(filter=(ts > after) & (ts <= last), batch_size=BATCH_ROWS, batch_readahead=1, fragment_readahead=1, use_threads=False)
+    for batch in scan.to_batches():
+        for row in batch.to_pylist():
+            yield {**row, "ts": row["ts"].isoformat()}
+
+
+def _pages(place: str, since: str, until: str, skip: int, limit: int) -> Iterator[tuple[list[dict], bool]]:
+    """Pages of a slice from its row `skip` on, and whether another one follows."""
+    records = islice(_records(place, since, until), skip, None)
+    page = list(islice(records, limit))
+    while page:
+        following = list(islice(records, limit))
+        yield page, bool(following)
+        page = following
+
+
+def stored(place: str, since: str, until: str, skip: int, limit: int) -> tuple[list[dict], bool]:
+    """One page of a slice. The task goes on reading where its last page ended; any other page is read from the slice's start on."""
+    pages = _OPEN.pop((place, since, until, skip, limit), None)
+    _OPEN.clear()
+    if pages is None:
+        pages = _pages(place, since, until, skip, limit)
+    page, more = next(pages, ([], False))
+    if more:
+        _OPEN[place, since, until, skip + len(page), limit] = pages
+    return page, more
 
 
 def event_store(folder: str):
@@ -32,9 +61,8 @@ def event_store(folder: str):
 
     def fetch(request: dict) -> dict:
         at = json.loads(request["link"]) if "link" in request else {**request["params"], "skip": 0}
-        rows, end = stored(place, at["since"], at["until"]), at["skip"] + at["limit"]
-        more = json.dumps({**at, "skip": end}) if end < len(rows) else ""
-        return {STATEMENTS_KEY: rows[at["skip"]:end], "more": more}
+        rows, more = stored(place, at["since"], at["until"], at["skip"], at["limit"])
+        return {STATEMENTS_KEY: rows, "more": json.dumps({**at, "skip": at["skip"] + len(rows)}) if more else ""}
 
     return fetch
 
