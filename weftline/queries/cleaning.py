@@ -194,13 +194,15 @@ def _(t):
     return words.groupBy("word_length").agg(n(F.count(F.lit(1))).alias("n"))
 
 
+def measure(batches):
+    """Languages and lengths, batch by batch. A `.str` accessor and its column hold each other, so every batch would stay in memory until a full garbage collection."""
+    for batch in batches:
+        yield batch[["lang"]].assign(chars=batch["text"].map(len, na_action="ignore"))
+
+
 @query("user_batch_function", "SELECT lang, count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents GROUP BY ALL")
 def _(t):
     """Batches in, batches out: any share of the rows may have one language."""
-    def measure(batches):
-        for batch in batches:
-            yield batch[["lang"]].assign(chars=batch["text"].str.len())
-
     measured = t.documents.select("lang", "text").mapInPandas(measure, "lang string, chars bigint")
     return measured.groupBy("lang").agg(n(F.count(F.lit(1))).alias("n"), n(F.sum("chars")).alias("chars"))
 
