@@ -8,7 +8,7 @@ by itself: the state of the rule is one count per gap, so a group needs little m
 and waste stays a fixed share at every size.
 
 Tokens: a byte-level BPE splits a text into pre-tokens and merges within each. Pre-tokens seen
-before are looked up; new ones are encoded by the tokenizer, many at a time. What a worker remembers is bounded
+before are looked up; new ones are merged by the tokenizer's model. What a worker remembers is bounded
 by bytes: words in use move from an old generation to a young one, the rest of the old one goes, and long words are not kept.
 Texts with letters beyond FAST_BYTES or a special token in them go through the tokenizer whole, and so does every text where the file
 describes anything but a byte-level BPE without a normalizer.
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 import zlib
 from functools import partial
@@ -37,6 +38,9 @@ LONG_WORD = 24  # characters from which on a pre-token is not remembered
 FAST_BYTES = 0xCD  # texts whose UTF-8 bytes are below hold code points below U+0340 only
 
 _LOADED: dict[str, tuple] = {}
+# The public byte-level alphabet: printable bytes are themselves, the others the letters from U+0100 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 def _char_class(prefix: str) -> str:
@@ -89,33 +93,33 @@ def _load(path: str):
 
         letters, digits, space = _char_class("L"), _char_class("N"), "\t-\r \x85\xa0"
         # The byte-level pre-tokenizer's public pattern with its classes spelled out.
+        # Letters come first, as most pre-tokens are such; no other alternative but that for digits could match there.
         split = re.compile(
-            rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?[^{space}{letters}{digits}]+|[{space}]+(?![^{space}])|[{space}]+")
+            rf" [{letters}]+|[{letters}]+| ?[{digits}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{space}{letters}{digits}]+|[{space}]+(?![^{space}])|[{space}]+")
         tokenizer = Tokenizer.from_file(path)
         special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        _LOADED[path] = tokenizer, split.findall if _plain_bpe(path) else None, special, _Words()
+        _LOADED[path] = tokenizer, split.findall if _plain_bpe(path) else None, special, tokenizer.model, _Words()
     return _LOADED[path]
 
 
-def _learn(tokenizer, known: _Words, new: list[str]) -> None:
-    """Encode pre-tokens, a few hundred as one input; the tokenizer tells which token is whose."""
-    inputs = [new[i: i + 400] for i in range(0, len(new), 400)]
-    for part, got in zip(inputs, tokenizer.encode_batch(inputs, is_pretokenized=True, add_special_tokens=False)):
-        ids = np.array(got.ids, "<u4")
-        ends = np.searchsorted(np.array(got.word_ids), np.arange(len(part) + 1))
-        raw = ids.tobytes()
-        for word, a, b in zip(part, ends[:-1].tolist(), ends[1:].tolist()):
-            known.put(word, raw[4 * a: 4 * b])
+def _learn(model, known: _Words, new: list[str]) -> None:
+    """Merge each pre-token's bytes by the tokenizer's model, as the whole tokenizer does after splitting."""
+    for word in new:
+        spelled = word.replace(" ", _BYTES[32]) if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(_BYTES)
+        ids = [t.id for t in model.tokenize(spelled)]
+        known.put(word, struct.pack(f"<{len(ids)}I", *ids))
 
 
 def encode(path: str, texts: list[str], plain: list[bool]) -> list[bytes]:
     """Little-endian unsigned 32-bit ids of each text; `plain` texts have low code points only."""
-    tokenizer, split, special, known = _load(path)
+    tokenizer, split, special, model, known = _load(path)
     fast = [bool(split) and p and not any(s in x for s in special) for x, p in zip(texts, plain)]
     words = [split(x) if f else () for x, f in zip(texts, fast)]
-    new = known.missing(set(chain.from_iterable(words)))
-    _learn(tokenizer, known, new)
-    out = [b"".join(map(known.young.__getitem__, w)) for w in words]
+    distinct = set(chain.from_iterable(words))
+    new = known.missing(distinct)
+    _learn(model, known, new)
+    here = {w: known.young[w] for w in distinct}  # small beside all known words, so that looking up is fast
+    out = [b"".join(map(here.__getitem__, w)) for w in words]
     known.forget(new)
     whole = [i for i, f in enumerate(fast) if not f]
     for i, got in zip(whole, tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
