@@ -6,8 +6,9 @@
    n - ceil(t n) + 1 words of each, and of the smaller n - ceil(2 t n / (1 + t)) + 1 suffice (prefix filter). Pairs must also pass the length filter, the positional
    filter (what can still be common from here on) and a bitmap filter (parity bits of both sets, whose
    differences never outnumber the words not in common).
-3. Pairs that pass are verified on the words themselves. Where many lines share a prefix word, each is first
-   verified against the earliest of them; a line settled so meets no more candidates as the later one.
+3. Words of the shorter prefix and those after them are two sets of rows, so that a smaller set's other words are
+   never met. Pairs that pass are verified on the words themselves. Where many lines share a prefix word, each is
+   first verified against the earliest of them; a line settled so meets no more candidates as the later one.
 4. A line goes if an equal or similar line stands earlier, by doc_id and then by line number. This is judged on
    the input, not on what is left.
 """
@@ -25,6 +26,8 @@ LONG = 128  # words of a set from which on the bitmap has 128 bits
 CROWD = 256  # lines that share a word of their prefixes before they are tried against the earliest one first
 BROADCAST_IDS = 1_000_000  # ids of similar or repeated lines that may be broadcast; more are joined by a shuffle
 NO_ID = (1 << 63) - 1  # doc of lines in rows without an id
+SPACES = " \t\n\v\f\r"
+PLAIN = {"parquet.enable.dictionary": "false"}  # of files of hashes, which differ too much for dictionaries
 
 
 def _split(line: Column) -> Column:
@@ -42,16 +45,20 @@ def tokens(line: Column) -> Column:
 
 def _hashed(distinct: DataFrame) -> DataFrame:
     """Per distinct line the hashes of its distinct words: each word is split off and hashed here, and nowhere else before the last check."""
-    hashes = F.array_distinct(F.transform(F.array_remove(_split(F.col("line")), ""), lambda w: F.xxhash64(w)))
+    hashes = F.array_distinct(F.array_remove(F.transform(_split(F.col("line")), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
     return distinct.select("doc", "spot", hashes.alias("hashes"))
 
 
+def _step(lines: Column) -> Column:
+    """Rarity of a slot: three steps for each doubling of the number of lines that have a word in it."""
+    return F.least(F.lit(127), F.floor(3 * F.log2(lines + 1))).cast("int")
+
+
 def _ranks(hashed: DataFrame) -> Column:
-    """Rarity of each slot, three steps for each doubling of the number of lines that have a word in it, as a constant array of SLOTS numbers."""
+    """Rarity of each slot as a constant array of SLOTS numbers."""
     slot = F.col("hash").bitwiseAND(F.lit(SLOTS - 1)).cast("int")
     counts = hashed.select(F.explode("hashes").alias("hash")).groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
-    step = F.least(F.lit(127), F.floor(3 * F.log2(F.col("n") + 1))).cast("int")
-    found = counts.agg(F.collect_list(F.col("slot") * 128 + step)).first()[0]  # SLOTS numbers at most
+    found = counts.agg(F.collect_list(F.col("slot") * 128 + _step(F.col("n")))).first()[0]  # SLOTS numbers at most
     rank = [0] * SLOTS
     for x in found:
         rank[x >> 7] = x & 127
@@ -68,7 +75,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = texts.select("doc_id", "sig", F.posexplode_outer(F.split(F.col("text"), "\n")).alias("line_no", "line"))
     spot = F.call_function("shiftleft", F.col("line_no").cast("long"), F.lit(32)).bitwiseOR(F.hash("line").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     spot = F.coalesce(spot, F.lit(-1).cast("long"))
-    worded = F.col("line").rlike("[^\\x20\\x09-\\x0D]")
+    worded = F.ltrim(F.col("line"), F.lit(SPACES)) != ""
     return rows.select("doc_id", "sig", "line_no", "line", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), spot.alias("spot"), F.when(worded, F.xxhash64("line")).alias("id"))
 
 
@@ -84,10 +91,10 @@ def _small(frame: DataFrame, rows: int) -> DataFrame:
 
 
 def _prefixes(hashed: DataFrame, ranks: Column, percent: int) -> DataFrame:
-    """Per distinct line its size, bitmaps and prefix: doc, spot, n, even, odd, prefix."""
+    """Per distinct line its size, bitmaps and prefix, the shorter one that suffices for the smaller set and the words after it: doc, spot, n, even, odd, short, long."""
     # A word's key: its slot's rarity above HASH_BITS bits of its hash, the lowest of which are the slot. Sorting the keys orders words by rarity.
     key = lambda h: F.call_function("shiftleft", F.get(ranks, h.bitwiseAND(F.lit(SLOTS - 1))).cast("long"), F.lit(HASH_BITS)).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
-    keys = F.sort_array(F.transform("hashes", key))
+    keys = F.sort_array(F.transform("hashes", lambda h: F.coalesce(key(h), F.lit(0).cast("long"))))  # numbers that cannot be null are sorted without boxes
     sized = hashed.select("doc", "spot", keys.alias("words")).select("doc", "spot", "words", F.size("words").alias("n"))
     # Parity bitmaps: 128 bits for long sets, and 64 bits, which are the two halves of 128 put together, for others.
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
@@ -95,24 +102,34 @@ def _prefixes(hashed: DataFrame, ranks: Column, percent: int) -> DataFrame:
     parity = lambda flag: F.aggregate("words", none, lambda s, w: s.bitwiseXOR(flag(w)))
     half = lambda which: parity(lambda w: F.when(w.bitwiseAND(F.lit(64)) == which, bit(w)).otherwise(none))
     even, odd = F.when(F.col("n") > LONG, half(0)).otherwise(parity(bit)), F.when(F.col("n") > LONG, half(64)).otherwise(none)
-    prefix = F.slice("words", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
+    size, short = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1, _short(F.col("n"), percent)
     # The bitmaps are columns of the line; beside the generator of `_unfolded` they would be computed for every word again.
-    return sized.select("doc", "spot", "n", even.alias("even"), odd.alias("odd"), prefix.alias("prefix"))
+    return sized.select("doc", "spot", "n", even.alias("even"), odd.alias("odd"), F.slice("words", F.lit(1), short).alias("short"), F.slice("words", short + 1, F.greatest(size - short, F.lit(0))).alias("long"))
+
+
+def _short(n: Column, percent: int) -> Column:
+    """Words of the shorter prefix, which suffices for a set of n words towards sets of its size or more."""
+    return F.floor((100 - percent) * n / (100 + percent)).cast("int") + 1
 
 
-def _unfolded(prefixes: DataFrame) -> DataFrame:
-    """One row per word of a prefix: doc, spot, n, even, odd, at, word."""
-    return prefixes.select("doc", "spot", "n", "even", "odd", F.posexplode("prefix").alias("at", "word"))
+def _unfolded(prefixes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """One row per word of the shorter prefix, and one per word after it: doc, spot, n, even, odd, at, word."""
+    short = prefixes.select("doc", "spot", "n", "even", "odd", F.posexplode("short").alias("at", "word"))
+    long = prefixes.select("doc", "spot", "n", "even", "odd", F.posexplode("long").alias("at", "word"))
+    return short, long.withColumn("at", F.col("at") + _short(F.col("n"), percent))
 
 
-def _stars(prefixes: DataFrame, percent: int) -> DataFrame:
+def _stars(short: DataFrame, long: DataFrame, percent: int) -> DataFrame:
     """Pairs of each line with the earliest one of every crowded word: CROWD lines or more have it in their prefix."""
-    crowded = freeze(prefixes.groupBy("word").agg(F.count("*").alias("lines")).where(F.col("lines") >= CROWD).select("word"), "crowded-words")
-    words = crowded.count()  # as many rows as the earliest lines below
-    rows = prefixes.select("word", "doc", "spot", "n", "even", "odd").join(_small(crowded, words), "word")
+    words = short.unionByName(long)
+    # A word is not crowded if fewer lines than that have any word of its slot.
+    often = words.where(F.shiftright("word", HASH_BITS) >= _step(F.lit(CROWD)))
+    crowded = freeze(often.groupBy("word").agg(F.count("*").alias("lines")).where(F.col("lines") >= CROWD).select("word"), "crowded-words")
+    count = crowded.count()  # as many rows as the earliest lines below
+    rows = words.select("word", "doc", "spot", "n", "even", "odd").join(_small(crowded, count), "word")
     first_doc = rows.groupBy("word").agg(F.min("doc").alias("doc"))
-    first = rows.join(_small(first_doc, words), ["word", "doc"]).groupBy("word").agg(F.min(F.struct("doc", "spot", "n", "even", "odd")).alias("a"))
-    pairs = rows.select("word", F.struct("doc", "spot", "n", "even", "odd").alias("b")).join(_small(first, words), "word")
+    first = rows.join(_small(first_doc, count), ["word", "doc"]).groupBy("word").agg(F.min(F.struct("doc", "spot", "n", "even", "odd")).alias("a"))
+    pairs = rows.select("word", F.struct("doc", "spot", "n", "even", "odd").alias("b")).join(_small(first, count), "word")
     pairs = pairs.where(_earlier("a.doc", "a.spot", "b.doc", "b.spot") & _may_match(F.least("a.n", "b.n"), F.greatest("a.n", "b.n"), percent))
     return pairs.select("a.doc", "a.spot", F.col("b.doc").alias("late_doc"), F.col("b.spot").alias("late_spot")).distinct()
 
@@ -124,24 +141,30 @@ def _may_match(smaller: Column, larger: Column, percent: int) -> Column:
     return (100 * smaller >= percent * larger) & ((100 + percent) * (smaller + larger - apart) >= 2 * percent * (smaller + larger))
 
 
-def _candidates(prefixes: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+def _candidates(short: DataFrame, long: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
     """Pairs (doc, spot, late_doc, late_spot) of lines that pass all filters and whose later one is not settled yet."""
     known = _small(settled.withColumn("known", F.lit(True)), settled.count())
-    rows = prefixes.where("word is not null and n is not null").join(known, ["doc", "spot"], "left")
-    # Columns of few different values stand side by side, which the shuffle's compression makes small.
-    rows = rows.select("n", "at", F.coalesce("known", F.lit(False)).alias("known"), "odd", "doc", "spot", "even", "word")
-    a, b = rows.alias("a"), rows.alias("b")
+
+    def rows(side: DataFrame) -> DataFrame:
+        marked = side.where("word is not null and n is not null").join(known, ["doc", "spot"], "left")
+        # Columns of few different values stand side by side, which the shuffle's compression makes small.
+        return marked.select("n", "at", F.coalesce("known", F.lit(False)).alias("known"), "odd", "doc", "spot", "even", "word")
+
     # a is the smaller set; of it the shorter prefix that suffices towards sets of its size or more. Conditions
-    # name both sides and nulls are out before, so that no filter is pushed to one side only and both read one shuffle.
+    # name both sides and nulls are out before, so that no filter is pushed to one side only and all read one shuffle of the shorter prefixes.
     order = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & ((F.col("a.doc") < F.col("b.doc")) | ((F.col("a.doc") == F.col("b.doc")) & (F.col("a.spot") < F.col("b.spot")))))
-    short = (100 + percent) * F.col("a.at") <= (100 - percent) * F.least("a.n", "b.n")
     both = F.col("a.n") + F.col("b.n")
     rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
     # One of the two is not settled, and it is the later one.
     open_ = ~(F.col("a.known") & F.col("b.known")) & F.when(_earlier("a.doc", "a.spot", "b.doc", "b.spot"), ~F.col("b.known")).otherwise(~F.col("a.known"))
     # Tests that are cheap and leave few pairs come first.
-    near = order & _may_match(F.col("a.n"), F.col("b.n"), percent) & short & ((100 + percent) * rest >= percent * both) & open_
-    found = a.join(b, (F.col("a.word") == F.col("b.word")) & near).select(F.col("a.doc").alias("d1"), F.col("a.spot").alias("s1"), F.col("b.doc").alias("d2"), F.col("b.spot").alias("s2")).distinct()
+    near = order & _may_match(F.col("a.n"), F.col("b.n"), percent) & ((100 + percent) * rest >= percent * both) & open_
+
+    def met(b: DataFrame) -> DataFrame:
+        pairs = rows(short).alias("a").join(rows(b).alias("b"), (F.col("a.word") == F.col("b.word")) & near)
+        return pairs.select(F.col("a.doc").alias("d1"), F.col("a.spot").alias("s1"), F.col("b.doc").alias("d2"), F.col("b.spot").alias("s2"))
+
+    found = met(short).unionByName(met(long)).distinct()
     one, two = F.struct(F.col("d1").alias("doc"), F.col("s1").alias("spot")), F.struct(F.col("d2").alias("doc"), F.col("s2").alias("spot"))
     first = _earlier("d1", "s1", "d2", "s2")
     found = found.where(first | _earlier("d2", "s2", "d1", "s1")).select(F.when(first, one).otherwise(two).alias("x"), F.when(first, two).otherwise(one).alias("y"))
@@ -156,7 +179,7 @@ def _contents(docs: DataFrame, id_col: str, text_col: str, pairs: DataFrame) ->
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     texts = texts.join(_small(ids, lines), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("named_doc"), "left_semi")
     found = _lines(texts, "doc_id", "text").select("doc", "spot", "line").join(_small(named, lines), ["doc", "spot"], "left_semi")
-    return freeze(found.select("doc", "spot", tokens(F.col("line")).alias("words")), "line-words").dropDuplicates(["doc", "spot"])
+    return found.select("doc", "spot", tokens(F.col("line")).alias("words")).dropDuplicates(["doc", "spot"])
 
 
 def _verified(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
@@ -185,17 +208,17 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     more = F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF)).alias("more")
     marked = lines.where("id is not null").select("id", more, "doc", "spot", "line").join(_small(repeated, repeated.count()), ["id", "more"], "left")
     distinct = marked.where("first_doc is null or (doc = first_doc and spot = first_spot)").select("doc", "spot", "line")
-    hashed = freeze(_hashed(distinct), "line-hashes")
+    hashed = freeze(_hashed(distinct), "line-hashes", PLAIN)
     hash_files = frozen()[-1]
-    prefixes = freeze(_prefixes(hashed, _ranks(hashed), percent), "line-prefixes")
+    prefixes = freeze(_prefixes(hashed, _ranks(hashed), percent), "line-prefixes", PLAIN)
     prefix_files = frozen()[-1]
     release(docs.sparkSession, [hash_files])
-    prefixes = _unfolded(prefixes)
+    short, long = _unfolded(prefixes, percent)
 
     # In a crowd of like lines nearly all are settled by the earliest one; only the others meet every candidate.
-    stars = freeze(_stars(prefixes, percent), "line-stars")
+    stars = freeze(_stars(short, long, percent), "line-stars")
     settled = freeze(_verified(stars, _contents(docs, id_col, text_col, stars), percent), "settled-lines")
-    pairs = freeze(_candidates(prefixes, settled, percent), "line-pairs")
+    pairs = freeze(_candidates(short, long, settled, percent), "line-pairs")
     release(docs.sparkSession, [prefix_files])
     similar = freeze(settled.unionByName(_verified(pairs, _contents(docs, id_col, text_col, pairs), percent)).distinct(), "similar-lines")
 
@@ -205,11 +228,13 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = worded.join(repeated.join(taken, ["id", "more"], "left"), ["id", "more"]).where(F.col("taken") | _earlier("first_doc", "first_spot", "doc", "spot"))
     alone = index.where("id is not null").join(similar, ["doc", "spot"], "left_semi")
     gone = copies.select("doc_id", "sig", "line_no").unionByName(alone.select("doc_id", "sig", "line_no")).groupBy("doc_id", "sig").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
-    base = index.groupBy("doc_id", "sig").agg((F.coalesce(F.max("line_no"), F.lit(-1)) + 1).alias("n_lines"), F.count_distinct(F.when(F.col("id").isNotNull(), F.col("line_no"))).alias("worded"))
+    # Rows of equal id and text have the same lines: worded ones of one of them are all of them, divided by the number of first lines.
+    base = index.groupBy("doc_id", "sig").agg((F.coalesce(F.max("line_no"), F.lit(-1)) + 1).alias("n_lines"), F.count("id").alias("all_worded"), F.count(F.when(F.col("line_no") == 0, 1)).alias("rows"))
+    worded = F.col("all_worded") / F.greatest("rows", F.lit(1))
     n = F.coalesce(F.size("removed"), F.lit(0))
     found = base.alias("base").join(gone.alias("gone"), F.col("base.doc_id").eqNullSafe(F.col("gone.doc_id")) & F.col("base.sig").eqNullSafe(F.col("gone.sig")), "left")
     return found.select(
-        "base.doc_id", "base.sig", "n_lines", n.alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"), ((n > 0) & (n == F.col("worded"))).alias("all_removed"))
+        "base.doc_id", "base.sig", "n_lines", n.alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"), ((n > 0) & (n == worded)).alias("all_removed"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
