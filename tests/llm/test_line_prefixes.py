@@ -34,3 +34,12 @@ def test_rows_that_stand_twice(spark):
     got = {(r.doc_id, r.n_lines): (r.removed, r.all_removed) for r in found}
     assert len(found) == 6
     assert got == {(1, 3): ([], False), (2, 1): ([0], True), (3, 3): ([2], False), (4, 0): ([], False), (5, 1): ([], False), (None, 2): ([0], False)}
+
+
+def test_crowds_settled_first_change_nothing(spark, monkeypatch):
+    lines = [" ".join(f"w{(i * 7 + k) % 41}" for k in range(12 + i % 3)) for i in range(60)]
+    docs = spark.createDataFrame([(i, f"{lines[i]}\n{lines[-i]} x{i}") for i in range(60)], "doc_id long, text string")
+    monkeypatch.setattr(L, "CROWD", 1000)
+    want = {(r.doc_id, tuple(r.removed)) for r in L.repeated_lines(docs).collect()}
+    monkeypatch.setattr(L, "CROWD", 3)
+    assert {(r.doc_id, tuple(r.removed)) for r in L.repeated_lines(docs).collect()} == want and any(removed for _, removed in want)
