@@ -85,7 +85,9 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
     first = rows.groupBy("same").agg(F.min("page_id").alias("first"))
     typed = rows.join(first, "same").select("page_id", "url", "html", "first", F.coalesce(F.col("page_id") != F.col("first"), F.lit(False)).alias("revisit"))
     write = partial(_write, folder, date)
-    return freeze(typed.mapInArrow(lambda x: write(x), "archive string, records long, bytes long"), "archives")
+    written = typed.mapInArrow(lambda x: write(x), "archive string, records long, bytes long")
+    # The list has a row per task; it goes to few files, as on a local file system each one makes the JVM start processes.
+    return freeze(written.repartition(spark.sparkContext.defaultParallelism), "archives")
 
 
 class _Stream:
@@ -188,8 +190,8 @@ def _read(keep: bool, batches):
 
 
 def read_warc(archives: DataFrame, payloads: bool = True) -> DataFrame:
-    """Records of the listed archives (column `archive`), one task per few archives, digests verified."""
+    """Records of the listed archives (column `archive`), dealt in turn over the tasks, digests verified."""
     read = partial(_read, payloads)
     spark: SparkSession = archives.sparkSession
-    spread = archives.select("archive").repartition(max(1, min(archives.count(), 4 * spark.sparkContext.defaultParallelism)), "archive")
+    spread = archives.select("archive").repartition(max(1, min(archives.count(), 4 * spark.sparkContext.defaultParallelism)))
     return spread.mapInArrow(lambda x: read(x), RECORDS)
