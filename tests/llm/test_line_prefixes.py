@@ -43,3 +43,14 @@ def test_crowds_settled_first_change_nothing(spark, monkeypatch):
     want = {(r.doc_id, tuple(r.removed)) for r in L.repeated_lines(docs).collect()}
     monkeypatch.setattr(L, "CROWD", 3)
     assert {(r.doc_id, tuple(r.removed)) for r in L.repeated_lines(docs).collect()} == want and any(removed for _, removed in want)
+
+
+def test_words_of_pairs_travel_as_one_text(spark):
+    texts = [(1, "A b\tc d  e f g h i"), (2, "a B c d e f g h i a"), (3, "a b c d e f g h x y z"), (4, "é\u00a0ü b"), (5, "É\u00a0ü  B b")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    spot = {r.doc_id: r.spot for r in L._lines(docs, "doc_id", "text").collect()}
+    pairs = spark.createDataFrame([(1, spot[1], 2, spot[2]), (1, spot[1], 3, spot[3]), (4, spot[4], 5, spot[5])], "doc long, spot long, late_doc long, late_spot long")
+    near = L._contents(docs, "doc_id", "text", pairs)
+    assert {r.doc: (r.n, sorted(r.words.split(" "))) for r in near.collect()} == {
+        1: (9, list("abcdefghi")), 2: (9, list("abcdefghi")), 3: (11, list("abcdefghxyz")), 4: (2, ["b", "é\u00a0ü"]), 5: (2, ["b", "é\u00a0ü"])}
+    assert {r.doc for r in L._verified(pairs, near, 80).collect()} == {2, 5}

@@ -176,22 +176,25 @@ def _candidates(short: DataFrame, long: DataFrame, settled: DataFrame, percent:
 
 
 def _contents(docs: DataFrame, id_col: str, text_col: str, pairs: DataFrame) -> DataFrame:
-    """doc, spot and words of the lines in pairs. Only documents that have such a line are split."""
+    """doc, spot, number of distinct words and these words, with blanks between them, of the lines in pairs. Only documents that have such a line are split."""
     named = freeze(pairs.select("doc", "spot").unionByName(pairs.select(F.col("late_doc").alias("doc"), F.col("late_spot").alias("spot"))).distinct(), "line-names")
     lines = named.count()
     ids = named.select(F.col("doc").alias("named_doc")).distinct()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     texts = texts.join(_small(ids, lines), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("named_doc"), "left_semi")
     found = _lines(texts, "doc_id", "text").select("doc", "spot", "line").join(_small(named, lines), ["doc", "spot"], "left_semi")
-    return found.select("doc", "spot", tokens(F.col("line")).alias("words")).dropDuplicates(["doc", "spot"])
+    # One text is smaller in sorts and shuffles than an array of words, each padded and with its place.
+    found = found.select("doc", "spot", tokens(F.col("line")).alias("words"))
+    return found.select("doc", "spot", F.size("words").alias("n"), F.array_join("words", " ").alias("words")).dropDuplicates(["doc", "spot"])
 
 
 def _verified(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
     """The later lines (doc, spot) of pairs whose sets of words are similar."""
-    late = near.select(F.col("doc").alias("late_doc"), F.col("spot").alias("late_spot"), F.col("words").alias("late_words"))
+    late = near.select(F.col("doc").alias("late_doc"), F.col("spot").alias("late_spot"), F.col("n").alias("late_n"), F.col("words").alias("late_words"))
     sided = pairs.join(late, ["late_doc", "late_spot"]).join(near, ["doc", "spot"])
-    common = F.size(F.array_intersect("words", "late_words"))
-    similar = sided.where((100 + percent) * common >= percent * (F.size("words") + F.size("late_words")))
+    # No word has a blank in it. The numbers of words come with the rows, so that each text is split once.
+    common = F.size(F.array_intersect(F.split("words", " "), F.split("late_words", " ")))
+    similar = sided.where((100 + percent) * common >= percent * (F.col("n") + F.col("late_n")))
     return similar.select(F.col("late_doc").alias("doc"), F.col("late_spot").alias("spot")).distinct()
 
 
